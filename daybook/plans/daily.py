@@ -2,13 +2,14 @@
 yesterday's partition and no other partition is touched.
 
     <root>/snapshots/transaction_date=D   the rows of day D, without the is_current flag
-    <root>/state/epoch=E/state_date=D     one row per purchase: its newest row up to day D
-    <root>/loads                          one line per finished load; written last
+    <root>/state/epoch=E/state_day=D      one row per purchase: its newest row up to day D
+    <root>/loads                          one line per finished load, written last
     <root>/staging/...                    rows awaiting the gate
 
-A day's rows are the merge of its events with the purchase's state the day before, so a load
-costs one pass over the day's events and the state, whatever the length of the history. State
-of an epoch is void once late events rewrote the past; the rewrite starts the next epoch.
+The books as of any day are the newest state before it plus the snapshots since then, so a
+load reads its own events, one state and at most `state_every` days, whatever the length of
+the history. Late events rewrite the past and void every state; the rewrite starts an epoch
+with a state of its own, and states of earlier epochs are never read again.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,9 @@ from daybook.plans.storage import read_history, write_history
 from daybook.schemas import DATE, LONG, PURCHASE, SNAPSHOT, Grain, table
 from daybook.sources.feeds import Feed
 
-_LOADS = table(("day", DATE), ("epoch", LONG), ("finished_at", T.TimestampNTZType()))
-_STATE = T.StructType([*SNAPSHOT, *table(("epoch", LONG), ("state_date", DATE))])
+_LOADS = table(
+    ("day", DATE), ("epoch", LONG), ("state_day", DATE), ("finished_at", T.TimestampNTZType())
+)
 
 
 def day_snapshot(
@@ -50,8 +53,8 @@ def day_snapshot(
     at = date_literal(day)
     touched = touched_days([feed.where(F.col(grain.date) == at) for feed in feeds], grain)
     payload = [name for feed in feeds for name in feed.payload]
-    # The state is cut to the touched entities first, which needs no copy of it to move when
-    # the day's keys are few enough to broadcast.
+    # Cut the books to the touched entities first: if the day's keys are few enough to be
+    # broadcast, nothing else of them moves.
     known = previous.select(grain.key, *payload).join(
         touched.select(grain.key), grain.key, "left_semi"
     )
@@ -73,8 +76,10 @@ def day_snapshot(
 class DailyStore:
     """Snapshots of purchases under one root folder, loaded in day order."""
 
-    def __init__(self, spark: SparkSession, root: str, grain: Grain = PURCHASE):
-        self.spark, self.root, self.grain = spark, root, grain
+    def __init__(
+        self, spark: SparkSession, root: str, state_every: int = 7, grain: Grain = PURCHASE
+    ):
+        self.spark, self.root, self.state_every, self.grain = spark, root, state_every, grain
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -87,10 +92,25 @@ class DailyStore:
         newest rows alone use `current`."""
         return mark_current(self.snapshots(), self.grain)
 
+    def as_of(self, cutoff: dt.date | str, columns: Sequence[str] | None = None) -> DataFrame:
+        """Every purchase as known on `cutoff`."""
+        day, date = as_date(cutoff), self.grain.date
+        rows = self.snapshots()
+        state = (
+            self._loads()
+            .where((F.col("epoch") == self._last_load()["epoch"]) & (F.col("state_day") <= day))
+            .agg(F.max(F.struct("state_day", "epoch")).alias("state"))
+            .first()["state"]
+        )
+        if state is not None:
+            newer = rows.where(F.col(date) > F.lit(state["state_day"]))
+            rows = self.spark.read.schema(SNAPSHOT).parquet(self._state_path(**state.asDict()))
+            rows = rows.unionByName(newer)
+        return as_of(rows, day, columns, self.grain)
+
     def current(self) -> DataFrame:
-        """The newest row of every purchase, read from the state table."""
-        last = self._last_load()
-        return self._state(last).withColumn("is_current", F.lit(True))
+        """The newest row of every purchase."""
+        return self.as_of(self._last_load()["day"]).withColumn("is_current", F.lit(True))
 
     # -- loading ---------------------------------------------------------------------------
 
@@ -98,66 +118,68 @@ class DailyStore:
         self, feeds: Sequence[Feed], through: dt.date | str, run_ts: dt.datetime, check: bool = True
     ) -> None:
         """First load: the full history up to and including `through`."""
+        through = as_date(through)
         upto = F.col(self.grain.date) <= date_literal(through)
-        rows = build_history(
-            [feed.where(upto) for feed in feeds], run_ts, self.grain, SNAPSHOT.names
+        staged = self._stage(
+            build_history([feed.where(upto) for feed in feeds], run_ts, self.grain, SNAPSHOT.names)
         )
-        staged = self._stage(rows)
         if check:
             self._gate(mark_current(staged, self.grain), through, run_ts)
-        write_history(staged, f"{self.root}/snapshots", self.grain)
-        self._finish(as_of(self.snapshots(), through), as_date(through), 0, run_ts)
+        write_history(staged, f"{self.root}/snapshots", self.grain, mode="errorifexists")
+        self._write_state(as_of(staged, through, grain=self.grain), 0, through)
+        self._finish(through, 0, through, run_ts)
 
     def append_day(
         self, feeds: Sequence[Feed], day: dt.date | str, run_ts: dt.datetime, check: bool = True
     ) -> None:
         """Load one day. Running the last day again replaces it and gives the same rows; a day
         before the last one is late, see `rebuild`."""
-        day = as_date(day)
-        last = self._last_load()
+        day, last = as_date(day), self._last_load()
         if day < last["day"]:
             raise ValueError(f"{day} is before the last loaded day {last['day']}: use rebuild")
-        previous = self._before(day, last["epoch"])
-        staged = self._stage(day_snapshot(previous, feeds, day, run_ts, self.grain))
+        before = self.as_of(day - dt.timedelta(days=1))
+        staged = self._stage(day_snapshot(before, feeds, day, run_ts, self.grain))
         if check:
             self._gate(staged.withColumn("is_current", F.lit(True)), day, run_ts)
         self._replace_days(staged, [day])
-        key = self.grain.key
-        untouched = previous.join(staged.select(key), key, "left_anti").select(*SNAPSHOT.names)
-        self._finish(untouched.unionByName(staged), day, last["epoch"], run_ts)
+        state_day = last["state_day"]
+        if state_day == day or (day - state_day).days >= self.state_every:
+            books = before.select(*SNAPSHOT.names).unionByName(staged)
+            self._write_state(as_of(books, day, grain=self.grain), last["epoch"], day)
+            state_day = day
+        self._finish(day, last["epoch"], state_day, run_ts)
+
+    def late_purchases(self, batch: Sequence[Feed]) -> DataFrame:
+        """The purchases that have events in `batch` dated on or before the last loaded day.
+        Hand them to `rebuild`, or leave the past as it was reported."""
+        loaded = F.col(self.grain.date) <= F.lit(self._last_load()["day"])
+        keys = [feed.placed(self.grain).where(loaded).select(self.grain.key) for feed in batch]
+        return reduce(DataFrame.union, keys).distinct()
 
     def rebuild(
-        self,
-        feeds: Sequence[Feed],
-        purchases: DataFrame,
-        run_ts: dt.datetime,
-        check: bool = True,
+        self, feeds: Sequence[Feed], purchases: DataFrame, run_ts: dt.datetime, check: bool = True
     ) -> None:
-        """Late or corrected events: recompute the listed purchases (one key column) from the
+        """Late or corrected events: recompute the purchases listed in `purchases` from the
         full feeds, up to the last loaded day. Rows of other purchases are carried over."""
         key, date = self.grain.key, self.grain.date
         last = self._last_load()
         upto = F.col(date) <= F.lit(last["day"])
         keys = purchases.select(key).distinct()
-        fresh = self._stage(
-            build_history(
-                [feed.where(upto).only(keys, key) for feed in feeds],
-                run_ts,
-                self.grain,
-                SNAPSHOT.names,
-            )
-        )
+        feeds = [feed.where(upto).only(keys, key) for feed in feeds]
+        fresh = self._stage(build_history(feeds, run_ts, self.grain, SNAPSHOT.names))
         if check:
             self._gate(mark_current(fresh, self.grain), last["day"], run_ts)
-        stale = self.snapshots().join(keys, key, "left_semi").select(date)
-        days = stale.union(fresh.select(date)).distinct()
+        stale = self.snapshots().join(keys, key, "left_semi")
+        days = stale.select(date).union(fresh.select(date)).distinct()
         kept = self.snapshots().join(days, date, "left_semi").join(keys, key, "left_anti")
         changed = self._stage(kept.select(*SNAPSHOT.names).unionByName(fresh))
-        # One row per calendar day at most.
+        others = self.as_of(last["day"]).join(keys, key, "left_anti").select(*SNAPSHOT.names)
+        state = others.unionByName(as_of(fresh, last["day"], grain=self.grain))
+        epoch = last["epoch"] + 1
+        self._write_state(state, epoch, last["day"])
+        # The list of days has one entry per calendar day at most.
         self._replace_days(changed, [row[date] for row in days.collect()])
-        others = self._state(last).join(keys, key, "left_anti").select(*SNAPSHOT.names)
-        state = others.unionByName(as_of(fresh, last["day"]))
-        self._finish(state, last["day"], last["epoch"] + 1, run_ts)
+        self._finish(last["day"], epoch, last["day"], run_ts)
 
     # -- parts -----------------------------------------------------------------------------
 
@@ -176,48 +198,28 @@ class DailyStore:
         write_history(staged, path, self.grain)
         filled = {row[date] for row in staged.select(date).distinct().collect()}
         for day in set(days) - filled:
-            staged.where(F.lit(False)).drop(date).write.mode("overwrite").parquet(
-                f"{path}/{date}={day}"
-            )
-
-    def _before(self, day: dt.date, epoch: int) -> DataFrame:
-        """Every purchase as known the day before `day`: the state of the newest finished load
-        before it in this epoch, else worked out from the partitions before `day`."""
-        load = (
-            self._loads()
-            .where((F.col("epoch") == epoch) & (F.col("day") < F.lit(day)))
-            .agg(F.max("day").alias("day"))
-            .first()
-        )
-        if load["day"] is None:
-            return as_of(self.snapshots(), day - dt.timedelta(days=1))
-        return self._state(Row(day=load["day"], epoch=epoch))
-
-    def _state(self, load: Row) -> DataFrame:
-        return (
-            self.spark.read.schema(_STATE)
-            .parquet(f"{self.root}/state")
-            .where((F.col("epoch") == load["epoch"]) & (F.col("state_date") == F.lit(load["day"])))
-            .select(*SNAPSHOT.names)
-        )
+            nothing = staged.where(F.lit(False)).drop(date)
+            nothing.write.mode("overwrite").parquet(f"{path}/{date}={day}")
+
+    def _state_path(self, epoch: int, state_day: dt.date) -> str:
+        return f"{self.root}/state/epoch={epoch}/state_day={state_day}"
+
+    def _write_state(self, state: DataFrame, epoch: int, day: dt.date) -> None:
+        rows = state.select(*SNAPSHOT.names)
+        rows.write.mode("overwrite").parquet(self._state_path(epoch, day))
 
     def _loads(self) -> DataFrame:
         return self.spark.read.schema(_LOADS).parquet(f"{self.root}/loads")
 
     def _last_load(self) -> Row:
-        return self._loads().orderBy(F.desc("epoch"), F.desc("day")).first()
-
-    def _finish(self, state: DataFrame, day: dt.date, epoch: int, run_ts: dt.datetime) -> None:
-        state.select(*SNAPSHOT.names).write.mode("overwrite").parquet(
-            f"{self.root}/state/epoch={epoch}/state_date={day}"
-        )
-        (
-            self.spark.range(1)
-            .select(
-                F.lit(day).alias("day"),
-                F.lit(epoch).cast("long").alias("epoch"),
-                clock_literal(run_ts).alias("finished_at"),
-            )
-            .write.mode("append")
-            .parquet(f"{self.root}/loads")
+        order = [F.desc(name) for name in ("epoch", "day", "state_day")]
+        return self._loads().orderBy(*order).first()
+
+    def _finish(self, day: dt.date, epoch: int, state_day: dt.date, run_ts: dt.datetime) -> None:
+        line = self.spark.range(1).select(
+            F.lit(day).alias("day"),
+            F.lit(epoch).cast("long").alias("epoch"),
+            F.lit(state_day).alias("state_day"),
+            clock_literal(run_ts).alias("finished_at"),
         )
+        line.write.mode("append").parquet(f"{self.root}/loads")

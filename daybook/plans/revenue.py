@@ -52,5 +52,5 @@ def top_products(
         producer_products(purchase, item), "producer_id", "faturamento", n, ["product_id"], ties
     )
     return best.orderBy(
-        F.asc_nulls_last("producer_id"), F.desc_nulls_last("faturamento"), "product_id"
+        F.asc_nulls_last("producer_id"), F.desc_nulls_last("faturamento"), F.asc_nulls_last("product_id")
     )

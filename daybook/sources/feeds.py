@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,9 @@ def _required(grain: Grain) -> list[str]:
 
 
 def accepted(events: DataFrame, grain: Grain = PURCHASE) -> DataFrame:
-    return events.dropna(subset=_required(grain))
+    return reduce(
+        lambda rows, name: rows.where(F.col(name).isNotNull()), _required(grain), events
+    )
 
 
 def quarantined(events: DataFrame, grain: Grain = PURCHASE) -> DataFrame:

@@ -232,14 +232,14 @@ def history_roundtrip_pruned(spark: SparkSession, sf: str) -> DataFrame:
     return as_of(read_history(spark, path), b.CUTOFF)
 
 
-def _loaded(spark: SparkSession, sf: str) -> DailyStore:
+def _loaded(spark: SparkSession, sf: str, state_every: int) -> DailyStore:
     """All events loaded in day order: up to three days before the end at once, the others one
     by one, the last one twice."""
     feeds = b.feeds(spark, sf)
     last = max(
         feed.events.agg(F.max("transaction_date").alias("day")).first()["day"] for feed in feeds
     )
-    store = DailyStore(spark, shared_folder(spark, "daily"))
+    store = DailyStore(spark, shared_folder(spark, "daily"), state_every)
     store.start(feeds, last - dt.timedelta(days=2), b.RUN_TS, check=False)
     for days_back in (1, 0, 0):
         store.append_day(feeds, last - dt.timedelta(days=days_back), b.RUN_TS, check=False)
@@ -247,11 +247,11 @@ def _loaded(spark: SparkSession, sf: str) -> DailyStore:
 
 
 def incremental_history(spark: SparkSession, sf: str) -> DataFrame:
-    return _loaded(spark, sf).history()
+    return _loaded(spark, sf, state_every=7).history()
 
 
 def incremental_current(spark: SparkSession, sf: str) -> DataFrame:
-    return _loaded(spark, sf).current()
+    return _loaded(spark, sf, state_every=1).current()
 
 
 def rebuilt_history(spark: SparkSession, sf: str) -> DataFrame:
