@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "America/Sao_Paulo")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
