@@ -2,14 +2,16 @@
 yesterday's partition and no other partition is touched.
 
     <root>/snapshots/transaction_date=D   the rows of day D, without the is_current flag
-    <root>/state/epoch=E/state_day=D      one row per purchase: its newest row up to day D
+    <root>/states/<id>                    one row per purchase: its newest row up to some day
     <root>/loads                          one line per finished load, written last
-    <root>/staging/...                    rows awaiting the gate
+    <root>/staging/<id>                   rows awaiting the gate
 
 The books as of any day are the newest state before it plus the snapshots since then, so a
 load reads its own events, one state and at most `state_every` days, whatever the length of
 the history. Late events rewrite the past and void every state; the rewrite starts an epoch
-with a state of its own, and states of earlier epochs are never read again.
+with a state of its own, and states of earlier epochs are never read again. States are found
+through the lines in loads and never overwritten, so a load that breaks off leaves no trace in
+them and can be run again.
 """
 
 from __future__ import annotations
@@ -19,22 +21,22 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from daybook.functions.literals import as_date, clock_literal, date_literal
+from daybook.functions.literals import as_date, date_literal
 from daybook.functions.rules import provenance
 from daybook.operators.snapshots import mark_current, touched_days
 from daybook.operators.versions import as_of
 from daybook.plans.history import build_history, stamp
 from daybook.plans.quality import gate, run_checks
 from daybook.plans.storage import read_history, write_history
-from daybook.schemas import DATE, LONG, PURCHASE, SNAPSHOT, Grain, table
+from daybook.schemas import DATE, LONG, PURCHASE, SNAPSHOT, TEXT, Grain, table
 from daybook.sources.feeds import Feed
 
 _LOADS = table(
-    ("day", DATE), ("epoch", LONG), ("state_day", DATE), ("finished_at", T.TimestampNTZType())
+    ("number", LONG), ("day", DATE), ("epoch", LONG), ("state_day", DATE), ("state", TEXT)
 )
 
 
@@ -94,65 +96,59 @@ class DailyStore:
 
     def as_of(self, cutoff: dt.date | str, columns: Sequence[str] | None = None) -> DataFrame:
         """Every purchase as known on `cutoff`."""
-        day, date = as_date(cutoff), self.grain.date
-        rows = self.snapshots()
-        state = (
-            self._loads()
-            .where((F.col("epoch") == self._last_load()["epoch"]) & (F.col("state_day") <= day))
-            .agg(F.max(F.struct("state_day", "epoch")).alias("state"))
-            .first()["state"]
-        )
-        if state is not None:
-            newer = rows.where(F.col(date) > F.lit(state["state_day"]))
-            rows = self.spark.read.schema(SNAPSHOT).parquet(self._state_path(**state.asDict()))
-            rows = rows.unionByName(newer)
-        return as_of(rows, day, columns, self.grain)
+        return self._books(self._loads(), as_date(cutoff), columns)
 
     def current(self) -> DataFrame:
         """The newest row of every purchase."""
-        return self.as_of(self._last_load()["day"]).withColumn("is_current", F.lit(True))
+        loads = self._loads()
+        return self._books(loads, self._last(loads)["day"]).withColumn("is_current", F.lit(True))
 
     # -- loading ---------------------------------------------------------------------------
 
     def start(
         self, feeds: Sequence[Feed], through: dt.date | str, run_ts: dt.datetime, check: bool = True
     ) -> None:
-        """First load: the full history up to and including `through`."""
+        """First load: the full history up to and including `through`. A start that did not
+        finish can be repeated."""
+        if self._loads():
+            raise ValueError(f"{self.root} has been started")
         through = as_date(through)
         upto = F.col(self.grain.date) <= date_literal(through)
-        staged = self._stage(
-            build_history([feed.where(upto) for feed in feeds], run_ts, self.grain, SNAPSHOT.names)
+        rows = build_history(
+            [feed.where(upto) for feed in feeds], run_ts, self.grain, SNAPSHOT.names
         )
+        write_history(rows, f"{self.root}/snapshots", self.grain, replace="all")
         if check:
-            self._gate(mark_current(staged, self.grain), through, run_ts)
-        write_history(staged, f"{self.root}/snapshots", self.grain, mode="errorifexists")
-        self._write_state(as_of(staged, through, grain=self.grain), 0, through)
-        self._finish(through, 0, through, run_ts)
+            self._gate(self.history(), through, run_ts)
+        state = self._write_state(as_of(self.snapshots(), through, grain=self.grain))
+        self._finish([], day=through, epoch=0, state_day=through, state=state)
 
     def append_day(
         self, feeds: Sequence[Feed], day: dt.date | str, run_ts: dt.datetime, check: bool = True
     ) -> None:
         """Load one day. Running the last day again replaces it and gives the same rows; a day
         before the last one is late, see `rebuild`."""
-        day, last = as_date(day), self._last_load()
+        loads, day = self._loads(), as_date(day)
+        last = self._last(loads)
         if day < last["day"]:
             raise ValueError(f"{day} is before the last loaded day {last['day']}: use rebuild")
-        before = self.as_of(day - dt.timedelta(days=1))
+        before = self._books(loads, day - dt.timedelta(days=1))
         staged = self._stage(day_snapshot(before, feeds, day, run_ts, self.grain))
         if check:
             self._gate(staged.withColumn("is_current", F.lit(True)), day, run_ts)
-        self._replace_days(staged, [day])
-        state_day = last["state_day"]
+        self._replace_days(staged)
+        if staged.isEmpty():
+            self._empty_day(day)
+        state_day, state = last["state_day"], last["state"]
         if state_day == day or (day - state_day).days >= self.state_every:
-            books = before.select(*SNAPSHOT.names).unionByName(staged)
-            self._write_state(as_of(books, day, grain=self.grain), last["epoch"], day)
-            state_day = day
-        self._finish(day, last["epoch"], state_day, run_ts)
+            books = before.unionByName(staged)
+            state_day, state = day, self._write_state(as_of(books, day, grain=self.grain))
+        self._finish(loads, day=day, epoch=last["epoch"], state_day=state_day, state=state)
 
     def late_purchases(self, batch: Sequence[Feed]) -> DataFrame:
         """The purchases that have events in `batch` dated on or before the last loaded day.
         Hand them to `rebuild`, or leave the past as it was reported."""
-        loaded = F.col(self.grain.date) <= F.lit(self._last_load()["day"])
+        loaded = F.col(self.grain.date) <= F.lit(self._last(self._loads())["day"])
         keys = [feed.placed(self.grain).where(loaded).select(self.grain.key) for feed in batch]
         return reduce(DataFrame.union, keys).distinct()
 
@@ -162,7 +158,8 @@ class DailyStore:
         """Late or corrected events: recompute the purchases listed in `purchases` from the
         full feeds, up to the last loaded day. Rows of other purchases are carried over."""
         key, date = self.grain.key, self.grain.date
-        last = self._last_load()
+        loads = self._loads()
+        last = self._last(loads)
         upto = F.col(date) <= F.lit(last["day"])
         keys = purchases.select(key).distinct()
         feeds = [feed.where(upto).only(keys, key) for feed in feeds]
@@ -173,16 +170,34 @@ class DailyStore:
         days = stale.select(date).union(fresh.select(date)).distinct()
         kept = self.snapshots().join(days, date, "left_semi").join(keys, key, "left_anti")
         changed = self._stage(kept.select(*SNAPSHOT.names).unionByName(fresh))
-        others = self.as_of(last["day"]).join(keys, key, "left_anti").select(*SNAPSHOT.names)
-        state = others.unionByName(as_of(fresh, last["day"], grain=self.grain))
-        epoch = last["epoch"] + 1
-        self._write_state(state, epoch, last["day"])
-        # The list of days has one entry per calendar day at most.
-        self._replace_days(changed, [row[date] for row in days.collect()])
-        self._finish(last["day"], epoch, last["day"], run_ts)
+        others = self._books(loads, last["day"]).join(keys, key, "left_anti")
+        books = others.unionByName(as_of(fresh, last["day"], grain=self.grain))
+        state = self._write_state(books)
+        # At most one row per calendar day.
+        emptied = days.join(changed.select(date).distinct(), date, "left_anti").collect()
+        self._replace_days(changed)
+        for row in emptied:
+            self._empty_day(row[date])
+        epoch, day = last["epoch"] + 1, last["day"]
+        self._finish(loads, day=day, epoch=epoch, state_day=day, state=state)
 
     # -- parts -----------------------------------------------------------------------------
 
+    def _books(
+        self, loads: Sequence[Row], cutoff: dt.date, columns: Sequence[str] | None = None
+    ) -> DataFrame:
+        """The newest state up to `cutoff` that is still valid, brought forward by the
+        snapshots since; the snapshots alone if there is none."""
+        epoch = self._last(loads)["epoch"]
+        valid = [x for x in loads if x["epoch"] == epoch and x["state_day"] <= cutoff]
+        rows = self.snapshots()
+        if valid:
+            newest = max(valid, key=lambda load: (load["state_day"], load["number"]))
+            newer = rows.where(F.col(self.grain.date) > F.lit(newest["state_day"]))
+            path = f"{self.root}/states/{newest['state']}"
+            rows = self.spark.read.schema(SNAPSHOT).parquet(path).unionByName(newer)
+        return as_of(rows, cutoff, columns, self.grain)
+
     def _stage(self, rows: DataFrame) -> DataFrame:
         path = f"{self.root}/staging/{uuid.uuid4().hex}"
         rows.write.parquet(path)
@@ -191,35 +206,37 @@ class DailyStore:
     def _gate(self, rows: DataFrame, run_date: dt.date | str, now: dt.datetime) -> None:
         gate(run_checks(rows, run_date, now, self.grain))
 
-    def _replace_days(self, staged: DataFrame, days: Sequence[dt.date]) -> None:
-        """Swap in the staged rows for exactly these days. A dynamic overwrite leaves a day
-        without rows as it was, so such a day is emptied by itself."""
-        path, date = f"{self.root}/snapshots", self.grain.date
-        write_history(staged, path, self.grain)
-        filled = {row[date] for row in staged.select(date).distinct().collect()}
-        for day in set(days) - filled:
-            nothing = staged.where(F.lit(False)).drop(date)
-            nothing.write.mode("overwrite").parquet(f"{path}/{date}={day}")
-
-    def _state_path(self, epoch: int, state_day: dt.date) -> str:
-        return f"{self.root}/state/epoch={epoch}/state_day={state_day}"
-
-    def _write_state(self, state: DataFrame, epoch: int, day: dt.date) -> None:
-        rows = state.select(*SNAPSHOT.names)
-        rows.write.mode("overwrite").parquet(self._state_path(epoch, day))
-
-    def _loads(self) -> DataFrame:
-        return self.spark.read.schema(_LOADS).parquet(f"{self.root}/loads")
-
-    def _last_load(self) -> Row:
-        order = [F.desc(name) for name in ("epoch", "day", "state_day")]
-        return self._loads().orderBy(*order).first()
-
-    def _finish(self, day: dt.date, epoch: int, state_day: dt.date, run_ts: dt.datetime) -> None:
-        line = self.spark.range(1).select(
-            F.lit(day).alias("day"),
-            F.lit(epoch).cast("long").alias("epoch"),
-            F.lit(state_day).alias("state_day"),
-            clock_literal(run_ts).alias("finished_at"),
+    def _replace_days(self, staged: DataFrame) -> None:
+        write_history(staged, f"{self.root}/snapshots", self.grain, replace="days")
+
+    def _empty_day(self, day: dt.date) -> None:
+        """Replacing by day leaves a day without new rows as it was."""
+        nothing = self.snapshots().where(F.lit(False)).drop(self.grain.date)
+        path = f"{self.root}/snapshots/{self.grain.date}={day}"
+        nothing.write.mode("overwrite").parquet(path)
+
+    def _write_state(self, state: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        state.select(*SNAPSHOT.names).write.parquet(f"{self.root}/states/{name}")
+        return name
+
+    def _loads(self) -> list[Row]:
+        """All finished loads, one line each; none before the first."""
+        try:
+            return self.spark.read.schema(_LOADS).parquet(f"{self.root}/loads").collect()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+
+    def _last(self, loads: Sequence[Row]) -> Row:
+        if not loads:
+            raise ValueError(f"{self.root} has not been started")
+        return max(loads, key=lambda load: load["number"])
+
+    def _finish(self, loads: Sequence[Row], **line) -> None:
+        values = {"number": len(loads), **line}
+        row = self.spark.range(1, numPartitions=1).select(
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _LOADS]
         )
-        line.write.mode("append").parquet(f"{self.root}/loads")
+        row.write.mode("append").parquet(f"{self.root}/loads")

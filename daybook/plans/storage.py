@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,7 +14,10 @@ from daybook.schemas import HISTORY, PURCHASE, Grain
 
 
 def write_history(
-    history: DataFrame, path: str, grain: Grain = PURCHASE, mode: str = "overwrite"
+    history: DataFrame,
+    path: str,
+    grain: Grain = PURCHASE,
+    replace: Literal["nothing", "days", "all"] = "nothing",
 ) -> None:
     """Write one folder per day, rows sorted by entity.
 
@@ -21,12 +25,15 @@ def write_history(
     big for the cut, a day gets as many files as its size asks for, the number of files is at
     most tasks + days, and each file spans few entity ids, which lets a point lookup skip
     almost all row groups.
+
+    replace="nothing" refuses an existing path, "days" swaps the days that have rows and keeps
+    all others, "all" swaps the table (not while reading from it).
     """
     (
         history.repartitionByRange(grain.date, grain.key)
         .sortWithinPartitions(grain.date, grain.key)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
+        .write.mode("errorifexists" if replace == "nothing" else "overwrite")
+        .option("partitionOverwriteMode", "dynamic" if replace == "days" else "static")
         .partitionBy(grain.date)
         .parquet(path)
     )
@@ -54,7 +61,7 @@ def publish(
     """
     spark = history.sparkSession
     path = f"{root}/{version}"
-    write_history(history, path, grain, mode="errorifexists")
+    write_history(history, path, grain)
     stored = read_history(spark, path, T.StructType([HISTORY[name] for name in history.columns]))
     report = gate(run_checks(stored, run_date, now, grain))
     names = ", ".join(history.columns)

@@ -90,6 +90,19 @@ def test_csv_files_give_the_same_history(spark, tmp_path):
     assert x.same(build_history(purchase_feeds(*read), x.RUN_TS), x.history(spark))
 
 
+def test_a_history_written_by_a_float_id_tool_can_be_read(spark, tmp_path):
+    (tmp_path / "h.csv").write_text(
+        ",".join(s.HISTORY.names)
+        + "\n2023-01-20,55,15947.0,5.0,2023-01-20,,852852.0,500.0,APROVADA,5.0,,696969.0,50.0,,"
+        + 'False,True,"purchase,product_item",2026-04-25 16:21:31\n'
+    )
+    row = read_csv(spark, str(tmp_path / "h.csv"), s.HISTORY).first()
+    assert (row["buyer_id"], row["prod_item_partition"], row["subsidiary"]) == (15947, None, None)
+    assert (row["is_current"], row["is_gmv_eligible"]) == (False, True)
+    assert row["updated_sources"] == "purchase,product_item"
+    assert row["purchase_total_value"] == x.money(500)
+
+
 def test_csv_with_another_header_is_refused(spark, tmp_path):
     export_csv(x.feeds(spark)[2].events.withColumnRenamed("subsidiary", "branch"), str(tmp_path / "f"))
     with pytest.raises(Exception, match="CSV header does not conform"):
@@ -112,17 +125,17 @@ def test_roundtrip_by_day(spark, tmp_path):
 
 def test_publish_switches_only_after_the_gate(spark, tmp_path):
     root, sound = str(tmp_path), x.history(spark)
-    publish(sound, root, "v1", "fct_purchase_history", x.RUN_DATE, x.NOW)
-    assert x.same(spark.table("fct_purchase_history"), sound)
+    publish(sound, root, "v1", "published_history", x.RUN_DATE, x.NOW)
+    assert x.same(spark.table("published_history"), sound)
     with pytest.raises(DataQualityError):
         broken = sound.withColumn("updated_sources", F.lit(""))
-        publish(broken, root, "v2", "fct_purchase_history", x.RUN_DATE, x.NOW)
-    assert x.same(spark.table("fct_purchase_history"), sound)
+        publish(broken, root, "v2", "published_history", x.RUN_DATE, x.NOW)
+    assert x.same(spark.table("published_history"), sound)
     grown = sound.where("purchase_id <> 56")
-    report = publish(grown, root, "v3", "fct_purchase_history", x.RUN_DATE, x.NOW)
+    report = publish(grown, root, "v3", "published_history", x.RUN_DATE, x.NOW)
     assert report.where("passed").count() == 23
-    assert spark.table("fct_purchase_history").columns == s.HISTORY.names
-    assert spark.table("fct_purchase_history").count() == 8
+    assert spark.table("published_history").columns == s.HISTORY.names
+    assert spark.table("published_history").count() == 8
 
 
 def test_table_definition(spark, tmp_path):
@@ -181,6 +194,8 @@ def test_a_day_can_be_loaded_again(spark, tmp_path):
     for _ in range(2):
         store.append_day(feeds, "2023-07-15", x.RUN_TS)
         assert x.same(store.history(), x.history(spark))
+    with pytest.raises(ValueError, match="started"):
+        store.start(feeds, "2023-07-12", x.RUN_TS)
     corrected = x.feeds(spark, x.PURCHASE_ROWS[:-1])
     store.append_day(corrected, "2023-07-15", x.RUN_TS)
     assert x.same(store.history(), build_history(corrected, x.RUN_TS))
