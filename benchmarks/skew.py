@@ -9,8 +9,6 @@ each build, the last two from the event log Spark writes to the scratch folder.
 
 from __future__ import annotations
 
-import glob
-import json
 import os
 import sys
 import time
@@ -21,29 +19,12 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from benchmarks.spark_log import log_metrics, session  # noqa: E402
 from daybook.plans import build_history, build_history_literal  # noqa: E402
 from daybook.sources import Feed  # noqa: E402
 from registered import bindings  # noqa: E402
 
 
-def session(log_dir: str) -> SparkSession:
-    os.makedirs(log_dir)
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "64")
-        .config("spark.driver.memory", "12g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.eventLog.enabled", "true")
-        .config("spark.eventLog.compress", "false")
-        .config("spark.eventLog.dir", f"file://{log_dir}")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
-
-
 def enlarge(spark: SparkSession, sf: str, out: str, copies: int, skewed: bool) -> str:
     """Write `copies` times the given events, each copy with users of its own."""
     events = spark.read.parquet(f"{sf}/events.parquet")
@@ -64,28 +45,8 @@ def by_purchase(feeds: list[Feed]) -> list[Feed]:
     return [replace(feed, events=feed.events.repartition("purchase_id")) for feed in feeds]
 
 
-def log_metrics(log_dir: str) -> dict[str, tuple[int, float]]:
-    """Job group -> (shuffle bytes written, longest task in seconds)."""
-    groups, found = {}, {}
-    for file in glob.glob(f"{log_dir}/**/*", recursive=True):
-        if os.path.isdir(file):
-            continue
-        for line in open(file):
-            event = json.loads(line)
-            if event["Event"] == "SparkListenerJobStart":
-                group = event["Properties"].get("spark.jobGroup.id")
-                groups.update({stage: group for stage in event["Stage IDs"]})
-            elif event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
-                group = groups.get(event["Stage ID"])
-                written = event["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]
-                took = (event["Task Info"]["Finish Time"] - event["Task Info"]["Launch Time"]) / 1e3
-                total, longest = found.get(group, (0, 0.0))
-                found[group] = (total + written, max(longest, took))
-    return found
-
-
 def main(sf: str, scratch: str, copies: int = 100) -> None:
-    spark = session(f"{scratch}/log")
+    spark = session(f"{scratch}/log", shuffle_partitions=64)
     seconds = {}
     for skewed in (False, True):
         path = enlarge(spark, sf, scratch, copies, skewed)
@@ -106,7 +67,7 @@ def main(sf: str, scratch: str, copies: int = 100) -> None:
     spark.stop()
     metrics = log_metrics(f"{scratch}/log")
     for group, took in seconds.items():
-        written, longest = metrics[group]
+        written, longest = metrics[group]["shuffle_bytes"], metrics[group]["longest_task"]
         print(f"{group:30s} {took:7.1f} s  {written / 2**20:9.0f} MiB shuffled  longest task {longest:6.1f} s")
 
 

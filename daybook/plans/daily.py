@@ -4,7 +4,7 @@ yesterday's partition and no other partition is touched.
     <root>/snapshots/transaction_date=D   the rows of day D, without the is_current flag
     <root>/states/<id>                    one row per purchase: its newest row up to some day
     <root>/loads                          one line per finished load, written last
-    <root>/staging/<id>                   rows awaiting the gate
+    <root>/staging/<id>                   events and rows of a load on their way
 
 The books as of any day are the newest state before it plus the snapshots since then, so a
 load reads its own events, one state and at most `state_every` days, whatever the length of
@@ -41,27 +41,21 @@ _LOADS = table(
 
 
 def day_snapshot(
-    previous: DataFrame,
+    touched: DataFrame,
+    before: DataFrame,
     feeds: Sequence[Feed],
-    day: dt.date | str,
     run_ts: dt.datetime,
     grain: Grain = PURCHASE,
 ) -> DataFrame:
     """The snapshot rows of one day: each touched entity's new values, and its previous ones
-    where the day brought none. `previous` has one row per entity, as of the day before.
+    where the day brought none. `touched` holds the day's `touched_days`, `before` one row for
+    each of their entities that was known the day before.
 
     Equals that day of a full build if all events of a day are there when it is loaded.
     """
-    at = date_literal(day)
-    touched = touched_days([feed.where(F.col(grain.date) == at) for feed in feeds], grain)
     payload = [name for feed in feeds for name in feed.payload]
-    # Cut the books to the touched entities first: if the day's keys are few enough to be
-    # broadcast, nothing else of them moves.
-    known = previous.select(grain.key, *payload).join(
-        touched.select(grain.key), grain.key, "left_semi"
-    )
-    before = known.select(grain.key, F.struct(*payload).alias("before"))
-    merged = touched.join(before, grain.key, "left").select(
+    known = before.select(grain.key, F.struct(*payload).alias("before"))
+    merged = touched.join(known, grain.key, "left").select(
         *grain.day,
         *[
             F.coalesce(F.col(feed.flag)[name], F.col("before")[name]).alias(name)
@@ -132,8 +126,12 @@ class DailyStore:
         last = self._last(loads)
         if day < last["day"]:
             raise ValueError(f"{day} is before the last loaded day {last['day']}: use rebuild")
-        before = self._books(loads, day - dt.timedelta(days=1))
-        staged = self._stage(day_snapshot(before, feeds, day, run_ts, self.grain))
+        at, eve = F.col(self.grain.date) == date_literal(day), day - dt.timedelta(days=1)
+        # Written first: the day's events are read once, and Spark knows how many keys it
+        # joins with the books.
+        touched = self._stage(touched_days([feed.where(at) for feed in feeds], self.grain))
+        before = self._books(loads, eve, among=touched.select(self.grain.key))
+        staged = self._stage(day_snapshot(touched, before, feeds, run_ts, self.grain))
         if check:
             self._gate(staged.withColumn("is_current", F.lit(True)), day, run_ts)
         self._replace_days(staged)
@@ -141,7 +139,7 @@ class DailyStore:
             self._empty_day(day)
         state_day, state = last["state_day"], last["state"]
         if state_day == day or (day - state_day).days >= self.state_every:
-            books = before.unionByName(staged)
+            books = self._books(loads, eve).unionByName(staged)
             state_day, state = day, self._write_state(as_of(books, day, grain=self.grain))
         self._finish(loads, day=day, epoch=last["epoch"], state_day=state_day, state=state)
 
@@ -184,10 +182,15 @@ class DailyStore:
     # -- parts -----------------------------------------------------------------------------
 
     def _books(
-        self, loads: Sequence[Row], cutoff: dt.date, columns: Sequence[str] | None = None
+        self,
+        loads: Sequence[Row],
+        cutoff: dt.date,
+        columns: Sequence[str] | None = None,
+        among: DataFrame | None = None,
     ) -> DataFrame:
         """The newest state up to `cutoff` that is still valid, brought forward by the
-        snapshots since; the snapshots alone if there is none."""
+        snapshots since; the snapshots alone if there is none. `among` lists the purchases
+        wanted, and is applied before rows are compared."""
         epoch = self._last(loads)["epoch"]
         valid = [x for x in loads if x["epoch"] == epoch and x["state_day"] <= cutoff]
         rows = self.snapshots()
@@ -196,12 +199,14 @@ class DailyStore:
             newer = rows.where(F.col(self.grain.date) > F.lit(newest["state_day"]))
             path = f"{self.root}/states/{newest['state']}"
             rows = self.spark.read.schema(SNAPSHOT).parquet(path).unionByName(newer)
+        if among is not None:
+            rows = rows.join(among, self.grain.key, "left_semi")
         return as_of(rows, cutoff, columns, self.grain)
 
     def _stage(self, rows: DataFrame) -> DataFrame:
         path = f"{self.root}/staging/{uuid.uuid4().hex}"
         rows.write.parquet(path)
-        return self.spark.read.schema(SNAPSHOT).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def _gate(self, rows: DataFrame, run_date: dt.date | str, now: dt.datetime) -> None:
         gate(run_checks(rows, run_date, now, self.grain))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from daybook.plans import (
 from daybook.plans.quality import current_rows_per_entity as current_rows
 from daybook.plans.quality import duplicate_keys as duplicates
 from daybook.schemas import PURCHASE_EVENTS
-from daybook.sources import normalize, quarantined, read_csv, register_views, shared_folder
+from daybook.sources import Feed, normalize, quarantined, read_csv, register_views, shared_folder
 from registered import bindings as b
 
 # ---- revenue -----------------------------------------------------------------------------
@@ -232,13 +233,16 @@ def history_roundtrip_pruned(spark: SparkSession, sf: str) -> DataFrame:
     return as_of(read_history(spark, path), b.CUTOFF)
 
 
+def _last_day(feeds: list[Feed]) -> dt.date:
+    dates = reduce(DataFrame.union, [feed.events.select("transaction_date") for feed in feeds])
+    return dates.agg(F.max("transaction_date")).first()[0]
+
+
 def _loaded(spark: SparkSession, sf: str, state_every: int) -> DailyStore:
     """All events loaded in day order: up to three days before the end at once, the others one
     by one, the last one twice."""
     feeds = b.feeds(spark, sf)
-    last = max(
-        feed.events.agg(F.max("transaction_date").alias("day")).first()["day"] for feed in feeds
-    )
+    last = _last_day(feeds)
     store = DailyStore(spark, shared_folder(spark, "daily"), state_every)
     store.start(feeds, last - dt.timedelta(days=2), b.RUN_TS, check=False)
     for days_back in (1, 0, 0):
@@ -259,14 +263,11 @@ def rebuilt_history(spark: SparkSession, sf: str) -> DataFrame:
     purchases they belong to."""
     feeds = b.feeds(spark, sf)
     late = F.col("event_id") % 50 == 7
-    last = max(
-        feed.events.agg(F.max("transaction_date").alias("day")).first()["day"] for feed in feeds
-    )
+    last = _last_day(feeds)
     store = DailyStore(spark, shared_folder(spark, "rebuilt"))
     store.start([feed.where(~late) for feed in feeds], last, b.RUN_TS, check=False)
-    late_keys = [feed.events.where(late).select("purchase_id") for feed in feeds]
-    purchases = late_keys[0].union(late_keys[1]).union(late_keys[2])
-    store.rebuild(feeds, purchases, b.RUN_TS, check=False)
+    batch = [feed.where(late) for feed in feeds]
+    store.rebuild(feeds, store.late_purchases(batch), b.RUN_TS, check=False)
     return store.history()
 
 
