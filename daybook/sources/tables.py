@@ -23,12 +23,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
     Only a local session may do without that setting; there the machine is the cluster.
     """
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not context.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="daybook-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -88,6 +88,19 @@ def test_year_is_a_pushed_range_and_the_top_is_taken_per_task(stored):
     assert "partial_count" in text and "Cartesian" not in text and "NestedLoop" not in text
 
 
+def test_item_partition_prunes_both_sides_of_the_revenue_join(spark, tmp_path):
+    for name, schema, rows in [
+        ("p", s.PURCHASE_CURRENT, x.PURCHASE_CURRENT_ROWS),
+        ("pi", s.PRODUCT_ITEM_CURRENT, x.ITEM_CURRENT_ROWS),
+    ]:
+        table = x.frame(spark, schema, rows)
+        table.write.partitionBy("prod_item_partition").parquet(str(tmp_path / name))
+    purchase, item = (spark.read.parquet(str(tmp_path / name)) for name in ("p", "pi"))
+    text = plan(top_producers(purchase.where("prod_item_partition = 6"), item, 2021))
+    pruned = [part.split("]")[0] for part in text.split("PartitionFilters: [")[1:]]
+    assert len(pruned) == 2 and all("= 6" in filters for filters in pruned)
+
+
 def test_products_are_pruned_to_n_before_the_shuffle_by_producer(stored):
     text = plan(top_products(stored["purchase"], stored["item"], 2))
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
