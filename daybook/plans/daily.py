@@ -108,13 +108,13 @@ class DailyStore:
             raise ValueError(f"{self.root} has been started")
         through = as_date(through)
         upto = F.col(self.grain.date) <= date_literal(through)
-        rows = build_history(
-            [feed.where(upto) for feed in feeds], run_ts, self.grain, SNAPSHOT.names
-        )
-        write_history(rows, f"{self.root}/snapshots", self.grain, replace="all")
+        rows = self._stage(build_history([feed.where(upto) for feed in feeds], run_ts, self.grain))
         if check:
-            self._gate(self.history(), through, run_ts)
-        state = self._write_state(as_of(self.snapshots(), through, grain=self.grain))
+            self._gate(rows, through, run_ts)
+        write_history(
+            rows.select(*SNAPSHOT.names), f"{self.root}/snapshots", self.grain, replace="all"
+        )
+        state = self._write_state(rows.where("is_current"))
         self._finish([], day=through, epoch=0, state_day=through, state=state)
 
     def append_day(
@@ -159,18 +159,21 @@ class DailyStore:
         loads = self._loads()
         last = self._last(loads)
         upto = F.col(date) <= F.lit(last["day"])
-        keys = purchases.select(key).distinct()
+        # Keys and days are written first, too: both are read several times, and Spark can
+        # tell whether they are small enough to be broadcast to the feeds and the snapshots.
+        keys = self._stage(purchases.select(key).distinct())
         feeds = [feed.where(upto).only(keys, key) for feed in feeds]
-        fresh = self._stage(build_history(feeds, run_ts, self.grain, SNAPSHOT.names))
+        fresh = self._stage(build_history(feeds, run_ts, self.grain))
         if check:
-            self._gate(mark_current(fresh, self.grain), last["day"], run_ts)
+            self._gate(fresh, last["day"], run_ts)
         stale = self.snapshots().join(keys, key, "left_semi")
-        days = stale.select(date).union(fresh.select(date)).distinct()
+        days = self._stage(stale.select(date).union(fresh.select(date)).distinct())
         kept = self.snapshots().join(days, date, "left_semi").join(keys, key, "left_anti")
-        changed = self._stage(kept.select(*SNAPSHOT.names).unionByName(fresh))
+        names = SNAPSHOT.names
+        changed = self._stage(kept.select(*names).unionByName(fresh.select(*names)))
         others = self._books(loads, last["day"]).join(keys, key, "left_anti")
-        books = others.unionByName(as_of(fresh, last["day"], grain=self.grain))
-        state = self._write_state(books)
+        newest = fresh.where("is_current").select(*names)
+        state = self._write_state(others.unionByName(newest))
         # At most one row per calendar day.
         emptied = days.join(changed.select(date).distinct(), date, "left_anti").collect()
         self._replace_days(changed)
