@@ -259,10 +259,10 @@ def incremental_current(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rebuilt_history(spark: SparkSession, sf: str) -> DataFrame:
-    """A load that missed part of the feeds, then the late events and a rebuild of the
-    purchases they belong to."""
+    """Loads that missed the last two hours of every day, then those events, late, and a
+    rebuild of the purchases they belong to."""
     feeds = b.feeds(spark, sf)
-    late = F.col("event_id") % 50 == 7
+    late = F.hour("transaction_datetime") >= 22
     last = _last_day(feeds)
     store = DailyStore(spark, shared_folder(spark, "rebuilt"))
     store.start([feed.where(~late) for feed in feeds], last, b.RUN_TS, check=False)

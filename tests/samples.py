@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +107,30 @@ def event(when: str, pid, status="APROVADA", release="2024-01-01", buyer=1, tota
     return (when, day or when[:10], pid, buyer, 5, "2024-01-01", release, 9, total, status, 1, 1)
 
 
+def random_events(seed, hot_share):
+    rng = random.Random(seed)
+    minute = iter(rng.sample(range(24 * 60), 600))
+
+    def at():
+        pid = 7 if rng.random() < hot_share else rng.randint(1, 12)
+        date = f"2024-01-{rng.randint(1, 6):02d}"
+        m = next(minute)
+        return f"{date} {m // 60:02d}:{m % 60:02d}:00", date, pid
+
+    def maybe(value):
+        return None if rng.random() < 0.25 else value
+
+    statuses = [*s.STATUS_DOMAIN, "APROVADA", "APROVADA"]
+    p = [
+        (*at(), maybe(rng.randint(1, 99)), maybe(rng.randint(1, 9)), maybe("2024-01-01"),
+         maybe("2024-01-02"), maybe(3), maybe(rng.randint(1, 500)), maybe(rng.choice(statuses)), 1, 2)
+        for _ in range(80)
+    ]
+    pi = [(*at(), maybe(rng.randint(1, 9)), 1, maybe(rng.randint(1, 500))) for _ in range(80)]
+    ei = [(*at(), maybe(rng.choice(["nacional", "internacional"]))) for _ in range(80)]
+    return p, pi, ei
+
+
 def same(a: DataFrame, b: DataFrame) -> bool:
     """Equal as bags of rows, column by column name."""
     columns = sorted(a.columns)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ import samples as x
 from daybook import schemas as s
 from daybook.operators import event_spine, forward_fill, last_of_day, mark_current
 from daybook.plans import build_history, build_history_literal
-from daybook.sources import accepted, purchase_feeds, quarantined
+from daybook.sources import Feed, accepted, purchase_feeds, quarantined
 
 BUILDS = [build_history, build_history_literal]
 
@@ -168,33 +166,20 @@ def rebuild(p_rows, pi_rows, ei_rows):
     return out
 
 
-def random_events(seed, hot_share):
-    rng = random.Random(seed)
-    minute = iter(rng.sample(range(24 * 60), 600))
-
-    def at():
-        pid = 7 if rng.random() < hot_share else rng.randint(1, 12)
-        date = f"2024-01-{rng.randint(1, 6):02d}"
-        m = next(minute)
-        return f"{date} {m // 60:02d}:{m % 60:02d}:00", date, pid
-
-    def maybe(value):
-        return None if rng.random() < 0.25 else value
-
-    statuses = [*s.STATUS_DOMAIN, "APROVADA", "APROVADA"]
-    p = [
-        (*at(), maybe(rng.randint(1, 99)), maybe(rng.randint(1, 9)), maybe("2024-01-01"),
-         maybe("2024-01-02"), maybe(3), maybe(rng.randint(1, 500)), maybe(rng.choice(statuses)), 1, 2)
-        for _ in range(80)
-    ]
-    pi = [(*at(), maybe(rng.randint(1, 9)), 1, maybe(rng.randint(1, 500))) for _ in range(80)]
-    ei = [(*at(), maybe(rng.choice(["nacional", "internacional"]))) for _ in range(80)]
-    return p, pi, ei
-
-
 @pytest.mark.parametrize("seed,hot_share", [(1, 0.0), (2, 0.4), (3, 0.9)])
 def test_agrees_with_plain_python(spark, seed, hot_share):
-    p, pi, ei = random_events(seed, hot_share)
+    p, pi, ei = x.random_events(seed, hot_share)
     expected = x.frame(spark, s.HISTORY, rebuild(p, pi, ei))
     for build in BUILDS:
         assert x.same(build(x.feeds(spark, p, pi, ei), x.RUN_TS), expected)
+
+
+def test_row_order_and_partitioning_do_not_matter(spark):
+    p, pi, ei = x.random_events(4, 0.5)
+    expected = build_history(x.feeds(spark, p, pi, ei), x.RUN_TS)
+    shuffled = x.feeds(spark, p[::-1], sorted(pi, key=str), ei)
+    moved = [
+        Feed(f.source, f.flag, f.events.repartition(7, "transaction_date"), f.payload)
+        for f in shuffled
+    ]
+    assert x.same(build_history(moved, x.RUN_TS), expected)

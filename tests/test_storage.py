@@ -187,6 +187,25 @@ def test_loading_day_by_day_equals_the_full_build(spark, tmp_path, state_every):
         assert x.same(store.as_of(cutoff), as_of(full.drop("is_current"), cutoff))
 
 
+@pytest.mark.parametrize("seed,state_every", [(11, 2), (12, 9)])
+def test_random_loads_with_late_events_equal_the_full_build(spark, tmp_path, seed, state_every):
+    rows = x.random_events(seed, hot_share=0.3)
+    full = x.feeds(spark, *rows)
+    early = x.feeds(spark, *[[r for i, r in enumerate(feed) if i % 9 != seed % 9] for feed in rows])
+    late = x.feeds(spark, *[[r for i, r in enumerate(feed) if i % 9 == seed % 9] for feed in rows])
+    store = DailyStore(spark, str(tmp_path), state_every)
+    store.start(early, "2024-01-03", x.RUN_TS, check=False)
+    store.append_day(early, "2024-01-04", x.RUN_TS, check=False)
+    store.rebuild(full, store.late_purchases(late), x.RUN_TS, check=False)
+    for day in ("2024-01-05", "2024-01-06"):
+        store.append_day(full, day, x.RUN_TS, check=False)
+    expected = build_history(full, x.RUN_TS)
+    assert x.same(store.history(), expected)
+    assert x.same(store.current(), current(expected))
+    for cutoff in ("2024-01-02", "2024-01-04", "2024-01-05"):
+        assert x.same(store.as_of(cutoff), as_of(expected.drop("is_current"), cutoff))
+
+
 def test_a_day_can_be_loaded_again(spark, tmp_path):
     feeds = x.feeds(spark)
     store = DailyStore(spark, str(tmp_path), state_every=1)
