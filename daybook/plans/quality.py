@@ -29,7 +29,11 @@ NO_DUPLICATE = "no_duplicate_pk"
 
 
 class DataQualityError(RuntimeError):
-    """A critical check failed; nothing may be published."""
+    """A critical check failed; nothing may be published. `report` tells the whole story."""
+
+    def __init__(self, message: str, report: DataFrame):
+        super().__init__(message)
+        self.report = report
 
 
 @dataclass(frozen=True)
@@ -226,5 +230,5 @@ def gate(report: DataFrame) -> DataFrame:
     failed = report.where(F.col("critical") & ~F.col("passed")).select("check").collect()
     if failed:
         names = ", ".join(row["check"] for row in failed)
-        raise DataQualityError(f"load blocked, critical checks failed: {names}")
+        raise DataQualityError(f"load blocked, critical checks failed: {names}", report)
     return report

@@ -135,5 +135,7 @@ def test_gate_blocks_on_critical_failures_only(spark):
     stale = run_checks(sound, x.RUN_DATE, x.NOW + dt.timedelta(days=1))
     assert gate(stale) is stale
     broken = sound.withColumns({"updated_sources": F.lit(""), "is_current": F.lit(False)})
-    with pytest.raises(DataQualityError, match="one_is_current_per_purchase, updated_sources_not_empty"):
+    names = "one_is_current_per_purchase, updated_sources_not_empty"
+    with pytest.raises(DataQualityError, match=names) as blocked:
         gate(run_checks(broken, x.RUN_DATE, x.NOW))
+    assert blocked.value.report.count() == 23
