@@ -64,8 +64,12 @@ def publish(
     write_history(history, path, grain)
     stored = read_history(spark, path, T.StructType([HISTORY[name] for name in history.columns]))
     report = gate(run_checks(stored, run_date, now, grain))
-    names = ", ".join(history.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {names} FROM parquet.`{path}`")
+    query = f"SELECT {', '.join(history.columns)} FROM parquet.`{path}`"
+    if stored.isEmpty():
+        # Without rows there are no files to take the columns from.
+        kinds = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in stored.schema]
+        query = f"SELECT {', '.join(kinds)} WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
     return report
 
 

@@ -138,6 +138,14 @@ def test_publish_switches_only_after_the_gate(spark, tmp_path):
     assert spark.table("published_history").count() == 8
 
 
+def test_an_empty_history_can_be_published(spark, tmp_path):
+    empty = x.history(spark).where("false")
+    report = publish(empty, str(tmp_path), "v1", "empty_history", x.RUN_DATE, x.NOW)
+    assert report.where("passed").count() == 23
+    published = spark.table("empty_history")
+    assert published.count() == 0 and published.dtypes == empty.dtypes
+
+
 def test_table_definition(spark, tmp_path):
     create_history_table(spark, "history_table", str(tmp_path / "t"))
     create_history_table(spark, "history_table", str(tmp_path / "t"))
