@@ -29,12 +29,8 @@ def _number() -> Column:
     return F.regexp_extract("props", "([0-9]+)", 1).cast("long")
 
 
-def _events(spark: SparkSession, sf: str, event_type: str) -> DataFrame:
-    return load_table(spark, sf, "events").where(F.col("event_type") == event_type)
-
-
-def _placed(event_type_rows: DataFrame, **payload: Column) -> DataFrame:
-    return event_type_rows.select(
+def _feed(events: DataFrame, event_type: str, **payload: Column) -> DataFrame:
+    return events.where(F.col("event_type") == event_type).select(
         F.col("ts").alias("transaction_datetime"),
         F.to_date("ts").alias("transaction_date"),
         F.col("user_id").alias("purchase_id"),
@@ -43,13 +39,14 @@ def _placed(event_type_rows: DataFrame, **payload: Column) -> DataFrame:
     )
 
 
-def purchase_events(spark: SparkSession, sf: str) -> DataFrame:
+def purchase_events(events: DataFrame) -> DataFrame:
     k, day = _number(), F.to_date("ts")
     status = (
         F.when(k % 4 <= 1, "APROVADA").when(k % 4 == 2, "CANCELADA").otherwise("INICIADA")
     )
-    return _placed(
-        _events(spark, sf, "purchase"),
+    return _feed(
+        events,
+        "purchase",
         buyer_id=k,
         prod_item_id=k + 1000,
         order_date=day,
@@ -62,24 +59,26 @@ def purchase_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def product_item_events(spark: SparkSession, sf: str) -> DataFrame:
-    return _placed(
-        _events(spark, sf, "view"),
+def product_item_events(events: DataFrame) -> DataFrame:
+    return _feed(
+        events,
+        "view",
         product_id=_number(),
         purchase_value=F.col("value").cast(MONEY),
     )
 
 
-def extra_info_events(spark: SparkSession, sf: str) -> DataFrame:
+def extra_info_events(events: DataFrame) -> DataFrame:
     subsidiary = F.when(_number() % 2 == 0, "nacional").otherwise("internacional")
-    return _placed(_events(spark, sf, "click"), subsidiary=subsidiary)
+    return _feed(events, "click", subsidiary=subsidiary)
 
 
 def feeds(spark: SparkSession, sf: str) -> list[Feed]:
+    events = load_table(spark, sf, "events")
     return purchase_feeds(
-        purchase_events(spark, sf),
-        product_item_events(spark, sf),
-        extra_info_events(spark, sf),
+        purchase_events(events),
+        product_item_events(events),
+        extra_info_events(events),
         tiebreak=("event_id",),
     )
 
@@ -89,7 +88,7 @@ def raw_purchase_text(spark: SparkSession, sf: str) -> DataFrame:
     the two columns that tolerate them."""
     k = F.col("buyer_id")
     day = F.col("order_date").cast("string")
-    feed = purchase_events(spark, sf).withColumns(
+    feed = purchase_events(load_table(spark, sf, "events")).withColumns(
         {
             "order_date": F.when(k % 7 == 0, "31/31/2024").otherwise(day),
             "release_date": F.when(k % 5 == 0, "").when(k % 5 == 1, "x").otherwise(day),
@@ -102,7 +101,7 @@ def raw_purchase_text(spark: SparkSession, sf: str) -> DataFrame:
 def unplaced_events(spark: SparkSession, sf: str) -> DataFrame:
     """The purchase feed with keys and times blanked out here and there."""
     k = F.col("buyer_id")
-    return purchase_events(spark, sf).withColumns(
+    return purchase_events(load_table(spark, sf, "events")).withColumns(
         {
             "purchase_id": F.when(k % 11 != 0, F.col("purchase_id")),
             "transaction_date": F.when(k % 13 != 0, F.col("transaction_date")),

@@ -135,8 +135,9 @@ def attached_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forward_filled(spark: SparkSession, sf: str) -> DataFrame:
-    payload = [name for feed in b.feeds(spark, sf) for name in feed.payload]
-    return forward_fill(attached_sources(spark, sf), payload)
+    feeds = b.feeds(spark, sf)
+    wide = attach(event_spine(feeds), feeds)
+    return forward_fill(wide, [name for feed in feeds for name in feed.payload])
 
 
 def current_flags(spark: SparkSession, sf: str) -> DataFrame:
