@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import sharding, sketches
+from daybook.llm import language, packing, secrets, sharding, sketches
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +16,26 @@ def op3_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return sketches.edited_fingerprints(_table(spark, sf, "documents"))
 
 
+def word_tokenizer() -> str:
+    """Where the installed vocabulary of op4 lies; the same on every machine of a cluster."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"), word_tokenizer())
+
+
+def op5_crf_language(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    held_out = F.coalesce(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)
+    )
+    model = language.fit(language.sample(documents, ~held_out))
+    return language.identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shards(
         _table(spark, sf, "documents"), ["lang", "source", "n_chars", "doc_id"]
@@ -25,9 +45,16 @@ def op8_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op3_document_fingerprints": op3_document_fingerprints,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_crf_language": op5_crf_language,
     "op8_hilbert_shards": op8_hilbert_shards,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {}
