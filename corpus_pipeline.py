@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm.scratch import written
+from daybook.llm.scratch import reach, written
 
 STAGES: list = []
 
@@ -13,6 +13,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, every stage's result written and read again."""
+    reach(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import language, packing, secrets, sharding, sketches
+from daybook.llm import jaccard, language, neighbours, packing, secrets, sharding, sketches
+from daybook.llm.scratch import reach
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    reach(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_permutation_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return sketches.edited_fingerprints(_table(spark, sf, "documents"))
 
@@ -36,6 +42,12 @@ def op5_crf_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(
+        _table(spark, sf, "documents"), size=4, percent=85, fold_case=True
+    )
+
+
 def op8_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shards(
         _table(spark, sf, "documents"), ["lang", "source", "n_chars", "doc_id"]
@@ -50,9 +62,11 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_permutation_neighbours": op1_permutation_neighbours,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_crf_language": op5_crf_language,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op10_secret_scan": op10_secret_scan,
 }

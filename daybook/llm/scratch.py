@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +27,16 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """The configured number of shuffle partitions, which grows with the input on a cluster."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def reach(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import this package from where the driver did.
+
+    On a cluster the package is installed or shipped with --py-files as usual; a path that does not exist
+    there changes nothing.
+    """
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, known)])

@@ -127,8 +127,8 @@ def shingle_hashes(
             for k in range(size):
                 rolled += words[k : k + len(rolled)] * _STEPS[k]
             full = np.flatnonzero(counts >= size)
-            at = _ranges(firsts[full], n[full])
-            out[_ranges(offsets[full], n[full])] = mix(rolled[at])
+            at = ranges(firsts[full], n[full])
+            out[ranges(offsets[full], n[full])] = mix(rolled[at])
         for i in np.flatnonzero((counts > 0) & (counts < size)):
             own = words[firsts[i] : firsts[i + 1]]
             one = np.array([(own * _STEPS[: len(own)]).sum() + np.uint64(len(own))], np.uint64)
@@ -136,7 +136,7 @@ def shingle_hashes(
     return out, offsets
 
 
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each pair, one after another."""
     total = int(lengths.sum())
     if not total:
