@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import jaccard, language, neighbours, packing, secrets, sharding, sketches
+from daybook.llm import jaccard, language, lines, neighbours, packing, secrets, sharding, sketches
 from daybook.llm.scratch import reach
 
 
@@ -57,6 +57,10 @@ def op8_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.repeated_lines(_table(spark, sf, "documents")).drop("row")
+
+
 def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(_table(spark, sf, "documents"))
 
@@ -68,7 +72,39 @@ QUERIES = {
     "op5_crf_language": op5_crf_language,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_hilbert_shards": op8_hilbert_shards,
+    "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+# Two lines are one edit apart if they agree without the character at one place, or if the longer one
+# without a character is the shorter.
+OP9_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)
+), fit AS (
+  SELECT * FROM lines WHERE length(trim(line, concat(' ', chr(9), chr(11), chr(12), chr(13)))) >= 20
+), one AS (
+  SELECT line, min((doc_id, line_no)) AS place FROM fit GROUP BY line
+), shorter AS (
+  SELECT line, place, i, hash(substr(line, 1, i - 1) || substr(line, i + 1)) AS rest, length(line) AS n
+  FROM (SELECT line, place, unnest(range(1, length(line) + 1)) AS i FROM one)
+), pairs AS (
+  SELECT a.place AS p, b.place AS q FROM shorter a JOIN shorter b
+    ON a.n = b.n AND a.i = b.i AND a.rest = b.rest AND a.line <> b.line
+  UNION
+  SELECT a.place, b.place FROM shorter a JOIN one b ON a.rest = hash(b.line) AND a.n = length(b.line) + 1
+), sides AS (
+  SELECT p, q FROM pairs UNION SELECT q, p FROM pairs
+), near AS (
+  SELECT q AS place, min(p) AS earlier FROM sides WHERE p < q GROUP BY q
+)
+SELECT f.doc_id, CAST(f.line_no AS INTEGER) AS line_no, CAST(length(f.line) AS INTEGER) AS n_chars,
+       coalesce(earlier, o.place)[1] AS first_doc_id,
+       CAST(coalesce(earlier, o.place)[2] AS INTEGER) AS first_line_no,
+       CAST(earlier IS NOT NULL AS INTEGER) AS edits
+FROM fit f JOIN one o USING (line) LEFT JOIN near USING (place)
+WHERE (f.doc_id, f.line_no) <> coalesce(earlier, o.place)
+"""
+
+ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
