@@ -364,6 +364,20 @@ def identify(frame: DataFrame, model: Model, id_column: str = "doc_id", text_col
     return source.mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 
+def accepted(frame: DataFrame, model: Model, least: float, text_column: str = "text") -> DataFrame:
+    """The rows whose text has a language with a score of at least `least`, all columns as they are."""
+    held = frame.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, text_column):
+                names, scores = held.value.predict(rows.column(text_column).to_pylist())
+                kept = [name != UNKNOWN and score >= least for name, score in zip(names, scores)]
+                yield rows.filter(pa.array(kept, pa.bool_()))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 def label_runs(frame: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id and the runs of words in one language: start and end in code points, and the language."""
     held = frame.sparkSession.sparkContext.broadcast(model)

@@ -122,17 +122,16 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text_column: str
 
 def without_lines(frame: DataFrame, gone: DataFrame, id_column: str = "doc_id",
                   text_column: str = "text") -> DataFrame:
-    """The rows with the given lines left out of their texts; all columns and rows stay."""
-    columns = frame.columns
+    """The rows without the given lines, all columns; rows that lose all their lines go."""
     numbers = gone.groupBy(F.col(id_column).alias("__id"), F.col("row").alias("__row")).agg(
         F.collect_set("line_no").alias("__gone")
     )
-    joined = frame.withColumn("__row", F.xxhash64(text_column)).join(
-        numbers, F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & (F.col("__row") == numbers["__row"]), "left"
-    )
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__row"))
+    joined = frame.join(numbers, same, "left")
     lines = F.split(text_column, "\n")
-    kept = F.array_join(
-        F.filter(lines, lambda line, i: ~F.array_contains("__gone", i)), "\n"
-    )
+    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__gone", i)), "\n")
     text = F.when(F.col("__gone").isNull(), F.col(text_column)).otherwise(kept)
-    return joined.withColumn(text_column, text).select(*columns)
+    whole = F.col("__gone").isNull() | (F.size("__gone") < F.size(lines))
+    return joined.where(whole).select(
+        *[text.alias(c) if c == text_column else F.col(c) for c in frame.columns]
+    )

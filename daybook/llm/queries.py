@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import jaccard, language, lines, neighbours, packing, secrets, sharding, sketches
-from daybook.llm.scratch import reach
+from daybook.llm import (
+    html_text,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    neighbours,
+    packing,
+    secrets,
+    sharding,
+    sketches,
+)
+from daybook.llm.scratch import reach, written
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +29,28 @@ def op1_permutation_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+#: Shares of expected tokens that the mixture should have.
+MIXTURE = {"clean": 0.94, "low": 0.05, "toxic": 0.01}
+
+
+def label_domain():
+    """The domain that a row of `labels` tells."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(
+        F.col("quality") == 1, "clean"
+    )
+
+
+def op2_soft_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    model = mixing.fit(mixing.sample(documents, _table(spark, sf, "labels"), label_domain()))
+    table = written(mixing.memberships(documents, model), "memberships")
+    steps = mixing.fit_steps(table, model.domains, MIXTURE)
+    shares = [
+        F.element_at("posterior", i + 1).alias(f"p_{domain}") for i, domain in enumerate(model.domains)
+    ]
+    return mixing.rated(table, steps, model.domains).select("doc_id", "tokens", *shares, "rate")
+
+
 def op3_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return sketches.edited_fingerprints(_table(spark, sf, "documents"))
 
@@ -48,6 +81,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_html_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _table(spark, sf, "pages")
+    model = html_text.fit(html_text.sample(pages))
+    return html_text.main_text(pages, model, also=("url",))
+
+
 def op8_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shards(
         _table(spark, sf, "documents"), ["lang", "source", "n_chars", "doc_id"]
@@ -67,10 +106,12 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_permutation_neighbours": op1_permutation_neighbours,
+    "op2_soft_mixing": op2_soft_mixing,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_crf_language": op5_crf_language,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_html_main_text": op7_html_main_text,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
