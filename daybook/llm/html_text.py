@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.batches import slices
+from daybook.llm.sampling import among_lowest, order
 
-TRAINING_PAGES = 160
+TRAINING_PAGES = 120
 MAX_TRAINING_CHARS = 100_000
 VARIANTS = 3
-TREES = 50
+TREES = 40
 DEPTH = 4
 BINS = 24
 
@@ -449,8 +450,9 @@ def sample(frame: DataFrame, id_column: str = "page_id", html_column: str = "htm
            pages: int = TRAINING_PAGES) -> list[str]:
     """At most `pages` pages with a marked article: those with the smallest id hashes."""
     source = F.col(html_column)
-    eligible = frame.where(source.rlike("(?i)<(article|main)[ >]") & (F.length(source) <= MAX_TRAINING_CHARS))
-    found = eligible.select(F.xxhash64(id_column).alias("order"), source.alias("html")).orderBy("order", "html")
+    few = frame.where(among_lowest(id_column, pages, frame.count()))
+    eligible = few.where(source.rlike("(?i)<(article|main)[ >]") & (F.length(source) <= MAX_TRAINING_CHARS))
+    found = eligible.select(order(id_column).alias("order"), source.alias("html")).orderBy("order", "html")
     return [r.html for r in found.limit(pages).collect()]
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from daybook.llm import words as W
 from daybook.llm.batches import slices
 from daybook.llm.language import word_keys, words_of
+from daybook.llm.sampling import among_lowest, order
 
 LABELLED_ROWS = 6000
 MAX_TRAINING_CHARS = 20_000
@@ -145,9 +146,10 @@ def sample(frame: DataFrame, labels: DataFrame, domain: Column, id_column: str =
            text_column: str = "text", rows: int = LABELLED_ROWS) -> list[tuple[str, str]]:
     """(text, domain) of at most `rows` labelled rows; of an id labelled twice, the greater domain counts."""
     known = (
-        labels.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), domain.alias("domain"))
+        labels.where(among_lowest(id_column, rows, labels.count()))
+        .select(F.col(id_column).alias("id"), domain.alias("domain"))
         .where("domain IS NOT NULL").groupBy("id").agg(F.max("domain").alias("domain"))
-        .orderBy(F.xxhash64("id"), "id").limit(rows)
+        .orderBy(order("id"), "id").limit(rows)
     )
     texts = frame.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(
         F.length("text").between(1, MAX_TRAINING_CHARS)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.llm.sampling import among_lowest, order
 from daybook.llm.scratch import partitions, written
 
 PIVOTS = 256
@@ -105,7 +106,8 @@ def search(frame: DataFrame, queries: Column, k: int = 10, id_column: str = "vec
     if not sizes:
         return spark.createDataFrame([], schema)
     rows = rows.where(F.size("vector") == sizes[0][0])
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vector").collect()
+    few = rows.where(among_lowest("id", pivots, frame.count()))
+    sample = few.orderBy(order("id"), "id").limit(pivots).select("vector").collect()
     points = np.unique(np.array([r[0] for r in sample], float), axis=0)
     count, length = len(points), min(prefix, len(points))
     posts, probes = min(posts, count), min(probes, count)
@@ -162,8 +164,8 @@ def search(frame: DataFrame, queries: Column, k: int = 10, id_column: str = "vec
         .applyInArrow(visit, "query_id long, id long, score double")
         .groupBy("query_id", "id").agg(F.min("score").alias("score"))
     )
-    order = Window.partitionBy("query_id").orderBy("score", "id")
+    nearest = Window.partitionBy("query_id").orderBy("score", "id")
     return (
-        found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_column), "score")
     )
