@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from daybook.schemas import PURCHASE, Grain
-from daybook.sources.feeds import Feed
+from daybook.sources.feeds import Feed, accepted
 
 
 def last_of_day(feed: Feed, grain: Grain = PURCHASE) -> DataFrame:
@@ -28,9 +28,25 @@ def last_of_day(feed: Feed, grain: Grain = PURCHASE) -> DataFrame:
     )
 
 
+def shared_log(feeds: Sequence[Feed]) -> DataFrame | None:
+    """The one log that all feeds are picked from, if there is one."""
+    first = feeds[0].log
+    shared = all(f.picked is not None for f in feeds) and all(
+        f.log is first or f.log.sameSemantics(first) for f in feeds[1:]
+    )
+    return first if shared else None
+
+
 def event_spine(feeds: Sequence[Feed], grain: Grain = PURCHASE) -> DataFrame:
     """Every (entity, day) that any feed touched, with a 0/1 flag per feed."""
     flags = [feed.flag for feed in feeds]
+    log = shared_log(feeds)
+    if log is not None:
+        hits = accepted(log, grain).select(
+            *grain.day, *[F.coalesce(f.picked, F.lit(False)).cast("int").alias(f.flag) for f in feeds]
+        )
+        spine = hits.groupBy(*grain.day).agg(*[F.max(flag).alias(flag) for flag in flags])
+        return spine.where(F.greatest(*flags) == 1) if len(flags) > 1 else spine.where(F.col(flags[0]) == 1)
     touched = [
         feed.placed(grain).select(
             *grain.day, *[F.lit(int(flag == feed.flag)).alias(flag) for flag in flags]
@@ -55,8 +71,15 @@ def touched_days(feeds: Sequence[Feed], grain: Grain = PURCHASE) -> DataFrame:
     """Dedup, spine and join in one aggregation: per (entity, day) the last event of each feed
     as a struct column named after the feed's flag, null where the feed has none that day.
 
-    Keeping a feed's columns in one struct makes an absent feed cost one null per row.
+    Keeping a feed's columns in one struct makes an absent feed cost one null per row. Feeds that
+    are picked from one log are aggregated in one pass over it.
     """
+    log = shared_log(feeds)
+    if log is not None:
+        hit = reduce(lambda a, b: a | b, [feed.picked for feed in feeds])
+        return accepted(log, grain).where(hit).groupBy(*grain.day).agg(
+            *[F.max(F.when(feed.picked, feed.event(grain))).alias(feed.flag) for feed in feeds]
+        )
     events = [
         feed.placed(grain).select(*grain.day, feed.event(grain).alias(feed.flag))
         for feed in feeds

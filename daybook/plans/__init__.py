@@ -1,5 +1,5 @@
-from daybook.plans.daily import DailyStore, day_snapshot
-from daybook.plans.history import build_history, build_history_literal
+from daybook.plans.daily import DailyStore
+from daybook.plans.history import build_history, build_history_literal, fill_days
 from daybook.plans.quality import DataQualityError, gate, run_checks
 from daybook.plans.revenue import producer_products, top_producers, top_products
 from daybook.plans.storage import (
@@ -8,6 +8,7 @@ from daybook.plans.storage import (
     publish,
     read_history,
     write_history,
+    write_items,
 )
 from daybook.plans.timetravel import audit, current, gmv_as_of, gmv_daily
 
@@ -19,8 +20,8 @@ __all__ = [
     "build_history_literal",
     "create_history_table",
     "current",
-    "day_snapshot",
     "export_csv",
+    "fill_days",
     "gate",
     "gmv_as_of",
     "gmv_daily",
@@ -31,4 +32,5 @@ __all__ = [
     "top_producers",
     "top_products",
     "write_history",
+    "write_items",
 ]

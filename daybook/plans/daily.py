@@ -1,87 +1,84 @@
-"""Day-by-day loading. The store keeps immutable daily snapshots; yesterday's events become
-yesterday's partition and no other partition is touched.
-
-    <root>/snapshots/transaction_date=D   the rows of day D, without the is_current flag
-    <root>/states/<id>                    one row per purchase: its newest row up to some day
-    <root>/loads                          one line per finished load, written last
-    <root>/staging/<id>                   events and rows of a load on their way
-
-The books as of any day are the newest state before it plus the snapshots since then, so a
-load reads its own events, one state and at most `state_every` days, whatever the length of
-the history. Late events rewrite the past and void every state; the rewrite starts an epoch
-with a state of its own, and states of earlier epochs are never read again. States are found
-through the lines in loads and never overwritten, so a load that breaks off leaves no trace in
-them and can be run again.
+"""Day-by-day loading. The store keeps daily snapshots; each load writes a folder of its own, and its
+line in the ledger is the one step that makes it count.
+
+    <root>/snapshots/load=<id>/transaction_date=D   rows of day D as load <id> computed them
+    <root>/states/<id>                              one row per entity: its newest row up to some day
+    <root>/rejected/<id>                            events that the load could not place, with reasons
+    <root>/loads                                    the ledger: one line per finished load, written last
+    <root>/staging/<id>                             what a load reads twice; removed after its line
+
+The ledger says which load owns which day, and readers list just those folders. A load that breaks off
+before its line is invisible and can be run again; no file is ever overwritten. `vacuum` removes
+what the ledger does not name any more.
+
+The books as of any day are the newest valid state before it plus the snapshots since, so a load reads
+its own events, one state and at most `state_every` days. Late events change the past from their
+day on: only days whose rows differ get new folders, equal rows keep their load time, and only states
+dated on or after the first changed day are void.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions.literals import as_date, date_literal
-from daybook.functions.rules import provenance
-from daybook.operators.snapshots import mark_current, touched_days
+from daybook.functions.rules import gmv_eligible
+from daybook.operators.snapshots import mark_current, shared_log, touched_days
 from daybook.operators.versions import as_of
-from daybook.plans.history import build_history, stamp
+from daybook.plans.history import fill_days
 from daybook.plans.quality import gate, run_checks
-from daybook.plans.storage import read_history, write_history
+from daybook.plans.storage import write_history
 from daybook.schemas import DATE, LONG, PURCHASE, SNAPSHOT, TEXT, Grain, table
-from daybook.sources.feeds import Feed
+from daybook.sources.feeds import REJECTED, Feed, accepted, rejected_events
 
+_DAYS = T.ArrayType(DATE)
 _LOADS = table(
-    ("number", LONG), ("day", DATE), ("epoch", LONG), ("state_day", DATE), ("state", TEXT)
+    ("number", LONG),
+    ("load", TEXT),
+    ("day", DATE),
+    ("days", _DAYS),
+    ("emptied", _DAYS),
+    ("changed_from", DATE),
+    ("state_day", DATE),
+    ("state", TEXT),
+    ("events", LONG),
+    ("rejected", LONG),
+    ("late", LONG),
 )
 
 
-def day_snapshot(
-    touched: DataFrame,
-    before: DataFrame,
-    feeds: Sequence[Feed],
-    run_ts: dt.datetime,
-    grain: Grain = PURCHASE,
-) -> DataFrame:
-    """The snapshot rows of one day: each touched entity's new values, and its previous ones
-    where the day brought none. `touched` holds the day's `touched_days`, `before` one row for
-    each of their entities that was known the day before.
-
-    Equals that day of a full build if all events of a day are there when it is loaded.
-    """
-    payload = [name for feed in feeds for name in feed.payload]
-    known = before.select(grain.key, F.struct(*payload).alias("before"))
-    merged = touched.join(known, grain.key, "left").select(
-        *grain.day,
-        *[
-            F.coalesce(F.col(feed.flag)[name], F.col("before")[name]).alias(name)
-            for feed in feeds
-            for name in feed.payload
-        ],
-        provenance({feed.source: F.col(feed.flag).isNotNull() for feed in feeds}).alias(
-            "updated_sources"
-        ),
-    )
-    return stamp(merged, run_ts).select(*SNAPSHOT.names)
+def _day(day: dt.date) -> Column:
+    """A date literal, also of years before 1000."""
+    return F.lit(day.isoformat()).cast("date")
 
 
 class DailyStore:
-    """Snapshots of purchases under one root folder, loaded in day order."""
+    """Snapshots of entities under one root folder, loaded in day order."""
 
     def __init__(
-        self, spark: SparkSession, root: str, state_every: int = 7, grain: Grain = PURCHASE
+        self,
+        spark: SparkSession,
+        root: str,
+        state_every: int = 7,
+        grain: Grain = PURCHASE,
+        rule: Callable[[], Column] = gmv_eligible,
     ):
-        self.spark, self.root, self.state_every, self.grain = spark, root, state_every, grain
+        self.spark, self.root, self.state_every = spark, root, state_every
+        self.grain, self.rule = grain, rule
 
     # -- reading ---------------------------------------------------------------------------
 
     def snapshots(self) -> DataFrame:
         """All rows, without is_current."""
-        return read_history(self.spark, f"{self.root}/snapshots", SNAPSHOT)
+        return self._rows(self._loads())
 
     def history(self) -> DataFrame:
         """All rows with is_current worked out. Costs a window over the whole history: for the
@@ -89,101 +86,282 @@ class DailyStore:
         return mark_current(self.snapshots(), self.grain)
 
     def as_of(self, cutoff: dt.date | str, columns: Sequence[str] | None = None) -> DataFrame:
-        """Every purchase as known on `cutoff`."""
+        """Every entity as known on `cutoff`."""
         return self._books(self._loads(), as_date(cutoff), columns)
 
     def current(self) -> DataFrame:
-        """The newest row of every purchase."""
+        """The newest row of every entity."""
         loads = self._loads()
         return self._books(loads, self._last(loads)["day"]).withColumn("is_current", F.lit(True))
 
+    def rejected(self) -> DataFrame:
+        """The events that no load could place. One without a day may have been seen by several."""
+        paths = [f"{self.root}/rejected/{x['load']}" for x in self._loads() if x["rejected"]]
+        return self._read(REJECTED, paths).distinct()
+
+    def loads(self) -> DataFrame:
+        """The ledger: what each load brought, rejected, and found late."""
+        lines = [tuple(x[f.name] for f in _LOADS) for x in self._loads()]
+        return self.spark.createDataFrame(lines, _LOADS)
+
     # -- loading ---------------------------------------------------------------------------
 
     def start(
         self, feeds: Sequence[Feed], through: dt.date | str, run_ts: dt.datetime, check: bool = True
-    ) -> None:
-        """First load: the full history up to and including `through`. A start that did not
-        finish can be repeated."""
+    ) -> Row:
+        """First load: the full history up to and including `through`. Returns its ledger line."""
         if self._loads():
             raise ValueError(f"{self.root} has been started")
-        through = as_date(through)
-        upto = F.col(self.grain.date) <= date_literal(through)
-        rows = self._stage(build_history([feed.where(upto) for feed in feeds], run_ts, self.grain))
-        if check:
-            self._gate(rows, through, run_ts)
-        write_history(
-            rows.select(*SNAPSHOT.names), f"{self.root}/snapshots", self.grain, replace="all"
-        )
-        state = self._write_state(rows.where("is_current"))
-        self._finish([], day=through, epoch=0, state_day=through, state=state)
+        return self._load([], feeds, None, as_date(through), run_ts, check)
 
     def append_day(
         self, feeds: Sequence[Feed], day: dt.date | str, run_ts: dt.datetime, check: bool = True
-    ) -> None:
-        """Load one day. Running the last day again replaces it and gives the same rows; a day
-        before the last one is late, see `rebuild`."""
+    ) -> Row:
+        """Load all days after the last loaded one, up to and including `day`. Running the last
+        day again replaces it; a day before it is late, see `rebuild`.
+
+        Returns the ledger line. Its `late` is the number of events dated on or before the last
+        loaded day that the store has not seen: hand them to `late_purchases` and `rebuild`.
+        """
         loads, day = self._loads(), as_date(day)
-        last = self._last(loads)
-        if day < last["day"]:
-            raise ValueError(f"{day} is before the last loaded day {last['day']}: use rebuild")
-        at, eve = F.col(self.grain.date) == date_literal(day), day - dt.timedelta(days=1)
-        # Written first: the day's events are read once, and Spark knows how many keys it
-        # joins with the books.
-        touched = self._stage(touched_days([feed.where(at) for feed in feeds], self.grain))
-        before = self._books(loads, eve, among=touched.select(self.grain.key))
-        staged = self._stage(day_snapshot(touched, before, feeds, run_ts, self.grain))
-        if check:
-            self._gate(staged.withColumn("is_current", F.lit(True)), day, run_ts)
-        self._replace_days(staged)
-        if staged.isEmpty():
-            self._empty_day(day)
-        state_day, state = last["state_day"], last["state"]
-        if state_day == day or (day - state_day).days >= self.state_every:
-            books = self._books(loads, eve).unionByName(staged)
-            state_day, state = day, self._write_state(as_of(books, day, grain=self.grain))
-        self._finish(loads, day=day, epoch=last["epoch"], state_day=state_day, state=state)
+        last = self._last(loads)["day"]
+        if day < last:
+            raise ValueError(f"{day} is before the last loaded day {last}: use rebuild")
+        after = day - dt.timedelta(days=1) if day == last else last
+        return self._load(loads, feeds, after, day, run_ts, check)
 
     def late_purchases(self, batch: Sequence[Feed]) -> DataFrame:
-        """The purchases that have events in `batch` dated on or before the last loaded day.
-        Hand them to `rebuild`, or leave the past as it was reported."""
-        loaded = F.col(self.grain.date) <= F.lit(self._last(self._loads())["day"])
-        keys = [feed.placed(self.grain).where(loaded).select(self.grain.key) for feed in batch]
-        return reduce(DataFrame.union, keys).distinct()
+        """The entities that have events in `batch` dated on or before the last loaded day, each
+        with the first such day. Hand them to `rebuild`, or leave the past as it was reported."""
+        loaded = F.col(self.grain.date) <= _day(self._last(self._loads())["day"])
+        late = [feed.placed(self.grain).where(loaded).select(*self.grain.day) for feed in batch]
+        days = F.min(self.grain.date).alias(self.grain.date)
+        return reduce(DataFrame.union, late).groupBy(self.grain.key).agg(days)
 
     def rebuild(
         self, feeds: Sequence[Feed], purchases: DataFrame, run_ts: dt.datetime, check: bool = True
-    ) -> None:
-        """Late or corrected events: recompute the purchases listed in `purchases` from the
-        full feeds, up to the last loaded day. Rows of other purchases are carried over."""
+    ) -> Row | None:
+        """Late or corrected events: recompute the entities in `purchases` from the full feeds,
+        from the given day on (without that column: from their first), up to the last loaded day.
+
+        Days whose rows are all as before stay untouched, and so does the load time of equal rows.
+        Returns the ledger line, or None if nothing has changed.
+        """
         key, date = self.grain.key, self.grain.date
-        loads = self._loads()
+        loads, load = self._loads(), uuid.uuid4().hex
         last = self._last(loads)
-        upto = F.col(date) <= F.lit(last["day"])
-        # Keys and days are written first, too: both are read several times, and Spark can
-        # tell whether they are small enough to be broadcast to the feeds and the snapshots.
-        keys = self._stage(purchases.select(key).distinct())
-        feeds = [feed.where(upto).only(keys, key) for feed in feeds]
-        fresh = self._stage(build_history(feeds, run_ts, self.grain))
-        if check:
-            self._gate(fresh, last["day"], run_ts)
-        stale = self.snapshots().join(keys, key, "left_semi")
-        days = self._stage(stale.select(date).union(fresh.select(date)).distinct())
-        kept = self.snapshots().join(days, date, "left_semi").join(keys, key, "left_anti")
-        names = SNAPSHOT.names
-        changed = self._stage(kept.select(*names).unionByName(fresh.select(*names)))
-        others = self._books(loads, last["day"]).join(keys, key, "left_anti")
-        newest = fresh.where("is_current").select(*names)
-        state = self._write_state(others.unionByName(newest))
+        since = F.col(date) if date in purchases.columns else _day(dt.date.min)
+        # Written first: read several times, and Spark can tell whether it is small enough to be
+        # broadcast to the feeds and the snapshots.
+        keys = self._stage(
+            load, purchases.select(key, since.alias("since")).groupBy(key).agg(F.min("since").alias("since"))
+        )
+        first = keys.agg(F.min("since")).first()[0]
+        if first is None:
+            return None
+        upto = (F.col(date) >= _day(first)) & (F.col(date) <= _day(last["day"]))
+        wanted = [feed.where(upto).since(keys, key, date) for feed in feeds]
+        touched = touched_days(wanted, self.grain)
+        before = None
+        if first > dt.date.min:
+            known = self._source(loads, first - dt.timedelta(days=1)).join(keys, key)
+            earlier = known.where(F.col(date) < F.col("since")).select(*SNAPSHOT.names)
+            before = as_of(earlier, last["day"], grain=self.grain)
+        fresh = self._snapshot(feeds, touched, before, run_ts)
+        own = self._rows(loads, first).join(keys, key).where(F.col(date) >= F.col("since"))
+        compared = [name for name in SNAPSHOT.names if name not in (*self.grain.day, "etl_loaded_at")]
+        old = own.select(
+            *self.grain.day, F.struct(*compared).alias("old"), F.col("etl_loaded_at").alias("old_stamp")
+        )
+        equal = F.struct(*compared).eqNullSafe(F.col("old"))
+        stamp = F.when(equal, F.col("old_stamp")).otherwise(F.col("etl_loaded_at"))
+        # Old rows without a new one are marked by their lack of a stamp.
+        merged = self._stage(
+            load,
+            fresh.join(old, self.grain.day, "full").select(
+                *self.grain.day,
+                *compared,
+                stamp.alias("etl_loaded_at"),
+                F.coalesce(equal, F.lit(False)).alias("as_before"),
+            ),
+        )
         # At most one row per calendar day.
-        emptied = days.join(changed.select(date).distinct(), date, "left_anti").collect()
-        self._replace_days(changed)
-        for row in emptied:
-            self._empty_day(row[date])
-        epoch, day = last["epoch"] + 1, last["day"]
-        self._finish(loads, day=day, epoch=epoch, state_day=day, state=state)
+        changed = sorted(r[0] for r in merged.where("NOT as_before").select(date).distinct().collect())
+        if not changed:
+            self._remove(f"staging/{load}")
+            return None
+        again = F.col(date).isin(changed)
+        others = self._rows(loads, days=changed).join(keys, key, "left")
+        kept = others.where(F.col("since").isNull() | (F.col(date) < F.col("since")))
+        new = merged.where("etl_loaded_at IS NOT NULL")
+        names = SNAPSHOT.names
+        if check:  # the recomputed rows, up to each entity's newest one
+            self._gate(new.select(*names), last["day"], run_ts)
+        rows = self._write(load, kept.select(*names).unionByName(new.where(again).select(*names)))
+        days = self._days(rows)
+        line = dict(
+            load=load, day=last["day"], days=days, emptied=[d for d in changed if d not in days],
+            changed_from=changed[0], state_day=None, state=None,
+            events=self._counts(feeds, [last["day"]])[0], rejected=0, late=0,
+        )
+        return self._finish(loads, line)
+
+    def vacuum(self) -> list[str]:
+        """Remove load folders, states and staging that the ledger does not name any more: rows
+        of days that later loads own, what broken loads left, states that no cutoff needs."""
+        loads = self._loads()
+        owners = set(self._owners(loads).values())
+        states = {x["state"] for x in self._valid(loads)}
+        named = {x["load"] for x in loads}
+        gone = [f"staging/{name}" for name in self._names("staging")]
+        gone += [f"snapshots/{n}" for n in self._names("snapshots") if n.removeprefix("load=") not in owners]
+        gone += [f"states/{name}" for name in self._names("states") if name not in states]
+        gone += [f"rejected/{name}" for name in self._names("rejected") if name not in named]
+        for path in gone:
+            self._remove(path)
+        return gone
 
     # -- parts -----------------------------------------------------------------------------
 
+    def _load(
+        self,
+        loads: Sequence[Row],
+        feeds: Sequence[Feed],
+        after: dt.date | None,
+        day: dt.date,
+        run_ts: dt.datetime,
+        check: bool,
+    ) -> Row:
+        """Days after `after`, up to `day`: one write, checked, then the ledger line."""
+        date, load = self.grain.date, uuid.uuid4().hex
+        span = F.col(date) <= date_literal(day)
+        if after is not None:
+            span = span & (F.col(date) > date_literal(after))
+        touched = touched_days([feed.where(span) for feed in feeds], self.grain)
+        before = None
+        if after is not None:
+            # Written first: the events are read once, and Spark knows how many keys it joins
+            # with the books.
+            touched = self._stage(load, touched)
+            among = touched.select(self.grain.key).distinct()
+            before = self._books(loads, after, among=among)
+        rows = self._write(load, self._snapshot(feeds, touched, before, run_ts))
+        if check:
+            self._gate(rows, day, run_ts)
+        rejected = self._reject(load, feeds, after, day)
+        seen, events = self._counts(feeds, [after or dt.date.min, day])
+        known = next((x["events"] for x in reversed(loads) if x["day"] == after), seen)
+        state_day, state = None, None
+        valid = self._valid(loads)
+        newest = max((x["state_day"] for x in valid), default=None)
+        if newest is None or newest == day or (day - newest).days >= self.state_every:
+            state_day, state = day, uuid.uuid4().hex
+            books = rows
+            if after is not None:
+                books = self._source(loads, after).where(F.col(date) <= _day(after)).unionByName(rows)
+            newest_rows = as_of(books, day, grain=self.grain).select(*SNAPSHOT.names)
+            newest_rows.repartition(self.grain.key).sortWithinPartitions(self.grain.key).write.parquet(
+                f"{self.root}/states/{state}"
+            )
+        days = self._days(rows)
+        owned = self._owners(loads)
+        emptied = [d for d in owned if after is not None and d > after and d not in days]
+        line = dict(
+            load=load, day=day, days=days, emptied=emptied, changed_from=None, state_day=state_day,
+            state=state, events=events, rejected=rejected, late=max(0, seen - known),
+        )
+        return self._finish(loads, line)
+
+    def _snapshot(
+        self, feeds: Sequence[Feed], touched: DataFrame, before: DataFrame | None, run_ts: dt.datetime
+    ) -> DataFrame:
+        filled = fill_days(feeds, touched, run_ts, self.grain, self.rule, before)
+        return filled.select(*SNAPSHOT.names)
+
+    def _counts(self, feeds: Sequence[Feed], days: Sequence[dt.date]) -> list[int]:
+        """Number of events that can be placed up to each of the days: reads three columns."""
+        log = shared_log(feeds)
+        if log is None:
+            each = [feed.placed(self.grain).select(self.grain.date, F.lit(1).alias("n")) for feed in feeds]
+        else:
+            hits = reduce(lambda a, b: a + b, [F.coalesce(f.picked, F.lit(False)).cast("int") for f in feeds])
+            each = [accepted(log, self.grain).select(self.grain.date, hits.alias("n"))]
+        upto = [
+            F.coalesce(F.sum(F.when(F.col(self.grain.date) <= _day(day), F.col("n"))), F.lit(0)) for day in days
+        ]
+        return list(reduce(DataFrame.unionByName, each).agg(*upto).first())
+
+    def _reject(self, load: str, feeds: Sequence[Feed], after: dt.date | None, day: dt.date) -> int:
+        """Store the events of these days, and those without a day, that can't be placed."""
+        date = F.col(self.grain.date)
+        span = date <= date_literal(day)
+        if after is not None:
+            span = span & (date > date_literal(after))
+        path = f"{self.root}/rejected/{load}"
+        rejected_events([feed.where(date.isNull() | span) for feed in feeds], self.grain).write.parquet(path)
+        return self._read(REJECTED, [path]).count()
+
+    def _owners(self, loads: Sequence[Row]) -> dict[dt.date, str]:
+        """Which load's rows count for each day."""
+        owner: dict[dt.date, str] = {}
+        for line in loads:
+            owner.update(dict.fromkeys(line["days"], line["load"]))
+            for day in line["emptied"]:
+                owner.pop(day, None)
+        return owner
+
+    def _rows(
+        self,
+        loads: Sequence[Row],
+        since: dt.date | None = None,
+        days: Iterable[dt.date] | None = None,
+    ) -> DataFrame:
+        """The owned rows, of all days, of those from `since` on, or of the given days."""
+        wanted = None if days is None else set(days)
+        owner = {
+            day: load
+            for day, load in self._owners(loads).items()
+            if (since is None or day >= since) and (wanted is None or day in wanted)
+        }
+        paths = []
+        for load in dict.fromkeys(owner.values()):
+            own = [day for day, name in owner.items() if name == load]
+            folder = f"{self.root}/snapshots/load={load}"
+            all_days = next(line["days"] for line in loads if line["load"] == load)
+            whole = len(own) == len(all_days)
+            paths += [folder] if whole else [f"{folder}/{self.grain.date}={day}" for day in own]
+        return self._read(SNAPSHOT, paths, f"{self.root}/snapshots").select(*SNAPSHOT.names)
+
+    def _read(self, schema: T.StructType, paths: Sequence[str], base: str | None = None) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
+        return (reader.option("basePath", base) if base else reader).parquet(*paths)
+
+    def _valid(self, loads: Sequence[Row]) -> list[Row]:
+        """The lines whose state no later load has made void."""
+        out = []
+        for i, line in enumerate(loads):
+            if line["state"] is None:
+                continue
+            later = [x for x in loads[i + 1 :]]
+            changed = [x["changed_from"] for x in later if x["changed_from"] is not None]
+            # A day loaded again makes a state of that very day void.
+            again = [x["day"] for x in later if x["changed_from"] is None and x["day"] == line["state_day"]]
+            if all(line["state_day"] < day for day in (*changed, *again)):
+                out.append(line)
+        return out
+
+    def _source(self, loads: Sequence[Row], cutoff: dt.date) -> DataFrame:
+        """The newest valid state up to `cutoff` and the snapshots since it."""
+        valid = [x for x in self._valid(loads) if x["state_day"] <= cutoff]
+        if not valid:
+            return self._rows(loads)
+        newest = max(valid, key=lambda x: (x["state_day"], x["number"]))
+        newer = self._rows(loads, newest["state_day"] + dt.timedelta(days=1))
+        state = self._read(SNAPSHOT, [f"{self.root}/states/{newest['state']}"])
+        return state.unionByName(newer)
+
     def _books(
         self,
         loads: Sequence[Row],
@@ -191,60 +369,63 @@ class DailyStore:
         columns: Sequence[str] | None = None,
         among: DataFrame | None = None,
     ) -> DataFrame:
-        """The newest state up to `cutoff` that is still valid, brought forward by the
-        snapshots since; the snapshots alone if there is none. `among` lists the purchases
-        wanted, and is applied before rows are compared."""
-        epoch = self._last(loads)["epoch"]
-        valid = [x for x in loads if x["epoch"] == epoch and x["state_day"] <= cutoff]
-        rows = self.snapshots()
-        if valid:
-            newest = max(valid, key=lambda load: (load["state_day"], load["number"]))
-            newer = rows.where(F.col(self.grain.date) > F.lit(newest["state_day"]))
-            path = f"{self.root}/states/{newest['state']}"
-            rows = self.spark.read.schema(SNAPSHOT).parquet(path).unionByName(newer)
+        """Each entity's newest row up to `cutoff`. `among` lists the entities wanted, and is
+        applied before rows are compared."""
+        rows = self._source(loads, cutoff)
         if among is not None:
             rows = rows.join(among, self.grain.key, "left_semi")
         return as_of(rows, cutoff, columns, self.grain)
 
-    def _stage(self, rows: DataFrame) -> DataFrame:
-        path = f"{self.root}/staging/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
-    def _gate(self, rows: DataFrame, run_date: dt.date | str, now: dt.datetime) -> None:
-        gate(run_checks(rows, run_date, now, self.grain))
+    def _write(self, load: str, rows: DataFrame) -> DataFrame:
+        path = f"{self.root}/snapshots/load={load}"
+        write_history(rows.select(*SNAPSHOT.names), path, self.grain)
+        return self._read(SNAPSHOT, [path], f"{self.root}/snapshots").select(*SNAPSHOT.names)
 
-    def _replace_days(self, staged: DataFrame) -> None:
-        write_history(staged, f"{self.root}/snapshots", self.grain, replace="days")
+    def _days(self, rows: DataFrame) -> list[dt.date]:
+        """The days that have rows; at most one per calendar day, told by the folders' names."""
+        return sorted(r[0] for r in rows.select(self.grain.date).distinct().collect())
 
-    def _empty_day(self, day: dt.date) -> None:
-        """Replacing by day leaves a day without new rows as it was."""
-        nothing = self.snapshots().where(F.lit(False)).drop(self.grain.date)
-        path = f"{self.root}/snapshots/{self.grain.date}={day}"
-        nothing.write.mode("overwrite").parquet(path)
+    def _gate(self, rows: DataFrame, run_date: dt.date | str, now: dt.datetime) -> None:
+        """The load's own newest row of each entity is the current one."""
+        gate(run_checks(mark_current(rows, self.grain), run_date, now, self.grain))
 
-    def _write_state(self, state: DataFrame) -> str:
-        name = uuid.uuid4().hex
-        state.select(*SNAPSHOT.names).write.parquet(f"{self.root}/states/{name}")
-        return name
+    def _stage(self, load: str, rows: DataFrame) -> DataFrame:
+        path = f"{self.root}/staging/{load}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def _loads(self) -> list[Row]:
-        """All finished loads, one line each; none before the first."""
+        """All finished loads in order, one line each; none before the first."""
         try:
-            return self.spark.read.schema(_LOADS).parquet(f"{self.root}/loads").collect()
+            lines = self.spark.read.schema(_LOADS).parquet(f"{self.root}/loads").collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
+        return sorted(lines, key=lambda line: line["number"])
 
     def _last(self, loads: Sequence[Row]) -> Row:
         if not loads:
             raise ValueError(f"{self.root} has not been started")
-        return max(loads, key=lambda load: load["number"])
+        return loads[-1]
 
-    def _finish(self, loads: Sequence[Row], **line) -> None:
+    def _finish(self, loads: Sequence[Row], line: dict) -> Row:
+        """Write the ledger line: from here on the load counts."""
         values = {"number": len(loads), **line}
-        row = self.spark.range(1, numPartitions=1).select(
-            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _LOADS]
-        )
+        row = self.spark.createDataFrame([tuple(values[f.name] for f in _LOADS)], _LOADS).coalesce(1)
         row.write.mode("append").parquet(f"{self.root}/loads")
+        self._remove(f"staging/{values['load']}")
+        return Row(**values)
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _files(self):
+        return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        files, path = self._files(), self._path(folder)
+        return [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
+
+    def _remove(self, name: str) -> None:
+        self._files().delete(self._path(name), True)

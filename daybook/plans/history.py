@@ -35,19 +35,29 @@ def stamp(
     )
 
 
-def build_history(
+def fill_days(
     feeds: Sequence[Feed],
+    touched: DataFrame,
     run_ts: dt.datetime,
     grain: Grain = PURCHASE,
-    columns: Sequence[str] = tuple(HISTORY.names),
     rule: Callable[[], Column] = gmv_eligible,
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Two shuffles: events by (entity, day), pre-aggregated, then daily rows by entity.
+    """Rows of the history from `touched_days`: one window by entity fills, flags and stamps.
 
-    One shuffle of the raw events by entity would do the same, but would put all events of a
-    hot entity into one task; here such a task gets no more rows than there are days.
+    `before` has the last known row of each entity from before the touched days; values carry over
+    from it, and rows equal those that a build over all days gives.
     """
-    days = touched_days(feeds, grain)
+    values = [
+        F.when(F.col(feed.flag).isNotNull(), F.struct(*[F.col(feed.flag)[c].alias(c) for c in feed.payload]))
+        .alias(feed.flag)
+        for feed in feeds
+    ]
+    days = touched.select(*grain.day, *values)
+    if before is not None:
+        known = [F.struct(*feed.payload).alias(feed.flag) for feed in feeds]
+        seeds = before.select(*grain.day, *known, F.lit(True).alias("seed"))
+        days = days.withColumn("seed", F.lit(False)).unionByName(seeds)
     filled = days.select(
         *grain.day,
         *[
@@ -59,8 +69,26 @@ def build_history(
         provenance({feed.source: F.col(feed.flag).isNotNull() for feed in feeds}).alias(
             "updated_sources"
         ),
+        *(["seed"] if before is not None else []),
     )
-    return stamp(filled, run_ts, rule).select(*columns)
+    if before is not None:
+        filled = filled.where("NOT seed").drop("seed")
+    return stamp(filled, run_ts, rule)
+
+
+def build_history(
+    feeds: Sequence[Feed],
+    run_ts: dt.datetime,
+    grain: Grain = PURCHASE,
+    columns: Sequence[str] = tuple(HISTORY.names),
+    rule: Callable[[], Column] = gmv_eligible,
+) -> DataFrame:
+    """Two shuffles: events by (entity, day), pre-aggregated, then daily rows by entity.
+
+    One shuffle of the raw events by entity would do the same, but would put all events of a
+    hot entity into one task; here such a task gets no more rows than there are days.
+    """
+    return fill_days(feeds, touched_days(feeds, grain), run_ts, grain, rule).select(*columns)
 
 
 def build_history_literal(

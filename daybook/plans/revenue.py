@@ -18,19 +18,16 @@ def _revenue(
 ) -> DataFrame:
     """Sum of item values over eligible purchases, inner-joined on the composite item key.
 
-    Both sides are aggregated to what the answer needs before they meet: purchases to a count
-    per (producer, item), items to a sum per key (and product). A hot item then joins as one
-    row per producer instead of one per sale, and a repeated item key still counts each time,
-    as `count * sum` is the sum over all pairs.
+    Purchases are counted per (producer, item) before they meet the items: a hot item joins as one
+    row per producer instead of one per sale. Items are not aggregated, a repeated item key counts
+    each time it joins.
     """
     eligible = purchase.where(gmv_eligible())
     if year is not None:
         eligible = eligible.where(in_year("release_date", year))
     sales = eligible.groupBy("producer_id", *ITEM_KEY).agg(F.count(F.lit(1)).alias("sales"))
-    item_columns = [c for c in by if c != "producer_id"]
-    priced = item.groupBy(*ITEM_KEY, *item_columns).agg(F.sum("purchase_value").alias("value"))
-    total = F.sum(F.col("sales") * F.col("value")).cast(MONEY_TOTAL)
-    return sales.join(priced, ITEM_KEY).groupBy(*by).agg(total.alias(name))
+    total = F.sum(F.col("sales") * F.col("purchase_value")).cast(MONEY_TOTAL)
+    return sales.join(item, ITEM_KEY).groupBy(*by).agg(total.alias(name))
 
 
 def top_producers(purchase: DataFrame, item: DataFrame, year: int, k: int = 50) -> DataFrame:

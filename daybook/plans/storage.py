@@ -4,37 +4,31 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.plans.quality import gate, run_checks
 from daybook.schemas import HISTORY, PURCHASE, Grain
+from daybook.sources.feeds import REJECTED, Feed, rejected_events
 
 
 def write_history(
-    history: DataFrame,
-    path: str,
-    grain: Grain = PURCHASE,
-    replace: Literal["nothing", "days", "all"] = "nothing",
+    history: DataFrame, path: str, grain: Grain = PURCHASE, files_per_day: int = 16
 ) -> None:
-    """Write one folder per day, rows sorted by entity.
+    """Write one folder per day, rows sorted by entity. An existing path is refused.
 
-    Ranges of (day, entity) decide the task: the pair is unique, so no day or entity is too
-    big for the cut, a day gets as many files as its size asks for, the number of files is at
-    most tasks + days, and each file spans few entity ids, which lets a point lookup skip
-    almost all row groups.
-
-    replace="nothing" refuses an existing path, "days" swaps the days that have rows and keeps
-    all others, "all" swaps the table (not while reading from it).
+    A hash of the entity deals each day to `files_per_day` tasks, so the rows are computed once
+    (ranges would be sampled first) and no day is one task's work. Set it to the bytes of
+    the largest day by about 256 MB; small days do not get more files than there are tasks.
+    Files are sorted by entity, which lets a point lookup skip almost all row groups.
     """
+    slot = F.pmod(F.xxhash64(grain.key), F.lit(files_per_day))
     (
-        history.repartitionByRange(grain.date, grain.key)
+        history.repartition(grain.date, slot)
         .sortWithinPartitions(grain.date, grain.key)
-        .write.mode("errorifexists" if replace == "nothing" else "overwrite")
-        .option("partitionOverwriteMode", "dynamic" if replace == "days" else "static")
-        .partitionBy(grain.date)
+        .write.partitionBy(grain.date)
         .parquet(path)
     )
 
@@ -45,6 +39,16 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType = HISTORY)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def _point(view: str, path: str, stored: DataFrame) -> None:
+    """Let the view read the path."""
+    query = f"SELECT {', '.join(stored.columns)} FROM parquet.`{path}`"
+    if stored.isEmpty():
+        # Without rows there are no files to take the columns from.
+        kinds = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in stored.schema]
+        query = f"SELECT {', '.join(kinds)} WHERE false"
+    stored.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+
+
 def publish(
     history: DataFrame,
     root: str,
@@ -53,26 +57,37 @@ def publish(
     run_date: dt.date | str,
     now: dt.datetime,
     grain: Grain = PURCHASE,
+    feeds: Sequence[Feed] = (),
 ) -> DataFrame:
-    """Full load: write a new version, check what was written, then point the view at it.
+    """Full load: write a new version, check what was written, then point the views at it.
+
+    `<view>` reads the whole history by day, `<view>_current` a table of each entity's newest row,
+    and, if the feeds are given, `<view>_rejected` the events that they could not place.
 
-    The history is computed once. A failed gate raises and leaves the view on the old
-    version; readers never see a half-written one. `version` must be new. Returns the report.
+    The history is computed once. A failed gate raises and leaves the views on the old version;
+    readers never see a half-written one. `version` must be new. Returns the report.
     """
     spark = history.sparkSession
     path = f"{root}/{version}"
     write_history(history, path, grain)
     stored = read_history(spark, path, T.StructType([HISTORY[name] for name in history.columns]))
     report = gate(run_checks(stored, run_date, now, grain))
-    query = f"SELECT {', '.join(history.columns)} FROM parquet.`{path}`"
-    if stored.isEmpty():
-        # Without rows there are no files to take the columns from.
-        kinds = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in stored.schema]
-        query = f"SELECT {', '.join(kinds)} WHERE false"
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+    newest = stored.where("is_current").repartition(grain.key).sortWithinPartitions(grain.key)
+    newest.write.parquet(f"{path}-current")
+    _point(view, path, stored)
+    _point(f"{view}_current", f"{path}-current", read_history(spark, f"{path}-current", stored.schema))
+    if feeds:
+        rejected_events(feeds, grain).write.parquet(f"{path}-rejected")
+        _point(f"{view}_rejected", f"{path}-rejected", read_history(spark, f"{path}-rejected", REJECTED))
     return report
 
 
+def write_items(table: DataFrame, path: str, by: str = "prod_item_partition") -> None:
+    """Write a current table (purchases or items) in folders by its item partition, so that a
+    report on some partitions reads those folders of both sides only."""
+    table.repartition(by).write.partitionBy(by).parquet(path)
+
+
 def create_history_table(
     spark: SparkSession,
     name: str,

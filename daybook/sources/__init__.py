@@ -2,9 +2,11 @@ from daybook.sources.feeds import (
     Feed,
     accepted,
     normalize,
+    picked_feeds,
     purchase_feeds,
     quarantined,
     read_csv,
+    rejected_events,
 )
 from daybook.sources.tables import load_table, register_views, shared_folder
 
@@ -13,9 +15,11 @@ __all__ = [
     "accepted",
     "load_table",
     "normalize",
+    "picked_feeds",
     "purchase_feeds",
     "quarantined",
     "read_csv",
     "register_views",
+    "rejected_events",
     "shared_folder",
 ]

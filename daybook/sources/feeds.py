@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -33,16 +33,24 @@ class Feed:
 
     source: str
     flag: str
-    events: DataFrame
+    log: DataFrame
     payload: tuple[str, ...]
     tiebreak: tuple[str, ...] = ()
+    #: Which rows of the log are this feed's events. Feeds of one log differ in nothing else, and
+    #: operators read such a log once.
+    picked: Column | None = None
+
+    @property
+    def events(self) -> DataFrame:
+        return self.log if self.picked is None else self.log.where(self.picked)
 
     def where(self, condition: Column) -> Feed:
-        return replace(self, events=self.events.where(condition))
+        return replace(self, log=self.log.where(condition))
 
-    def only(self, keys: DataFrame, key: str) -> Feed:
-        """Keep the events of the entities listed in `keys`."""
-        return replace(self, events=self.events.join(keys, key, "left_semi"))
+    def since(self, keys: DataFrame, key: str, date: str) -> Feed:
+        """Keep the events of the entities listed in `keys` from the day `since` on."""
+        joined = self.log.join(keys, key).where(F.col(date) >= F.col("since")).drop("since")
+        return replace(self, log=joined.select(*self.log.columns))
 
     def placed(self, grain: Grain = PURCHASE) -> DataFrame:
         """The events that name an entity, a day and a time."""
@@ -67,6 +75,17 @@ def purchase_feeds(
     ]
 
 
+def picked_feeds(
+    log: DataFrame, picks: Sequence[Column], tiebreak: tuple[str, ...] = ()
+) -> list[Feed]:
+    """The three purchase feeds out of one log that has all their columns: `picks` tell the rows of
+    each, in the order of `purchase_feeds`. The log is then read once for all of them."""
+    return [
+        replace(feed, picked=pick)
+        for feed, pick in zip(purchase_feeds(log, log, log, tiebreak), picks, strict=True)
+    ]
+
+
 def _required(grain: Grain) -> list[str]:
     return [grain.key, grain.date, grain.time]
 
@@ -84,6 +103,22 @@ def quarantined(events: DataFrame, grain: Grain = PURCHASE) -> DataFrame:
     return events.withColumn("reject_reason", reason).where("reject_reason <> ''")
 
 
+REJECTED = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("source", "reject_reason", "event")]
+)
+
+
+def rejected_events(feeds: Sequence[Feed], grain: Grain = PURCHASE) -> DataFrame:
+    """The events of all feeds that can't be placed: source, reason, and the event as JSON."""
+    each = []
+    for feed in feeds:
+        columns = list(dict.fromkeys((*_required(grain), *feed.tiebreak, *feed.payload)))
+        rows = quarantined(feed.events.select(*columns), grain)
+        event = F.to_json(F.struct(*columns))
+        each.append(rows.select(F.lit(feed.source).alias("source"), "reject_reason", event.alias("event")))
+    return reduce(DataFrame.unionByName, each)
+
+
 def normalize(
     raw: DataFrame, schema: T.StructType, lenient: Collection[str] = LENIENT_DATES
 ) -> DataFrame:
@@ -108,8 +143,16 @@ def read_csv(
     lenient: Collection[str] = LENIENT_DATES,
 ) -> DataFrame:
     """Read CSV files whose header names the columns of `schema`, in that order; another header
-    fails. Fields arrive as text and are parsed by `normalize`: the reader's own typing would
-    turn bad text into null without a word."""
+    fails, and so does a line with more or fewer fields, whichever of them a query reads. Fields
+    arrive as text and are parsed by `normalize`: the reader's own typing would turn bad text into
+    null without a word."""
     fields = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    reader = spark.read.schema(fields).option("header", True).option("enforceSchema", False)
+    reader = (
+        spark.read.schema(fields)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        # the parser would count the fields of the columns it is asked for only
+        .option("columnPruning", False)
+    )
     return normalize(reader.csv(path), schema, lenient)

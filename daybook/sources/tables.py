@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +18,9 @@ def register_views(**frames: DataFrame) -> None:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder that every executor can reach, below `spark.checkpoint.dir`.
-
-    Only a local session may do without that setting; there the machine is the cluster.
-    """
+    """A new folder that every executor can reach: below `spark.checkpoint.dir` or, where that is
+    unset, below the session's warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="daybook-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

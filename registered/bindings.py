@@ -1,6 +1,6 @@
 """How the given tables stand in for the purchase model.
 
-events     -> the three change-event feeds; a user is a purchase, k is the number in `props`
+events     -> one log with the three change-event feeds; a user is a purchase, k is the number in `props`
 lineitem   -> the current purchase table
 part       -> the current product-item table
 """
@@ -12,8 +12,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.schemas import MONEY
-from daybook.sources import Feed, load_table, purchase_feeds
+from daybook.functions import in_year
+from daybook.schemas import MONEY, PURCHASE_EVENTS
+from daybook.sources import Feed, load_table, picked_feeds
 
 # Fixed values shared with the oracle SQL.
 RUN_TS = dt.datetime(2024, 2, 1, 6, 30, 0)
@@ -23,64 +24,66 @@ CUTOFF = dt.date(2024, 1, 15)
 MONTH = dt.date(2024, 1, 1)
 YEAR = 1998
 PURCHASE_ID = 55
+ITEM_PARTITION = 6
 
 
 def _number() -> Column:
     return F.regexp_extract("props", "([0-9]+)", 1).cast("long")
 
 
-def _feed(events: DataFrame, event_type: str, **payload: Column) -> DataFrame:
-    return events.where(F.col("event_type") == event_type).select(
+def event_log(events: DataFrame) -> DataFrame:
+    """All events with the columns of all feeds; each feed picks its rows.
+
+    purchase, signup -> purchase events      error -> a purchase event that only cancels
+    view             -> product-item events  click -> extra-info events
+    """
+    k, day, kind = _number(), F.to_date("ts"), F.col("event_type")
+    bought = kind.isin("purchase", "signup")
+    status = (
+        F.when(kind == "error", "CANCELADA")
+        .when(k % 4 <= 1, "APROVADA")
+        .when(k % 4 == 2, "CANCELADA")
+        .otherwise("INICIADA")
+    )
+    amount = F.col("value").cast(MONEY)
+    payload = {
+        "buyer_id": F.when(bought, k),
+        "prod_item_id": F.when(bought, k + 1000),
+        "order_date": F.when(bought, day),
+        "release_date": F.when(bought & (k % 5 != 0), day),
+        "producer_id": F.when(bought, F.col("user_id") % 20),
+        "purchase_total_value": F.when(bought, amount),
+        "purchase_status": status,
+        "purchase_partition": F.when(bought, F.col("user_id") % 10),
+        "prod_item_partition": F.when(bought, k % 10),
+        "product_id": k,
+        "purchase_value": amount,
+        "subsidiary": F.when(k % 2 == 0, "nacional").otherwise("internacional"),
+    }
+    return events.select(
         F.col("ts").alias("transaction_datetime"),
-        F.to_date("ts").alias("transaction_date"),
+        day.alias("transaction_date"),
         F.col("user_id").alias("purchase_id"),
         "event_id",
+        "event_type",
         *[value.alias(name) for name, value in payload.items()],
     )
 
 
-def purchase_events(events: DataFrame) -> DataFrame:
-    k, day = _number(), F.to_date("ts")
-    status = (
-        F.when(k % 4 <= 1, "APROVADA").when(k % 4 == 2, "CANCELADA").otherwise("INICIADA")
-    )
-    return _feed(
-        events,
-        "purchase",
-        buyer_id=k,
-        prod_item_id=k + 1000,
-        order_date=day,
-        release_date=F.when(k % 5 != 0, day),
-        producer_id=F.col("user_id") % 20,
-        purchase_total_value=F.col("value").cast(MONEY),
-        purchase_status=status,
-        purchase_partition=F.col("user_id") % 10,
-        prod_item_partition=k % 10,
-    )
+#: The event types that each feed picks from the log, in the order of `purchase_feeds`.
+PICKED = (("purchase", "signup", "error"), ("view",), ("click",))
 
 
-def product_item_events(events: DataFrame) -> DataFrame:
-    return _feed(
-        events,
-        "view",
-        product_id=_number(),
-        purchase_value=F.col("value").cast(MONEY),
-    )
+def feeds(spark: SparkSession, sf: str) -> list[Feed]:
+    return feeds_of(event_log(load_table(spark, sf, "events")))
 
 
-def extra_info_events(events: DataFrame) -> DataFrame:
-    subsidiary = F.when(_number() % 2 == 0, "nacional").otherwise("internacional")
-    return _feed(events, "click", subsidiary=subsidiary)
+def feeds_of(log: DataFrame) -> list[Feed]:
+    return picked_feeds(log, [F.col("event_type").isin(*kinds) for kinds in PICKED], ("event_id",))
 
 
-def feeds(spark: SparkSession, sf: str) -> list[Feed]:
-    events = load_table(spark, sf, "events")
-    return purchase_feeds(
-        purchase_events(events),
-        product_item_events(events),
-        extra_info_events(events),
-        tiebreak=("event_id",),
-    )
+def purchase_events(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds(spark, sf)[0].events.select(*PURCHASE_EVENTS.names, "event_id")
 
 
 def raw_purchase_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +91,7 @@ def raw_purchase_text(spark: SparkSession, sf: str) -> DataFrame:
     the two columns that tolerate them."""
     k = F.col("buyer_id")
     day = F.col("order_date").cast("string")
-    feed = purchase_events(load_table(spark, sf, "events")).withColumns(
+    feed = purchase_events(spark, sf).withColumns(
         {
             "order_date": F.when(k % 7 == 0, "31/31/2024").otherwise(day),
             "release_date": F.when(k % 5 == 0, "").when(k % 5 == 1, "x").otherwise(day),
@@ -98,22 +101,35 @@ def raw_purchase_text(spark: SparkSession, sf: str) -> DataFrame:
     return feed.select(*[F.col(name).cast("string").alias(name) for name in columns])
 
 
-def unplaced_events(spark: SparkSession, sf: str) -> DataFrame:
-    """The purchase feed with keys and times blanked out here and there."""
+def unplaced(log: DataFrame) -> DataFrame:
+    """The log with keys and times of purchase events blanked out here and there."""
     k = F.col("buyer_id")
-    return purchase_events(load_table(spark, sf, "events")).withColumns(
+
+    def kept(name: str, every: int) -> Column:
+        return F.when(F.coalesce(k % every != 0, F.lit(True)), F.col(name))
+
+    return log.withColumns(
         {
-            "purchase_id": F.when(k % 11 != 0, F.col("purchase_id")),
-            "transaction_date": F.when(k % 13 != 0, F.col("transaction_date")),
-            "transaction_datetime": F.when(k % 17 != 0, F.col("transaction_datetime")),
+            "purchase_id": kept("purchase_id", 11),
+            "transaction_date": kept("transaction_date", 13),
+            "transaction_datetime": kept("transaction_datetime", 17),
         }
     )
 
 
-def purchases(spark: SparkSession, sf: str) -> DataFrame:
+def unplaced_events(spark: SparkSession, sf: str) -> DataFrame:
+    return unplaced(purchase_events(spark, sf))
+
+
+def purchases(spark: SparkSession, sf: str, year: int | None = None) -> DataFrame:
+    """The current purchases; with `year` only those released in it. That test is put on the column
+    of the table, so that it reaches the scan: `release_date` is a computed one here."""
     paid = F.when(F.col("l_returnflag") != "R", F.to_date("l_shipdate"))
     status = F.when(F.col("l_linestatus") == "F", "APROVADA").otherwise("INICIADA")
-    return load_table(spark, sf, "lineitem").select(
+    lines = load_table(spark, sf, "lineitem")
+    if year is not None:
+        lines = lines.where(in_year("l_shipdate", year)).where(F.col("l_returnflag") != "R")
+    return lines.select(
         F.col("l_suppkey").alias("producer_id"),
         F.col("l_partkey").alias("prod_item_id"),
         (F.col("l_partkey") % 10).alias("prod_item_partition"),
@@ -161,7 +177,9 @@ COPIED = "day(transaction_date) = 5"
 
 
 def plant(history: DataFrame) -> DataFrame:
-    doubled = history.unionByName(history.where(COPIED))
+    """The history with faults; rows that are to occur twice are doubled in the same pass."""
+    copies = F.expr(f"explode(sequence(1, IF({COPIED}, 2, 1)))").alias("copy")
+    doubled = history.select("*", copies)
     return doubled.select(
         *[
             F.expr(PLANTED.get(name, name).format(clock="TIMESTAMP_NTZ")).alias(name)

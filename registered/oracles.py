@@ -17,6 +17,7 @@ from registered.bindings import (
     NOW,
     PLANTED,
     PURCHASE_ID,
+    ITEM_PARTITION,
     RUN_DATE,
     RUN_TS,
     YEAR,
@@ -81,13 +82,16 @@ ev AS (
 ),
 purchase_feed AS (
   SELECT ts AS transaction_datetime, day AS transaction_date, user_id AS purchase_id, event_id,
-         k AS buyer_id, k + 1000 AS prod_item_id, day AS order_date,
-         CASE WHEN k % 5 <> 0 THEN day END AS release_date, user_id % 20 AS producer_id,
-         CAST(value AS DECIMAL(18, 2)) AS purchase_total_value,
-         CASE k % 4 WHEN 2 THEN 'CANCELADA' WHEN 3 THEN 'INICIADA' ELSE 'APROVADA' END
-           AS purchase_status,
-         user_id % 10 AS purchase_partition, k % 10 AS prod_item_partition
-  FROM ev WHERE event_type = 'purchase'
+         b AS buyer_id, b + 1000 AS prod_item_id, CASE WHEN b IS NOT NULL THEN day END AS order_date,
+         CASE WHEN b % 5 <> 0 THEN day END AS release_date,
+         CASE WHEN b IS NOT NULL THEN user_id % 20 END AS producer_id,
+         CASE WHEN b IS NOT NULL THEN CAST(value AS DECIMAL(18, 2)) END AS purchase_total_value,
+         CASE WHEN b IS NULL THEN 'CANCELADA' WHEN b % 4 = 2 THEN 'CANCELADA'
+              WHEN b % 4 = 3 THEN 'INICIADA' ELSE 'APROVADA' END AS purchase_status,
+         CASE WHEN b IS NOT NULL THEN user_id % 10 END AS purchase_partition,
+         b % 10 AS prod_item_partition
+  FROM (SELECT *, CASE WHEN event_type <> 'error' THEN k END AS b FROM ev
+        WHERE event_type IN ('purchase', 'signup', 'error'))
 ),
 product_item_feed AS (
   SELECT ts AS transaction_datetime, day AS transaction_date, user_id AS purchase_id, event_id,
@@ -122,6 +126,8 @@ QUARANTINED = sql(
     WHERE reject_reason <> '' GROUP BY reject_reason""",
 )
 
+REJECTED = "SELECT 'purchase' AS source, * FROM (" + QUARANTINED + ")"
+
 # ---- history -----------------------------------------------------------------------------
 
 
@@ -415,6 +421,19 @@ ORACLES = {
         FROM dirty WHERE purchase_id IS NOT NULL GROUP BY purchase_id""",
     ),
     "history_roundtrip_pruned": AS_OF,
+    "items_by_partition": sql(
+        SALES,
+        final=f"""
+        SELECT producer_id, {REVENUE} AS faturamento_{YEAR} FROM {JOINED}
+        WHERE EXTRACT(YEAR FROM release_date) = {YEAR} AND prod_item_partition = {ITEM_PARTITION}
+        GROUP BY producer_id ORDER BY 2 DESC, 1 LIMIT 50""",
+    ),
+    "gate_failures": f"""SELECT "check" FROM ({report("dirty", DIRTY)})
+        WHERE critical AND NOT passed""",
+    "published_after_refusal": HISTORY_SQL,
+    "history_in_catalog_table": HISTORY_SQL,
+    "rejected_events_stored": REJECTED,
+    "incremental_skipped_days": HISTORY_SQL,
     "incremental_history": HISTORY_SQL,
     "incremental_current": CURRENT,
     "rebuilt_history": HISTORY_SQL,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,31 +20,55 @@ from daybook.operators import (
 from daybook.functions import gmv_eligible, provenance
 from daybook.plans import (
     DailyStore,
+    DataQualityError,
     audit,
     build_history,
     build_history_literal,
+    create_history_table,
     current,
     export_csv,
+    gate,
     gmv_as_of,
     gmv_daily,
     producer_products,
+    publish,
     read_history,
     run_checks,
     top_producers,
     top_products,
     write_history,
+    write_items,
 )
 from daybook.plans.quality import current_rows_per_entity as current_rows
 from daybook.plans.quality import duplicate_keys as duplicates
 from daybook.schemas import PURCHASE_EVENTS
-from daybook.sources import Feed, normalize, quarantined, read_csv, register_views, shared_folder
+from daybook.sources import (
+    Feed,
+    load_table,
+    normalize,
+    quarantined,
+    read_csv,
+    register_views,
+    shared_folder,
+)
 from registered import bindings as b
 
 # ---- revenue -----------------------------------------------------------------------------
 
 
 def top_producers_year(spark: SparkSession, sf: str) -> DataFrame:
-    return top_producers(b.purchases(spark, sf), b.items(spark, sf), b.YEAR, 50)
+    return top_producers(b.purchases(spark, sf, b.YEAR), b.items(spark, sf), b.YEAR, 50)
+
+
+def items_by_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """Both current tables laid out by item partition, and a report that reads one of them."""
+    one = F.col("prod_item_partition") == b.ITEM_PARTITION
+    tables = []
+    for name, table in (("purchases", b.purchases(spark, sf)), ("items", b.items(spark, sf))):
+        path = shared_folder(spark, name)
+        write_items(table, path)
+        tables.append(spark.read.schema(table.schema).parquet(path).where(one))
+    return top_producers(*tables, b.YEAR, 50)
 
 
 def producer_product_revenue(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,7 +93,7 @@ def top2_products_with_ties(spark: SparkSession, sf: str) -> DataFrame:
 def top_producers_sql_views(spark: SparkSession, sf: str) -> DataFrame:
     """Plain SQL over named tables."""
     register_views(purchase=b.purchases(spark, sf), product_item=b.items(spark, sf))
-    return spark.sql(
+    report = spark.sql(
         f"""
         SELECT producer_id, CAST(SUM(purchase_value) AS DECIMAL(38, 2)) AS revenue
         FROM purchase JOIN product_item USING (prod_item_id, prod_item_partition)
@@ -80,6 +104,9 @@ def top_producers_sql_views(spark: SparkSession, sf: str) -> DataFrame:
         LIMIT 50
         """
     )
+    for name in ("purchase", "product_item"):  # the report keeps what they stood for
+        spark.catalog.dropTempView(name)
+    return report
 
 
 def revenue_sql_over_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -169,24 +196,42 @@ def purchase_history_literal(spark: SparkSession, sf: str) -> DataFrame:
 # ---- questions to the history ------------------------------------------------------------
 
 
+def _published(spark: SparkSession, sf: str) -> str:
+    """The history, published behind the gate: the path of its version."""
+    root, view = shared_folder(spark, "published"), f"history_{uuid.uuid4().hex}"
+    feeds = b.feeds(spark, sf)
+    publish(build_history(feeds, b.RUN_TS), root, "v1", view, b.RUN_DATE, b.NOW, feeds=feeds)
+    for name in (view, f"{view}_current", f"{view}_rejected"):
+        spark.sql(f"DROP VIEW {name}")
+    return f"{root}/v1"
+
+
+def _stored_history(spark: SparkSession, sf: str) -> DataFrame:
+    return read_history(spark, _published(spark, sf))
+
+
+def _stored_current(spark: SparkSession, sf: str) -> DataFrame:
+    return read_history(spark, _published(spark, sf) + "-current")
+
+
 def gmv_daily_current(spark: SparkSession, sf: str) -> DataFrame:
-    return gmv_daily(purchase_history(spark, sf))
+    return gmv_daily(_stored_current(spark, sf))
 
 
 def gmv_at_cutoff(spark: SparkSession, sf: str) -> DataFrame:
-    return gmv_as_of(purchase_history(spark, sf), b.CUTOFF)
+    return gmv_as_of(_stored_history(spark, sf), b.CUTOFF)
 
 
 def gmv_at_cutoff_month(spark: SparkSession, sf: str) -> DataFrame:
-    return gmv_as_of(purchase_history(spark, sf), b.CUTOFF, "release_date", b.MONTH)
+    return gmv_as_of(_stored_history(spark, sf), b.CUTOFF, "release_date", b.MONTH)
 
 
 def as_of_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return as_of(purchase_history(spark, sf), b.CUTOFF)
+    return as_of(_stored_history(spark, sf), b.CUTOFF)
 
 
 def current_state(spark: SparkSession, sf: str) -> DataFrame:
-    return current(purchase_history(spark, sf))
+    return current(_stored_current(spark, sf))
 
 
 def audit_entity(spark: SparkSession, sf: str) -> DataFrame:
@@ -234,29 +279,81 @@ def history_roundtrip_pruned(spark: SparkSession, sf: str) -> DataFrame:
     return as_of(read_history(spark, path), b.CUTOFF)
 
 
+def gate_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """The names of the critical checks that block a faulty history."""
+    dirty = b.plant(_stored(purchase_history(spark, sf), "sound"))
+    try:
+        gate(run_checks(dirty, b.RUN_DATE, b.NOW))
+    except DataQualityError as blocked:
+        return blocked.report.where("critical AND NOT passed").select("check")
+    raise AssertionError("the planted faults were let through")
+
+
+def published_after_refusal(spark: SparkSession, sf: str) -> DataFrame:
+    """A sound version, then a faulty one, which the gate refuses: the view shows the first."""
+    root, view = shared_folder(spark, "refused"), f"history_{uuid.uuid4().hex}"
+    sound = purchase_history(spark, sf)
+    publish(sound, root, "v1", view, b.RUN_DATE, b.NOW)
+    try:
+        publish(b.plant(sound), root, "v2", view, b.RUN_DATE, b.NOW)
+    except DataQualityError:
+        shown = spark.table(view).select(*sound.columns)
+        for name in (view, f"{view}_current"):
+            spark.sql(f"DROP VIEW {name}")
+        return shown
+    raise AssertionError("the planted faults were let through")
+
+
+def history_in_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table defined in the catalog, loaded and read by name."""
+    name = f"history_{uuid.uuid4().hex}"
+    create_history_table(spark, name, shared_folder(spark, "table"))
+    history = purchase_history(spark, sf)
+    columns = spark.table(name).columns
+    history.select(*columns).write.insertInto(name)
+    by_name = _stored(spark.table(name).select(*history.columns), "by-name")
+    spark.sql(f"DROP TABLE {name}")
+    return by_name
+
+
 def _last_day(feeds: list[Feed]) -> dt.date:
-    dates = reduce(DataFrame.union, [feed.events.select("transaction_date") for feed in feeds])
-    return dates.agg(F.max("transaction_date")).first()[0]
+    return feeds[0].log.agg(F.max("transaction_date")).first()[0]
 
 
-def _loaded(spark: SparkSession, sf: str, state_every: int) -> DailyStore:
-    """All events loaded in day order: up to three days before the end at once, the others one
-    by one, the last one twice."""
+def _loaded(spark: SparkSession, sf: str, state_every: int, days_back: tuple[int, ...]) -> DailyStore:
+    """All events loaded in day order: the first of `days_back` before the last day at once, then one
+    load for each of the others."""
     feeds = b.feeds(spark, sf)
     last = _last_day(feeds)
     store = DailyStore(spark, shared_folder(spark, "daily"), state_every)
-    store.start(feeds, last - dt.timedelta(days=2), b.RUN_TS, check=False)
-    for days_back in (1, 0, 0):
-        store.append_day(feeds, last - dt.timedelta(days=days_back), b.RUN_TS, check=False)
+    store.start(feeds, last - dt.timedelta(days=days_back[0]), b.RUN_TS)
+    for back in days_back[1:]:
+        store.append_day(feeds, last - dt.timedelta(days=back), b.RUN_TS)
     return store
 
 
 def incremental_history(spark: SparkSession, sf: str) -> DataFrame:
-    return _loaded(spark, sf, state_every=7).history()
+    """Day by day, the last day twice."""
+    return _loaded(spark, sf, 7, (3, 2, 1, 0, 0)).history()
 
 
 def incremental_current(spark: SparkSession, sf: str) -> DataFrame:
-    return _loaded(spark, sf, state_every=1).current()
+    return _loaded(spark, sf, 1, (2, 1, 0, 0)).current()
+
+
+def incremental_skipped_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads that leave out days: the next one brings them."""
+    return _loaded(spark, sf, 2, (9, 5, 1, 0)).history()
+
+
+def rejected_events_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that can't be placed, as a daily store keeps them."""
+    log = b.event_log(load_table(spark, sf, "events"))
+    last = log.agg(F.max("transaction_date")).first()[0]
+    store = DailyStore(spark, shared_folder(spark, "rejected"))
+    store.start(b.feeds_of(b.unplaced(log)), last, b.RUN_TS)
+    kept = store.rejected().groupBy("source", "reject_reason")
+    return kept.agg(F.count(F.lit(1)).alias("events"))
 
 
 def rebuilt_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -266,9 +363,9 @@ def rebuilt_history(spark: SparkSession, sf: str) -> DataFrame:
     late = F.hour("transaction_datetime") >= 22
     last = _last_day(feeds)
     store = DailyStore(spark, shared_folder(spark, "rebuilt"))
-    store.start([feed.where(~late) for feed in feeds], last, b.RUN_TS, check=False)
+    store.start([feed.where(~late) for feed in feeds], last, b.RUN_TS)
     batch = [feed.where(late) for feed in feeds]
-    store.rebuild(feeds, store.late_purchases(batch), b.RUN_TS, check=False)
+    store.rebuild(feeds, store.late_purchases(batch), b.RUN_TS)
     return store.history()
 
 
@@ -303,6 +400,12 @@ QUERIES = {
     "duplicate_keys": duplicate_keys,
     "current_rows_per_entity": current_rows_per_entity,
     "history_roundtrip_pruned": history_roundtrip_pruned,
+    "items_by_partition": items_by_partition,
+    "gate_failures": gate_failures,
+    "published_after_refusal": published_after_refusal,
+    "history_in_catalog_table": history_in_catalog_table,
+    "rejected_events_stored": rejected_events_stored,
+    "incremental_skipped_days": incremental_skipped_days,
     "incremental_history": incremental_history,
     "incremental_current": incremental_current,
     "rebuilt_history": rebuilt_history,

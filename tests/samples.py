@@ -69,19 +69,17 @@ ITEM_CURRENT_ROWS = [
     (3, 96, 369, 140, 5),
 ]
 
-_55 = (5, "2023-01-20", "2023-01-20", 852852, 500, "APROVADA", 5, 5, 696969)
-_69 = (160001, 18, "2023-02-26", "2023-02-28", 96967, 4000, "APROVADA", 7, 8, 373737, 2000)
 HISTORY_ROWS = [
-    ("2023-01-20", 55, 15947, *_55, 50, None, False, True, "purchase,product_item"),
-    ("2023-01-23", 55, 15947, *_55, 50, "nacional", False, True, "purchase_extra_info"),
-    ("2023-02-05", 55, 160001, *_55, 50, "nacional", False, True, "purchase"),
-    ("2023-07-12", 55, 160001, *_55, 55, "nacional", False, True, "product_item"),
+    ("2023-01-20", 55, 15947, 5, "2023-01-20", "2023-01-20", 852852, 500, "APROVADA", 5, 5, 696969, 50, None, False, True, "purchase,product_item"),
+    ("2023-01-23", 55, 15947, 5, "2023-01-20", "2023-01-20", 852852, 500, "APROVADA", 5, 5, 696969, 50, "nacional", False, True, "purchase_extra_info"),
+    ("2023-02-05", 55, 160001, 5, "2023-01-20", "2023-01-20", 852852, 500, "APROVADA", 5, 5, 696969, 50, "nacional", False, True, "purchase"),
+    ("2023-07-12", 55, 160001, 5, "2023-01-20", "2023-01-20", 852852, 500, "APROVADA", 5, 5, 696969, 55, "nacional", False, True, "product_item"),
     ("2023-07-15", 55, 160001, 5, "2023-01-20", "2023-03-01", 852852, 550, "APROVADA", 5, 5, 696969, 55, "nacional", True, True, "purchase"),
-    ("2023-01-25", 56, *[None] * 9, 808080, 2400, "internacional", False, False, "product_item,purchase_extra_info"),
+    ("2023-01-25", 56, None, None, None, None, None, None, None, None, None, 808080, 2400, "internacional", False, False, "product_item,purchase_extra_info"),
     ("2023-01-26", 56, 369798, 746520, "2023-01-25", None, 963963, 2400, "INICIADA", 6, 0, 808080, 2400, "internacional", True, False, "purchase"),
-    ("2023-02-26", 69, *_69, None, False, True, "purchase,product_item"),
-    ("2023-02-28", 69, *_69, "nacional", False, True, "purchase_extra_info"),
-    ("2023-03-12", 69, *_69, "internacional", True, True, "purchase_extra_info"),
+    ("2023-02-26", 69, 160001, 18, "2023-02-26", "2023-02-28", 96967, 4000, "APROVADA", 7, 8, 373737, 2000, None, False, True, "purchase,product_item"),
+    ("2023-02-28", 69, 160001, 18, "2023-02-26", "2023-02-28", 96967, 4000, "APROVADA", 7, 8, 373737, 2000, "nacional", False, True, "purchase_extra_info"),
+    ("2023-03-12", 69, 160001, 18, "2023-02-26", "2023-02-28", 96967, 4000, "APROVADA", 7, 8, 373737, 2000, "internacional", True, True, "purchase_extra_info"),
 ]
 
 

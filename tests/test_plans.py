@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 
@@ -56,6 +57,33 @@ def test_history_build_shuffles_twice_and_pre_aggregates(stored):
     assert literal.count("Exchange") > 2 and "Python" not in literal
 
 
+@pytest.mark.parametrize("name", ["purchase_history", "event_spine", "updated_sources", "current_flags"])
+def test_a_shared_log_is_scanned_once(spark, name):
+    from registered.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    assert plan(QUERIES[name](spark, sf)).count("FileScan parquet") == 1
+
+
+def test_registered_reports_prune(spark):
+    from registered import queries as q
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    text = plan(q.top_producers_year(spark, sf))
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-01" in text and "LessThan(l_shipdate,1999-01-01" in text
+    for query in (q.gmv_at_cutoff, q.gmv_at_cutoff_month, q.as_of_snapshot):
+        text = plan(query(spark, sf))
+        filters = text[text.index("PartitionFilters: [") :].split("]")[0]
+        assert "2024-01-15" in filters
+    text = plan(q.items_by_partition(spark, sf))
+    pruned = [part.split("]")[0] for part in text.split("PartitionFilters: [")[1:]]
+    assert len(pruned) == 2 and all("= 6" in filters for filters in pruned)
+
+
 def test_history_build_reads_no_unused_column(stored):
     assert "item_quantity" not in plan(build_history(stored["feeds"], x.RUN_TS))
 

@@ -187,7 +187,8 @@ def test_loading_day_by_day_equals_the_full_build(spark, tmp_path, state_every):
     store = DailyStore(spark, str(tmp_path), state_every)
     store.start(feeds, days[1], x.RUN_TS, check=False)
     for day in days[2:]:
-        store.append_day(feeds, day, x.RUN_TS, check=False)
+        # 2023-01-25 brings a purchase without its purchase event: the gate would hold it back
+        store.append_day(feeds, day, x.RUN_TS, check=day > x.day("2023-01-25"))
     full = x.history(spark)
     assert x.same(store.history(), full)
     assert x.same(store.current(), current(full))
@@ -280,3 +281,123 @@ def test_events_taken_back_leave_no_day_behind(spark, tmp_path):
 def test_immutable_rows_plus_flag_equal_the_full_history(spark):
     full = x.history(spark)
     assert x.same(mark_current(full.drop("is_current")).select(*full.columns), full)
+
+
+@pytest.mark.parametrize("text", ["a field too many", "a field too few"])
+def test_csv_lines_with_a_wrong_number_of_fields_are_refused(spark, tmp_path, text):
+    line = "2023-01-20 22:00:00,2023-01-20,55,nacional" + (",x" if "many" in text else "")
+    short = "2023-01-20 22:00:00,2023-01-20,55"
+    names = ",".join(s.EXTRA_INFO_EVENTS.names)
+    (tmp_path / "f.csv").write_text(f"{names}\n{line if 'many' in text else short}\n")
+    for columns in (["subsidiary"], s.EXTRA_INFO_EVENTS.names):
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_csv(spark, str(tmp_path / "f.csv"), s.EXTRA_INFO_EVENTS).select(*columns).collect()
+
+
+def test_days_between_loads_are_loaded(spark, tmp_path):
+    store = DailyStore(spark, str(tmp_path))
+    store.start(x.feeds(spark), "2023-01-20", x.RUN_TS)
+    store.append_day(x.feeds(spark), "2023-07-15", x.RUN_TS)
+    assert x.same(store.history(), x.history(spark))
+
+
+def test_a_blocked_day_comes_whole_with_the_next_one(spark, tmp_path):
+    feeds = x.feeds(spark)
+    store = DailyStore(spark, str(tmp_path), state_every=1)
+    store.start(feeds, "2023-01-23", x.RUN_TS)
+    with pytest.raises(DataQualityError, match="no_null_current:buyer_id"):
+        store.append_day(feeds, "2023-01-25", x.RUN_TS)
+    store.append_day(feeds, "2023-01-26", x.RUN_TS)
+    store.append_day(feeds, "2023-07-15", x.RUN_TS)
+    assert x.same(store.history(), x.history(spark))
+    assert x.same(store.as_of("2023-01-25"), as_of(x.history(spark).drop("is_current"), "2023-01-25"))
+
+
+def test_late_events_are_reported(spark, tmp_path):
+    early = x.feeds(spark, x.PURCHASE_ROWS[1:])
+    store = DailyStore(spark, str(tmp_path))
+    store.start(early, "2023-07-12", x.RUN_TS, check=False)
+    assert store.append_day(x.feeds(spark), "2023-07-15", x.RUN_TS)["late"] == 1
+    assert [r["late"] for r in store.loads().orderBy("number").collect()] == [0, 1]
+
+
+@pytest.mark.parametrize("kind", ["start", "append_day", "rebuild"])
+def test_a_load_that_ends_before_its_ledger_line_is_invisible(spark, tmp_path, monkeypatch, kind):
+    early = x.feeds(spark, x.PURCHASE_ROWS[1:], x.ITEM_ROWS, x.INFO_ROWS[1:])
+    store = DailyStore(spark, str(tmp_path), state_every=1)
+    steps = {
+        "start": lambda: store.start(early, "2023-07-12", x.RUN_TS, check=False),
+        "append_day": lambda: store.append_day(early, "2023-07-15", x.RUN_TS, check=False),
+        "rebuild": lambda: store.rebuild(
+            x.feeds(spark), store.late_purchases(x.feeds(spark, x.PURCHASE_ROWS[:1], [], [])), x.RUN_TS, check=False
+        ),
+    }
+    for name in steps:
+        if name == kind:
+            break
+        steps[name]()
+
+    def shown():
+        if kind == "start":
+            return []
+        frames = (store.history(), store.current(), store.as_of("2023-02-01"))
+        return [sorted(map(str, f.collect())) for f in frames]
+
+    before = shown()
+    finish = DailyStore._finish
+    monkeypatch.setattr(DailyStore, "_finish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):
+        steps[kind]()
+    monkeypatch.setattr(DailyStore, "_finish", finish)
+    assert shown() == before
+    assert store.vacuum()  # what the broken load left
+    assert shown() == before
+    steps[kind]()
+    feeds = x.feeds(spark) if kind == "rebuild" else early
+    last = "2023-07-12" if kind == "start" else "2023-07-15"
+    upto = [feed.where(F.col("transaction_date") <= last) for feed in feeds]
+    assert x.same(store.history(), build_history(upto, x.RUN_TS))
+
+
+def test_a_rebuild_touches_changed_days_only(spark, tmp_path):
+    early = x.feeds(spark, x.PURCHASE_ROWS[:-1])
+    later = x.RUN_TS + dt.timedelta(days=1)
+    store = DailyStore(spark, str(tmp_path), state_every=1)
+    store.start(early, "2023-02-28", x.RUN_TS, check=False)
+    for day in ("2023-07-12", "2023-07-15"):
+        store.append_day(early, day, x.RUN_TS, check=False)
+    batch = x.feeds(spark, x.PURCHASE_ROWS[-1:], [], [])
+    line = store.rebuild(x.feeds(spark), store.late_purchases(batch), later, check=False)
+    assert line["days"] == [x.day("2023-07-15")]
+    stamps = {r["transaction_date"]: r["etl_loaded_at"] for r in store.snapshots().where("purchase_id = 55").collect()}
+    assert [d for d, at in stamps.items() if at == later.replace(microsecond=0)] == [x.day("2023-07-15")]
+    assert x.same(store.history().drop("etl_loaded_at"), x.history(spark).drop("etl_loaded_at"))
+    plan = store.as_of("2023-03-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert "states/" in str(store.as_of("2023-03-01").inputFiles()) and plan
+    # all as before: no load
+    assert store.rebuild(x.feeds(spark), store.late_purchases(batch), later, check=False) is None
+
+
+def test_rejected_events_are_stored(spark, tmp_path):
+    bad = [*x.PURCHASE_ROWS, x.event("2023-02-01 10:00:00", None), (None, "2023-02-01", *x.event("2023-02-01 10:00:00", 70)[2:])]
+    store = DailyStore(spark, str(tmp_path))
+    line = store.start(x.feeds(spark, bad), "2023-07-15", x.RUN_TS)
+    assert line["rejected"] == 2 and x.same(store.history(), x.history(spark))
+    found = sorted((r["source"], r["reject_reason"]) for r in store.rejected().collect())
+    assert found == [("purchase", "purchase_id"), ("purchase", "transaction_datetime")]
+    publish(x.history(spark), str(tmp_path / "p"), "v1", "with_rejects", x.RUN_DATE, x.NOW, feeds=x.feeds(spark, bad))
+    assert spark.table("with_rejects_rejected").count() == 2
+    assert x.same(spark.table("with_rejects_current"), current(x.history(spark)))
+
+
+def test_vacuum_keeps_what_counts(spark, tmp_path):
+    feeds = x.feeds(spark)
+    store = DailyStore(spark, str(tmp_path), state_every=1)
+    store.start(feeds, "2023-07-12", x.RUN_TS)
+    for _ in range(3):
+        store.append_day(feeds, "2023-07-15", x.RUN_TS)
+    gone = store.vacuum()
+    assert sum(name.startswith("snapshots/") for name in gone) == 2
+    assert sum(name.startswith("states/") for name in gone) == 2
+    assert x.same(store.history(), x.history(spark)) and x.same(store.current(), current(x.history(spark)))
+    assert store.vacuum() == []
