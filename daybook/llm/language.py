@@ -20,16 +20,19 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.batches import slices
+from daybook.llm.sampling import among_lowest, order
 from daybook.llm.words import mix
 
 ROWS_PER_LANGUAGE = 300
+LANGUAGES = 64
 MAX_TRAINING_CHARS = 20_000
 TABLE_BITS = 17
 AFFIXES = 4
@@ -321,27 +324,26 @@ def sample(frame: DataFrame, learn: Column, id_column: str = "doc_id", text_colu
            label_column: str = "lang", rows: int = ROWS_PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most `rows` labelled texts of each language, those with the smallest id hashes.
 
-    Languages are taken by number of labelled rows, at most 64 of them, so the whole is bounded.
+    The LANGUAGES languages with the most labelled rows are taken, so the whole is bounded.
     """
-    eligible = frame.where(
-        learn & F.col(label_column).isNotNull() & F.col(id_column).isNotNull()
-        & F.length(text_column).between(1, MAX_TRAINING_CHARS)
+    label = F.col(label_column).cast("string")
+    labelled = frame.where(learn & label.isNotNull() & F.col(id_column).isNotNull()).select(
+        F.col(id_column).alias("id"), label.alias("lang"), F.col(text_column).alias("text")
     )
-    first = Window.partitionBy("lang").orderBy("order", "id")
-    picked = (
-        eligible.select(
-            F.col(text_column).alias("text"), F.col(label_column).cast("string").alias("lang"),
-            F.xxhash64(id_column).alias("order"), F.col(id_column).alias("id"),
-        )
-        .withColumn("rank", F.row_number().over(first))
-        .where(F.col("rank") <= rows)
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    if not counts:
+        return []
+    low = reduce(
+        lambda a, b: a | b,
+        [(F.col("lang") == r["lang"]) & among_lowest("id", rows, r["count"]) for r in counts],
+    )
+    found = labelled.where(low & F.length("text").between(1, MAX_TRAINING_CHARS)).select(
+        "lang", order("id").alias("order"), "text"
     )
-    found = picked.collect()
-    counts: dict[str, int] = {}
-    for r in found:
-        counts[r.lang] = counts.get(r.lang, 0) + 1
-    kept = set(sorted(counts, key=lambda k: (-counts[k], k))[:64])
-    return [(r.text, r.lang) for r in sorted(found, key=lambda r: (r.lang, r.rank)) if r.lang in kept]
+    kept: dict[str, list[str]] = {}
+    for r in sorted(found.collect(), key=lambda r: (r.lang, r.order, r.text)):
+        kept.setdefault(r.lang, []).append(r.text)
+    return [(text, lang) for lang, texts in kept.items() for text in texts[:rows]]
 
 
 def identify(frame: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text",
