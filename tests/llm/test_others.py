@@ -40,7 +40,7 @@ def test_small_sets_are_searched_whole(spark):
     rng = np.random.default_rng(1)
     rows = {i: [round(float(v), 3) for v in rng.normal(size=4)] for i in range(30)}
     rows[31] = rows[0]
-    odd = [(50, None), (51, [0.0] * 4), (52, [1.0, None, 2.0, 3.0]), (53, [float("nan"), 1, 2, 3]), (54, [float("inf"), 1.0, 2.0, 3.0]), (55, []), (56, [1.0, 2.0])]
+    odd = [(50, None), (51, [0.0] * 4), (52, [1.0, None, 2.0, 3.0]), (53, [float("nan"), 1.0, 2.0, 3.0]), (54, [float("inf"), 1.0, 2.0, 3.0]), (55, []), (56, [1.0, 2.0])]
     frame = spark.createDataFrame([*rows.items(), *odd, (0, rows[0])], "vec_id long, embedding array<double>").withColumn("id", F.lit(1)).withColumn("vector", F.lit("x"))
     found: dict = {}
     for r in neighbours.search(frame, F.col("vec_id") % 10 == 0, probes=neighbours.PIVOTS).collect():
