@@ -1,10 +1,16 @@
 """Jaccard join on word shingles by T-occurrence search (DivideSkip).
 
 Two documents link when 100 * |A and B| >= percent * |A or B| for their sets of shingles (64-bit hashes).
-Equal sets are one from the start. A partner shares at least need(n) = ceil(percent * n / 100) of a set's
-n shingles, so it shares one of its first n - need(n) + 1 in any common order; here the order is from
-seldom to frequent, by counters over all shingles of the corpus. Documents that meet in such an inverted
-list, with sizes that allow a link, form clusters: only there can links be.
+Equal sets are one from the start. Candidates are found by two filters that lose no link:
+
+1. A partner shares at least need(n) = ceil(percent * n / 100) of a set's n shingles, so it shares at least
+   c of the first n - need(n) + c in any common order. Those are posted in inverted lists; c is
+   EXTRA percent of n. The order is roughly from seldom to frequent, by counters over all shingles.
+2. Of a set's posted shingles that any other set has posted, the c - 1 with the longest lists can be left
+   out: one that is shared remains. So what many texts quote does not tie them together.
+
+Documents that meet in a remaining list, with sizes that allow a link, form clusters: only there can
+links be.
 
 Inside a cluster the T-occurrence search is run in blocks: of a document's inverted lists the longest are
 set aside, the short ones merged by counting; what occurs often enough is looked up in the long lists by
@@ -25,16 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm import words as W
 from daybook.llm.batches import slices
 from daybook.llm.components import Union, components
+from daybook.llm.membership import may_be_in
 from daybook.llm.scratch import partitions, written
 
 COUNTER_BITS = 20
 COUNTER_PARTS = 16
+EXTRA = 15
+LONG_LIST = 1 << 16
 BLOCK_SHINGLES = 400_000
 SKIP = 0.2
 HELD_LINKS = 500_000
@@ -123,7 +132,7 @@ def _classes(read: DataFrame) -> np.ndarray:
 
 
 def _postings(source: DataFrame, classes: np.ndarray, size: int, percent: int, fold_case: bool) -> DataFrame:
-    """(hash, n, digest) of the seldom shingles by which a set must meet its partners."""
+    """(hash, n, digest) of the shingles by which a set must meet its partners."""
     held = source.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +145,7 @@ def _postings(source: DataFrame, classes: np.ndarray, size: int, percent: int, f
                     if not len(own) or digest in seen:
                         continue
                     seen.add(digest)
-                    first = len(own) - need(len(own), percent) + 1
+                    first = len(own) - need(len(own), percent) + 1 + EXTRA * len(own) // 100
                     hashes.append(own[np.argsort(held.value[_bucket(own)], kind="stable")[:first]])
                     lengths.append(len(own))
                     digests.append(digest)
@@ -151,6 +160,53 @@ def _postings(source: DataFrame, classes: np.ndarray, size: int, percent: int, f
     return source.where("id IS NOT NULL").mapInArrow(run, "hash long, n long, digest long")
 
 
+def _lists(postings: DataFrame) -> DataFrame:
+    """(hash, n, digest, df) of all postings whose list has another set in it; df is its length.
+
+    Rows come sorted by list. A list is held until its end, or until it has LONG_LIST rows: longer ones
+    count as that long, and their rows pass through.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, over = [np.zeros(0, np.int64)] * 3, None
+        last = None
+        for batch in batches:
+            rows = [batch.column(c).to_numpy() for c in ("hash", "n", "digest")]
+            if not len(rows[0]):
+                continue
+            new = np.ones(len(rows[0]), bool)  # equal sets of several tasks post the same
+            new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[2][1:] != rows[2][:-1])
+            new[0] = last != (rows[0][0], rows[2][0])
+            last = (rows[0][-1], rows[2][-1])
+            rows = [np.concatenate((h, r[new])) for h, r in zip(held, rows)]
+            if len(rows[0]):
+                starts = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
+                lengths = np.diff(np.append(starts, len(rows[0])))
+                if over is not None and rows[0][0] == over:
+                    lengths[0] = LONG_LIST
+                    times = np.diff(np.append(starts, len(rows[0])))
+                else:
+                    times = lengths
+                final = starts[-1]
+                if lengths[-1] >= LONG_LIST:
+                    over, final = rows[0][-1], len(rows[0])
+                df = np.minimum(np.repeat(lengths, times), LONG_LIST)
+                yield listed([r[:final] for r in rows], df[:final])
+                held = [r[final:] for r in rows]
+        if len(held[0]):
+            df = np.full(len(held[0]), LONG_LIST if held[0][0] == over else len(held[0]), np.int64)
+            yield listed(held, df)
+
+    def listed(rows: list[np.ndarray], df: np.ndarray) -> pa.RecordBatch:
+        several = df > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x[several]) for x in (*rows, df.astype(np.int64))], ["hash", "n", "digest", "df"]
+        )
+
+    dealt = postings.repartition(partitions(postings.sparkSession), "hash")
+    return dealt.sortWithinPartitions("hash", "digest").mapInArrow(run, "hash long, n long, digest long, df long")
+
+
 def _meetings(postings: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of digests that hold together all documents of a list whose sizes allow a link.
 
@@ -175,7 +231,13 @@ def _meetings(postings: DataFrame, percent: int) -> DataFrame:
                 ties = Union()
         yield _pairs(ties.links())
 
-    dealt = postings.repartition(partitions(postings.sparkSession), "hash")
+    common = F.expr(f"1 + {EXTRA} * (({percent} * n + 99) DIV 100) DIV 100")
+    frequent = Window.partitionBy("digest").orderBy(F.desc("df"), F.desc("hash"))
+    kept = (
+        _lists(postings).withColumn("place", F.row_number().over(frequent))
+        .where(F.col("place") >= common).select("hash", "n", "digest")
+    )
+    dealt = kept.repartition(partitions(postings.sparkSession), "hash")
     return dealt.sortWithinPartitions("hash", "n", "digest").mapInArrow(run, "a long, b long")
 
 
@@ -238,9 +300,10 @@ def _cells(members: DataFrame, source: DataFrame, size: int, percent: int, fold_
     )
     own = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    texts = source.where(may_be_in(members, "node")(F.col("id"))).withColumnRenamed("id", "node")
     placed = (
         members.join(blocks, "cluster").withColumn("own", own)
-        .join(source.withColumnRenamed("id", "node"), "node")
+        .join(texts, "node")
         .select("cluster", "own", other.alias("other"), "node", "digest", "text")
         .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                 "own", "node", "digest", "text")
