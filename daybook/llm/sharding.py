@@ -15,6 +15,7 @@ some shards stay empty, further columns are not read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,7 +115,8 @@ def shards(frame: DataFrame, dimensions: list[str], id_column: str = "doc_id",
     for p in range(max(sizes, default=-1) + 1):
         offsets.append(total)
         total += sizes.get(p, 0)
-    rank = F.element_at(F.array(*[F.lit(x).cast("long") for x in offsets or [0]]), part + 1) + F.col("at").bitwiseAND((1 << 33) - 1)
+    starts = F.from_json(F.lit(json.dumps(offsets or [0])), "array<bigint>")  # folds to one literal
+    rank = F.element_at(starts, part + 1) + F.col("at").bitwiseAND((1 << 33) - 1)
     shard = F.expr(f"CAST((rank * {count}) DIV {max(1, total)} AS INT)")
     first = F.expr(f"(CAST(shard AS BIGINT) * {max(1, total)} + {count - 1}) DIV {count}")
     return (

@@ -18,6 +18,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -170,21 +171,31 @@ def with_followers(frame: DataFrame, id_column: str, text_column: str) -> DataFr
                         F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     ids = rows.select("id").where("id IS NOT NULL")
     shares = [i / width for i in range(1, width)]
-    cuts = sorted({int(x) for x in ids.approxQuantile("id", shares, 1 / (4 * width))})
-    array = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    bucket = F.coalesce(F.size(F.filter(array, lambda c: c <= F.col("id"))), F.lit(0))
-    lowest = F.min(F.coalesce("id", F.lit(-(1 << 63))))
-    firsts = sorted(
-        (r[0], r[1])
-        for r in rows.select("id", bucket.alias("bucket")).groupBy("bucket").agg(lowest).collect()
+    cuts = np.unique(np.array(ids.approxQuantile("id", shares, 1 / (4 * width)), np.int64))
+    lowest = -(1 << 63)
+    key = F.coalesce("id", F.lit(lowest))
+
+    @F.pandas_udf("long")
+    def bucket_of(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, key.to_numpy(), side="right"))
+
+    bucket = bucket_of(key)
+    firsts = sorted(tuple(r) for r in rows.select(key.alias("key"), bucket.alias("bucket")).groupBy("bucket").agg(F.min("key")).collect())
+    leads = np.array([x for _, x in firsts], np.int64)
+    ends = np.roll(np.array([b for b, _ in firsts], np.int64), 1)
+
+    @F.pandas_udf("long")
+    def copied_to(key: pd.Series) -> pd.Series:
+        """The bucket before, of ids that are the first of theirs; others have none."""
+        at = np.minimum(np.searchsorted(leads, key.to_numpy()), len(leads) - 1)
+        return pd.Series(np.where(leads[at] == key.to_numpy(), ends[at], -1))
+
+    placed = rows.select(bucket.alias("own"), copied_to(key).alias("before"), "id", "text")
+    own = F.struct(F.col("own").alias("bucket"), F.lit(0).alias("copy"))
+    also = F.struct(F.col("before").alias("bucket"), F.lit(1).alias("copy"))
+    dealt = placed.select(
+        F.explode(F.when(F.col("before") >= 0, F.array(own, also)).otherwise(F.array(own))).alias("at"), "id", "text"
     )
-    before = [0] * (len(cuts) + 1)
-    for i, (b, _) in enumerate(firsts):
-        before[b] = firsts[i - 1][0]
-    leads = F.coalesce("id", F.lit(-(1 << 63))).isin([x for _, x in firsts])
-    own = F.struct(bucket.alias("bucket"), F.lit(0).alias("copy"))
-    also = F.struct(F.element_at(F.array(*map(F.lit, before)), bucket + 1).alias("bucket"), F.lit(1).alias("copy"))
-    dealt = rows.select(F.explode(F.when(leads, F.array(own, also)).otherwise(F.array(own))).alias("at"), "id", "text")
     return (
         dealt.select("at.bucket", "at.copy", "id", "text")
         .repartition(partitions(spark), "bucket")
