@@ -148,4 +148,27 @@ FROM fit f JOIN one o USING (line) LEFT JOIN near USING (place)
 WHERE (f.doc_id, f.line_no) <> coalesce(earlier, o.place)
 """
 
-ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
+OP6_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM split
+), each AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, y FROM reach r JOIN links ON other = x
+)
+SELECT doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_ngram_jaccard_join": OP6_SQL, "op9_line_dedup": OP9_SQL}
