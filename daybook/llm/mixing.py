@@ -31,9 +31,11 @@ from daybook.llm.batches import slices
 from daybook.llm.language import word_keys, words_of
 from daybook.llm.sampling import among_lowest, order
 
-LABELLED_ROWS = 6000
+LABELLED_ROWS = 5000
 MAX_TRAINING_CHARS = 20_000
 LEXICON_WORDS = 400
+TRAINING_SLICE = 256
+SHARES = 8
 ROUNDS = 40
 TOLERANCE = 1e-4
 
@@ -48,7 +50,7 @@ def _shares(texts: pa.Array, words, keys: np.ndarray) -> np.ndarray:
     """Per text: shares of capitals, digits, signs and line ends, repetition of words, and size."""
     data, offsets = W.buffers(texts)
     size = np.maximum(1, np.diff(offsets))
-    out = np.zeros((len(size), 8), np.float32)
+    out = np.zeros((len(size), SHARES), np.float32)
     kinds = _CLASS[data]
     for k in range(1, 5):
         total = np.concatenate(([0], np.cumsum(kinds == k)))
@@ -103,15 +105,18 @@ def fit(rows: list[tuple[str, str]], steps: int = 250, penalty: float = 1e-3) ->
     """Fits the classifier on (text, domain) rows."""
     domains = sorted({d for _, d in rows})
     if not rows:
-        return Model(["all"], np.zeros(0, np.uint64), np.zeros((9, 1)))
+        return Model(["all"], np.zeros(0, np.uint64), np.zeros((SHARES + 1, 1)))
     texts = pa.array([t for t, _ in rows], pa.string())
     truth = np.array([domains.index(d) for _, d in rows])
-    words = words_of(texts.to_pylist())
-    keys = word_keys(words)
-    owner = np.repeat(np.arange(len(rows)), np.diff(words.firsts))
-    tokens, inverse = np.unique(keys, return_inverse=True)
-    pairs = np.unique(owner * max(1, len(tokens)) + inverse)
-    text, token = pairs // max(1, len(tokens)), pairs % max(1, len(tokens))
+    parts = [texts.slice(i, TRAINING_SLICE) for i in range(0, len(texts), TRAINING_SLICE)]
+    distinct: list[np.ndarray] = []
+    for part in parts:
+        words = words_of(part.to_pylist())
+        keys = word_keys(words)
+        distinct += [np.unique(keys[a:b]) for a, b in zip(words.firsts[:-1], words.firsts[1:])]
+    text = np.repeat(np.arange(len(rows)), [len(d) for d in distinct])
+    tokens, token = np.unique(np.concatenate(distinct), return_inverse=True)
+    del distinct
     df = np.bincount(token, minlength=len(tokens))
     chosen: set[int] = set()
     for k in range(len(domains)):
@@ -121,10 +126,12 @@ def fit(rows: list[tuple[str, str]], steps: int = 250, penalty: float = 1e-3) ->
         lift = (own - df * share) / np.sqrt(df * share * (1 - share) + 1)
         chosen.update(tokens[np.argsort(-np.abs(lift) * (df >= 5), kind="stable")[:LEXICON_WORDS]].tolist())
     model = Model(domains, np.array(sorted(chosen), np.uint64), np.zeros(0))
-    shares, text, word = model._inputs(texts)
-    x = np.zeros((len(rows), len(model.lexicon) + shares.shape[1] + 1), np.float32)
-    x[text, word] = 1.0
-    x[:, len(model.lexicon) : -1] = shares
+    x = np.zeros((len(rows), len(model.lexicon) + SHARES + 1), np.float32)
+    for i, part in enumerate(parts):
+        shares, own, word = model._inputs(part)
+        own += i * TRAINING_SLICE
+        x[own, word] = 1.0
+        x[i * TRAINING_SLICE : i * TRAINING_SLICE + len(part), len(model.lexicon) : -1] = shares
     x[:, -1] = 1.0
     y = np.eye(len(domains), dtype=np.float32)[truth]
     w = np.zeros((x.shape[1], len(domains)), np.float32)
