@@ -180,7 +180,8 @@ def with_followers(frame: DataFrame, id_column: str, text_column: str) -> DataFr
         return pd.Series(np.searchsorted(cuts, key.to_numpy(), side="right"))
 
     bucket = bucket_of(key)
-    firsts = sorted(tuple(r) for r in rows.select(key.alias("key"), bucket.alias("bucket")).groupBy("bucket").agg(F.min("key")).collect())
+    lowest_keys = rows.select(key.alias("key"), bucket.alias("bucket")).groupBy("bucket").agg(F.min("key"))
+    firsts = sorted(tuple(r) for r in lowest_keys.collect())
     leads = np.array([x for _, x in firsts], np.int64)
     ends = np.roll(np.array([b for b, _ in firsts], np.int64), 1)
 
