@@ -1,8 +1,8 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame operations only.
 
-A line goes when an earlier one (by document id, then line number) has at most `EDITS` edits to it: one
-code point put in, left out or replaced. Of equal lines all but the earliest go. Lines of fewer than
-`LEAST` characters after trimming stay: such short ones repeat by chance.
+A line goes when an earlier one (by document id, then line number) is at most one edit away: one code
+point put in, left out or replaced. Of equal lines all but the earliest go. Lines of fewer than `LEAST`
+characters after trimming stay: such short ones repeat by chance.
 
 Two lines within the bound have a variant in common: themselves, or themselves without one character.
 A variant's key is a hash of its characters that adds up, the line's sum less the share of the left-out
@@ -12,9 +12,10 @@ verified with the edit distance.
 Ahead of that join, lines that can't have a partner are left out, exactly: an edit leaves one half of
 a line as it is, so partners share the hash of a beginning or of an end. Lengths that differ by one may
 have halves of different length, so each line has the keys of its own length and of the next smaller.
+All this is told by a table of hashes; texts are read again only of lines that may have a partner.
 
 Defined results: a null text has no line, an empty one a single empty line; rows that share an id are
-ordered by their text, and rows that are equal in both keep their lines as one row does; rows with
+ordered by a hash of their text, and rows that are equal in both keep their lines as one row does; rows with
 null ids come first; an empty table gives no rows; further columns are not read.
 """
 
@@ -29,6 +30,8 @@ LEAST = 20
 #: Lines are trimmed by these characters for their length only.
 BLANK = " \t\r\f\v"
 SALT = 0x5DEECE66D
+#: Binary logarithm of the 64-bit words of the filter of line keys.
+FILTER_WORDS = 15
 
 
 def lines_of(frame: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -74,45 +77,71 @@ def _variants() -> Column:
     )
 
 
+def _bits(key: str) -> tuple[Column, Column]:
+    mask = F.lit((1 << (6 + FILTER_WORDS)) - 1)
+    return F.col(key).bitwiseAND(mask), F.shiftrightunsigned(F.col(key), 64 - 6 - FILTER_WORDS)
+
+
+def _passes(keys: DataFrame, key: str) -> Column:
+    """False only for values of `key` that `keys` does not have: a Bloom filter as one array of fixed
+    size, which a scalar subquery computes. It spares a join's shuffle most rows without a partner."""
+    bits = keys.select(F.explode(F.array(*_bits(key))).alias("bit"))
+    held = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("held")
+    )
+    every = keys.sparkSession.range(1 << FILTER_WORDS).withColumnRenamed("id", "word")
+    pairs = F.collect_list(F.struct("word", F.coalesce("held", F.lit(0).cast("long")).alias("held")))
+    table = every.join(held, "word", "left").agg(F.transform(F.array_sort(pairs), lambda x: x["held"]).alias("t"))
+    one, two = (
+        F.call_function("getbit", F.element_at(table.scalar(), F.shiftright(bit, 6).cast("int") + 1), (bit % 64).cast("int")) == 1
+        for bit in _bits(key)
+    )
+    return one & two
+
+
 def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                    least: int = LEAST) -> DataFrame:
     """Every line that goes: id, row, line_no, n_chars, and the earliest line it repeats, with the edits."""
-    lines = lines_of(frame, id_column, text_column).where(_comparable(least))
     one, two = _key(F.col("line"))
-    distinct = written(
-        lines.groupBy(one.alias("k1"), two.alias("k2")).agg(
-            F.min(F.struct("id", "row", "line_no")).alias("place"),
-            F.count(F.lit(1)).alias("times"),
-            F.first("line").alias("line"),
-        ),
-        "distinct-lines",
+    place = ["id", "row", "line_no"]
+    lines = lines_of(frame, id_column, text_column).where(_comparable(least))
+    keyed = lines.select(*place, one.alias("k1"), two.alias("k2"), "line")
+    # every line by its hashes alone; texts are read again only of those that may have partners
+    table = written(
+        keyed.select(*place, "k1", "k2", F.length("line").alias("n_chars"), _halves().alias("halves")), "lines"
     )
+    distinct = table.groupBy("k1", "k2").agg(F.min(F.struct(*place)).alias("place"), F.count(F.lit(1)).alias("times"))
     # halves that two different lines have; only their lines get variants
-    halves = distinct.select("k1", "k2", F.explode(_halves()).alias("half"))
+    halves = table.select("k1", "k2", F.explode("halves").alias("half"))
     met = halves.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
-    partners = halves.join(met.select("half"), "half").groupBy("k1", "k2").agg(F.collect_set("half").alias("halves"))
-    near = distinct.join(partners, ["k1", "k2"])
-    variants = F.explode(_variants()).alias("variant")
-    keyed = near.select("place", "line", "halves", variants).select(
+    partners = written(
+        halves.join(met.select("half"), "half").groupBy("k1", "k2").agg(F.collect_set("half").alias("halves")),
+        "line-partners",
+    )
+    # one row for each line and task goes into the shuffle, however often the line occurs
+    texts = keyed.where(_passes(partners, "k1")).groupBy("k1", "k2").agg(
+        F.min(F.struct(*place)).alias("place"), F.first("line").alias("line")
+    )
+    near = texts.join(partners, ["k1", "k2"])
+    variants = near.select("place", "line", "halves", F.explode(_variants()).alias("variant")).select(
         "place", "line", F.explode("halves").alias("half"), "variant.key", "variant.size"
     )
-    keyed = written(keyed, "line-variants")
+    variants = written(variants, "line-variants")
     common = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("half", "key", "size")]
     similar = (
-        keyed.alias("a").join(keyed.alias("b"), common)
+        variants.alias("a").join(variants.alias("b"), common)
         .where((F.col("a.place") < F.col("b.place")) & (F.levenshtein("a.line", "b.line", 1) == 1))
         .groupBy(F.col("b.place").alias("place")).agg(F.min("a.place").alias("earlier"))
     )
     known = (
-        distinct.select("k1", "k2", "place", "times").join(similar, "place", "left")
+        distinct.join(similar, "place", "left")
         .where("times > 1 OR earlier IS NOT NULL")
         .select("k1", "k2", F.coalesce("earlier", "place").alias("first"),
                 F.col("earlier").isNotNull().cast("int").alias("edits"))
     )
-    every = lines.select("id", "row", "line_no", F.length("line").alias("n_chars"), one.alias("k1"), two.alias("k2"))
     return (
-        every.join(known, ["k1", "k2"])
-        .where(F.struct("id", "row", "line_no") != F.col("first"))
+        table.join(known, ["k1", "k2"])
+        .where(F.struct(*place) != F.col("first"))
         .select(
             F.col("id").alias(id_column), "row", "line_no", "n_chars", F.col("first.id").alias(f"first_{id_column}"),
             F.col("first.line_no").alias("first_line_no"), "edits",
