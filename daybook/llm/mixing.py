@@ -3,7 +3,7 @@
 A classifier fitted on a labelled table gives every document the posterior of each domain. A document of t
 tokens and rate r then counts as r * t * posterior tokens of a domain. Rates are the solution of a least
 squares problem, nonnegative rates whose expected domain totals match the targets, by projected gradient
-from rates of one. Residuals are measured in the metric of the Gram matrix of the memberships, so a step
+from rates of one, with momentum. Residuals are measured in the metric of the Gram matrix of the memberships, so a step
 length of one is safe, and a few rounds suffice. In each round every task adds up its documents'
 expected tokens, and the driver sees one number for each domain.
 
@@ -177,7 +177,8 @@ def memberships(frame: DataFrame, model: Model, id_column: str = "doc_id",
             for rows in slices(batch, "text"):
                 texts = rows.column("text").fill_null("")
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), pa.array(_tokens(texts)), pa.array(list(held.value.posteriors(texts)), pa.list_(pa.float64()))],
+                    [rows.column("id"), pa.array(_tokens(texts)),
+                     pa.array(list(held.value.posteriors(texts)), pa.list_(pa.float64()))],
                     ["id", "tokens", "posterior"],
                 )
 
@@ -188,12 +189,21 @@ def _tokens(texts: pa.Array) -> np.ndarray:
     return np.diff(W.spans(*W.buffers(texts))[2]).astype(np.int64)
 
 
+def _walk(posteriors: np.ndarray, steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the given steps, and the point from which the next step sets out.
+
+    Each step moves from there along the memberships, then back to what is allowed; points run
+    ahead of the rates by Nesterov's momentum.
+    """
+    rate = ahead = np.ones(len(posteriors))
+    for k, step in enumerate(steps, 1):
+        before, rate = rate, np.maximum(0.0, ahead - posteriors @ step)
+        ahead = rate + k / (k + 3) * (rate - before)
+    return rate, ahead
+
+
 def rates_of(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """Rates after the given steps: each moves along the memberships, then back to what is allowed."""
-    rate = np.ones(len(posteriors))
-    for step in steps:
-        rate = np.maximum(0.0, rate - posteriors @ step)
-    return rate
+    return _walk(posteriors, steps)[0]
 
 
 def _columns(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,12 +248,12 @@ def fit_steps(table: DataFrame, domains: list[str], weights: dict[str, float], r
     want = want / want.sum()
     targets = want * min(h / w for h, w in zip(have, want) if w > 0)
     metric = np.linalg.pinv(gram + 1e-9 * have.sum() / n * np.eye(n))
-    residual, steps = have - targets, []
-    while len(steps) < rounds and np.abs(residual).max() > tolerance * targets.sum():
-        steps.append(metric @ residual)
+    at_rates, at_point, steps = have, have, []
+    while len(steps) < rounds and np.abs(at_rates - targets).max() > tolerance * targets.sum():
+        steps.append(metric @ (at_point - targets))
         so_far = list(steps)
-        found = _summed(table, n, lambda t, p: p.T @ (t * rates_of(p, so_far)))
-        residual = np.array([found.get(i, 0.0) for i in range(n)]) - targets
+        found = _summed(table, n, lambda t, p: np.array([p.T @ (t * x) for x in _walk(p, so_far)]))
+        at_rates, at_point = np.array([found.get(i, 0.0) for i in range(2 * n)]).reshape(2, n)
     return steps
 
 
