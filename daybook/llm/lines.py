@@ -31,7 +31,7 @@ LEAST = 20
 BLANK = " \t\r\f\v"
 SALT = 0x5DEECE66D
 #: Binary logarithm of the 64-bit words of the filter of line keys.
-FILTER_WORDS = 15
+FILTER_WORDS = 18
 
 
 def lines_of(frame: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
