@@ -146,9 +146,14 @@ def thresholds(histogram: dict[tuple[str, int, int], int], rate: float = RATE) -
     return out
 
 
-def _runs(inside: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
-    begin, end = edge[0::2], edge[1::2]
+def _runs(inside: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of runs of at least `least` places; none crosses from one text to the next."""
+    before = np.concatenate(([False], inside))
+    after = np.concatenate((inside, [False]))
+    edge = before != after
+    edge[offsets] = True
+    begin = np.flatnonzero(edge & after)
+    end = np.flatnonzero(edge & before)
     long = end - begin >= least
     return begin[long], end[long]
 
@@ -159,30 +164,25 @@ def _examined(data: np.ndarray, offsets: np.ndarray) -> tuple[list, list]:
     own = lambda at: np.searchsorted(offsets, at, side="right") - 1
     told = np.zeros(n, bool)
     told[own(np.flatnonzero((data == 58) | (data == 61)))] = True
-    for where in (_runs(_HEX[data], 32)[0], np.array([m.start() for m in re.finditer(b"AKIA", data.tobytes())], np.int64)):
-        first = own(where)
-        told[first] = True
+    access = np.array([m.start() for m in re.finditer(b"(?=AKIA)", data.tobytes())], np.int64)
+    for where in (_runs(_HEX[data], offsets, 32)[0], access):
+        told[own(where)] = True
     base: list[list] = [[] for _ in range(n)]
     for i in np.flatnonzero(told):
         base[i] = base_spans(data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace"))
-    inside = _RUN[data]
     tested: list[list] = [[] for _ in range(n)]
-    for a, b in zip(*_runs(inside, LEAST)):
-        for i in range(own(a), own(b - 1) + 1):  # a run may touch the next text
-            x, y = max(a, offsets[i]), min(b, offsets[i + 1])
-            if y - x < LEAST:
-                continue
-            token = data[x:y].tobytes().decode()
-            name = encoding(token)
-            size = len(token.rstrip("="))
-            if name is None or size < LEAST:
-                continue
-            chi, *chances = battery(token, name)
-            start = int(((data[offsets[i] : x] & 0xC0) != 0x80).sum())
-            end = start + int(y - x)
-            if any(s < end and start < e for s, e, _ in base[i]):
-                continue
-            tested[i].append({"start": start, "end": end, "encoding": name, "size": size, "chi": chi, "p": min(1.0, 3 * min(chances))})
+    for a, b in zip(*_runs(_RUN[data], offsets, LEAST)):
+        token, i = data[a:b].tobytes().decode(), own(a)
+        name = encoding(token)
+        size = len(token.rstrip("="))
+        if name is None or size < LEAST:
+            continue
+        chi, *chances = battery(token, name)
+        start = int(((data[offsets[i] : a] & 0xC0) != 0x80).sum())
+        end = start + len(token)
+        if any(s < end and start < e for s, e, _ in base[i]):
+            continue
+        tested[i].append({"start": start, "end": end, "encoding": name, "size": size, "chi": chi, "p": min(1.0, 3 * min(chances))})
     return base, tested
 
 

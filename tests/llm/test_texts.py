@@ -349,6 +349,17 @@ def test_base_spans_and_random_tokens(spark, table, odd, words):
     assert caught >= 0.8 * len(planted) and false <= 2
 
 
+def examined(texts):
+    return secrets._examined(*W.buffers(pa.array(texts)))
+
+
+def test_patterns_are_found_whatever_the_neighbouring_texts():
+    texts = ["0a" * 20, "1b" * 20, "1b" * 20, "text ends in a", "c3" * 16 + " tail", "", "AKI", "AKIA" + "B" * 12, "f" * 16, "f" * 16]
+    base, _ = examined(texts)
+    assert base == [secrets.base_spans(t) for t in texts]
+    assert [len(x) for x in base] == [1, 1, 1, 0, 1, 0, 0, 1, 0, 0]
+
+
 def test_benjamini_hochberg_on_bins():
     bins = {("e", 0, k): n for k, n in ((0, 1000), (20, 20), (60, 5), (100, 5))}
     assert secrets.thresholds(bins, 0.01) == {("e", 0): 100}
