@@ -1,7 +1,9 @@
 """Secret scans: fixed patterns, and a battery of randomness tests with false-discovery control.
 
 Base spans come from three patterns: assignments to names that tell of secrets, access keys and long
-hexadecimal runs. Beyond them, every run of 20 or more characters of [A-Za-z0-9+/_=-] is a candidate. Its
+hexadecimal runs. Beyond them, runs of [A-Za-z0-9+/_=-] are cut after every '=' that isn't closing padding, and
+parts that no alphabet has are cut twice, at '-' and '_' and at '+' and '/'; every part of 20 or more characters
+is a candidate, so candidates of one run may overlap. Its
 encoding is the smallest of `ENCODINGS` that has all its characters. Three tests ask whether it could
 be drawn at random from that alphabet: chi-squared of the character counts, the runs test (above and
 below the alphabet's middle) and the serial correlation of neighbours. A candidate that fails one at `ALPHA`
@@ -82,6 +84,17 @@ def encoding(token: str) -> str | None:
     return next((name for name, alphabet in ENCODINGS.items() if used <= set(alphabet)), None)
 
 
+def parts(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the candidates in a run: what lies between '=' signs, the closing ones with the last;
+    where that mixes the signs of base64 and base64url, the longest parts that each of them has."""
+    out = set()
+    for m in re.finditer(r"[^=]+(?:=+\Z)?", run):
+        mixed = re.search("[+/]", m[0]) and re.search("[-_]", m[0])
+        for cut in ("[^-_]+", "[^+/]+") if mixed else (".+",):
+            out.update((m.start() + x.start(), m.start() + x.end()) for x in re.finditer(cut, m[0]))
+    return sorted((a, b) for a, b in out if len(run[a:b].rstrip("=")) >= LEAST)
+
+
 def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -172,17 +185,18 @@ def _examined(data: np.ndarray, offsets: np.ndarray) -> tuple[list, list]:
         base[i] = base_spans(data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace"))
     tested: list[list] = [[] for _ in range(n)]
     for a, b in zip(*_runs(_RUN[data], offsets, LEAST)):
-        token, i = data[a:b].tobytes().decode(), own(a)
-        name = encoding(token)
-        size = len(token.rstrip("="))
-        if name is None or size < LEAST:
-            continue
-        chi, *chances = battery(token, name)
-        start = int(((data[offsets[i] : a] & 0xC0) != 0x80).sum())
-        end = start + len(token)
-        if any(s < end and start < e for s, e, _ in base[i]):
+        run, i = data[a:b].tobytes().decode(), own(a)
+        found = [(x, y, name) for x, y in parts(run) if (name := encoding(run[x:y]))]
+        if not found:
             continue
-        tested[i].append({"start": start, "end": end, "encoding": name, "size": size, "chi": chi, "p": min(1.0, 3 * min(chances))})
+        shift = int(((data[offsets[i] : a] & 0xC0) != 0x80).sum())
+        for x, y, name in found:
+            token = run[x:y]
+            chi, *chances = battery(token, name)
+            start, end, size = shift + x, shift + y, len(token.rstrip("="))
+            if any(s < end and start < e for s, e, _ in base[i]):
+                continue
+            tested[i].append({"start": start, "end": end, "encoding": name, "size": size, "chi": chi, "p": min(1.0, 3 * min(chances))})
     return base, tested
 
 

@@ -360,6 +360,31 @@ def test_patterns_are_found_whatever_the_neighbouring_texts():
     assert [len(x) for x in base] == [1, 1, 1, 0, 1, 0, 0, 1, 0, 0]
 
 
+def test_values_after_an_equals_sign_are_candidates(spark, table, words):
+    def candidates(text):
+        return [text[t["start"] : t["end"]] for t in examined(["before", text])[1][1]]
+
+    rng = random.Random(31)
+    alphabet = secrets.ENCODINGS["base62"]
+    key, other = ("".join(rng.choices(alphabet, k=40)) for _ in range(2))
+    assert candidates(f"é AWS_SECRET_ACCESS_KEY={key}") == ["AWS_SECRET_ACCESS_KEY", key]
+    assert candidates(f"?a=1&sig={key}&AUTH=={other}==") == [key, other + "=="]
+    assert candidates(f"{key}={other}=") == [key, other + "="]
+    assert candidates(f"api_key={key}") == []
+    assert candidates(f"key-name/{key}") == ["name/" + key, key]
+    assert candidates(f"{key}+/-_{other}") == [key, key + "+/", "-_" + other, other]
+    docs, planted = {}, {}
+    for i in range(200):
+        own = ["".join(rng.choices(words, k=rng.randint(1, 6))).lower() for _ in range(120)]
+        if i % 10 == 0:
+            planted[i] = "".join(rng.choices(alphabet, k=44))
+            own.insert(50, rng.choice(["AUTH=", "url?user=me&sig=", "AWS_SECRET_ACCESS_KEY="]) + planted[i])
+        docs[i] = " ".join(own)
+    rows = secrets.scan(table(docs.items())).collect()
+    found = {r.doc_id: [docs[r.doc_id][int(s.split(":")[1]) : int(s.split(":")[2])] for s in r.spans.split(",") if s] for r in rows}
+    assert sum(found[i] == [x] for i, x in planted.items()) >= 0.8 * len(planted)
+
+
 def test_benjamini_hochberg_on_bins():
     bins = {("e", 0, k): n for k, n in ((0, 1000), (20, 20), (60, 5), (100, 5))}
     assert secrets.thresholds(bins, 0.01) == {("e", 0): 100}
