@@ -47,11 +47,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draws documents so that the domains' expected tokens meet the target weights."""
+    """Draws documents so that the domains' expected tokens meet the target weights.
+
+    Clean documents are not given up for that: of a corpus cleaner than the targets everything stays.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = mixing.fit(mixing.sample(docs, labels, label_domain()))
     table = written(mixing.memberships(docs, model), "memberships")
-    steps = mixing.fit_steps(table, model.domains, MIXTURE)
+    steps = mixing.fit_steps(table, model.domains, MIXTURE, whole="clean")
     return mixing.drawn(docs, model, steps, SURE_RATE)
 
 

@@ -230,10 +230,12 @@ def _summed(table: DataFrame, n: int, add) -> np.ndarray:
 
 
 def fit_steps(table: DataFrame, domains: list[str], weights: dict[str, float], rounds: int = ROUNDS,
-              tolerance: float = TOLERANCE) -> list[np.ndarray]:
+              tolerance: float = TOLERANCE, whole: str | None = None) -> list[np.ndarray]:
     """The projected-gradient steps that bring the memberships in `table` to the target weights.
 
-    The targets' total is the largest for which no wanted domain must have more tokens than there are.
+    The targets' total is the largest for which no wanted domain must have more tokens than there are. With
+    `whole`, it is the one for which that domain keeps all its tokens; others that have less than their
+    weight then asks for are to keep all of theirs, and fall short of it.
     """
     n = len(domains)
     found = _summed(table, n, lambda t, p: (p * t[:, None]).T @ p)
@@ -246,7 +248,11 @@ def fit_steps(table: DataFrame, domains: list[str], weights: dict[str, float], r
     if not want.sum():
         raise ValueError(f"no wanted domain among {domains}")
     want = want / want.sum()
-    targets = want * min(h / w for h, w in zip(have, want) if w > 0)
+    at = domains.index(whole) if whole in domains else None
+    if at is not None and want[at] > 0:
+        targets = np.minimum(want * have[at] / want[at], have)
+    else:
+        targets = want * min(h / w for h, w in zip(have, want) if w > 0)
     metric = np.linalg.pinv(gram + 1e-9 * have.sum() / n * np.eye(n))
     at_rates, at_point, steps = have, have, []
     while len(steps) < rounds and np.abs(at_rates - targets).max() > tolerance * targets.sum():

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from daybook.llm import jaccard, language, lines, mixing, packing, secrets, sharding, sketches
 from daybook.llm import words as W
 from daybook.llm.components import components
@@ -320,6 +321,27 @@ def test_rates_bring_expected_tokens_to_the_targets(spark, table, words, odd):
     assert mixing.fit([]).posteriors(pa.array(["x", ""])).tolist() == [[1.0], [1.0]]
 
 
+def almost_clean(spark, words, folder, sizes):
+    """Documents of three domains, told by their words, with labels of all of them."""
+    rng = random.Random(14)
+    docs, labels = [], []
+    for k, (kind, n) in enumerate(sizes.items()):
+        for _ in range(n):
+            labels.append((len(docs), int(kind != "low"), int(kind == "toxic")))
+            docs.append((len(docs), " ".join(rng.choices(words[200 * k : 200 * k + 200], k=rng.randint(20, 60)))))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return spark.createDataFrame(docs, "doc_id long, text string"), [kind for kind, n in sizes.items() for _ in range(n)]
+
+
+@pytest.mark.parametrize("sizes", [{"clean": 980, "low": 14, "toxic": 6}, {"clean": 900, "low": 10, "toxic": 90}])
+def test_mixing_keeps_a_clean_corpus(spark, words, tmp_path, sizes):
+    docs, kinds = almost_clean(spark, words, tmp_path, sizes)
+    kept = [kinds[r.doc_id] for r in corpus_pipeline.mix_to_targets(spark, docs, str(tmp_path)).collect()]
+    assert kept.count("clean") >= 0.98 * sizes["clean"]
+    assert kept.count("low") >= 0.9 * sizes["low"]
+    assert kept.count("toxic") <= max(sizes["toxic"], 0.03 * len(kept)) and kept.count("toxic") < 50
+
+
 # ---- secrets -------------------------------------------------------------------------------
 
 
