@@ -31,8 +31,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated lines out of all documents but the earliest; n_chars follows."""
-    kept = lines.without_lines(docs, lines.repeated_lines(docs))
+    """Takes repeated lines, however short, out of all documents but the earliest; n_chars follows."""
+    kept = lines.without_lines(docs, lines.repeated_lines(docs, least_equal=1))
     if "n_chars" in kept.columns:
         kind = kept.schema["n_chars"].dataType
         kept = kept.withColumn("n_chars", F.length("text").cast(kind))

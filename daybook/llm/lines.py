@@ -2,7 +2,8 @@
 
 A line goes when an earlier one (by document id, then line number) is at most one edit away: one code
 point put in, left out or replaced. Of equal lines all but the earliest go. Lines of fewer than `LEAST`
-characters after trimming stay: such short ones repeat by chance.
+characters after trimming have no such neighbours, as short ones are one edit apart by chance; whether equal ones
+go is told by `least_equal`, the length from which lines are compared for equality (1: all that aren't blank).
 
 Two lines within the bound have a variant in common: themselves, or themselves without one character.
 A variant's key is a hash of its characters that adds up, the line's sum less the share of the left-out
@@ -100,15 +101,21 @@ def _passes(keys: DataFrame, key: str) -> Column:
 
 
 def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                   least: int = LEAST) -> DataFrame:
-    """Every line that goes: id, row, line_no, n_chars, and the earliest line it repeats, with the edits."""
+                   least: int = LEAST, least_equal: int | None = None) -> DataFrame:
+    """Every line that goes: id, row, line_no, n_chars, and the earliest line it repeats, with the edits.
+
+    Without `least_equal`, shorter lines than `least` stay, also equal ones.
+    """
     one, two = _key(F.col("line"))
     place = ["id", "row", "line_no"]
-    lines = lines_of(frame, id_column, text_column).where(_comparable(least))
+    equal = least if least_equal is None else min(least, least_equal)
+    lines = lines_of(frame, id_column, text_column).where(_comparable(equal))
+    # without halves a line has no variants
+    halves = _halves() if equal == least else F.when(_comparable(least), _halves())
     keyed = lines.select(*place, one.alias("k1"), two.alias("k2"), "line")
     # every line by its hashes alone; texts are read again only of those that may have partners
     table = written(
-        keyed.select(*place, "k1", "k2", F.length("line").alias("n_chars"), _halves().alias("halves")), "lines"
+        keyed.select(*place, "k1", "k2", F.length("line").alias("n_chars"), halves.alias("halves")), "lines"
     )
     distinct = table.groupBy("k1", "k2").agg(F.min(F.struct(*place)).alias("place"), F.count(F.lit(1)).alias("times"))
     # halves that two different lines have; only their lines get variants

@@ -289,6 +289,18 @@ def test_lines_within_one_edit_go(spark, table, words):
     assert lines.without_lines(frame, gone).columns == frame.columns
 
 
+def test_equal_short_lines_go_from_the_pipeline(spark, table):
+    long = "a line of more than twenty characters"
+    docs = {1: f"Read more\n{long}\n\nHome", 2: f"Read more\n {long}\n\nHomes\n \t", 3: "Home\nRead more\nx", 4: "x\nRead mare", 5: "Read more"}
+    frame = table(docs.items())
+    kept = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, frame, "").collect()}
+    assert kept == {1: docs[1], 2: "\nHomes\n \t", 3: "x", 4: "Read mare"}
+    gone = lines.repeated_lines(frame, least_equal=1).collect()
+    found = {(r.doc_id, r.line_no, r.first_doc_id, r.first_line_no, r.edits) for r in gone}
+    assert found == {(2, 0, 1, 0, 0), (2, 1, 1, 1, 1), (3, 0, 1, 3, 0), (3, 1, 1, 0, 0), (4, 0, 3, 2, 0), (5, 0, 1, 0, 0)}
+    assert {(r.doc_id, r.line_no) for r in lines.repeated_lines(frame).collect()} == {(2, 1)}
+
+
 # ---- mixing --------------------------------------------------------------------------------
 
 
