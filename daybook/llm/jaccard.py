@@ -38,7 +38,7 @@ from daybook.llm import words as W
 from daybook.llm.batches import slices
 from daybook.llm.components import Union, components
 from daybook.llm.membership import may_be_in
-from daybook.llm.scratch import partitions, written
+from daybook.llm.scratch import partitions, shared, written
 
 COUNTER_BITS = 20
 COUNTER_PARTS = 16
@@ -133,7 +133,7 @@ def _classes(read: DataFrame) -> np.ndarray:
 
 def _postings(source: DataFrame, classes: np.ndarray, size: int, percent: int, fold_case: bool) -> DataFrame:
     """(hash, n, digest) of the shingles by which a set must meet its partners."""
-    held = source.sparkSession.sparkContext.broadcast(classes)
+    held = shared(source.sparkSession, classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # equal sets post once for each task

@@ -6,13 +6,15 @@ training texts. Feature weights and the weights of transitions between the label
 are learned together; forward-backward gives every word's posterior, also in texts that switch language.
 A text's language has the largest posterior mass, words weighed by their letters; its score is that share.
 
-The model is fitted on a bounded sample of labelled rows (`ROWS_PER_LANGUAGE` by language, of at most
-`MAX_TRAINING_CHARS` characters each); prediction covers whole texts, in numpy arrays of all words of
-many texts at once. Memory in a task follows the longest text.
-
-Defined results: a null text or one without letters is `und` with score 0; equal posteriors go to the
-smaller language; rows that repeat are predicted each; without labelled rows every text is `und`; an empty
-table gives no rows; further columns are not read.
+The model is fitted on a bounded sample of labelled rows (`ROWS_PER_LANGUAGE` by language, the first
+`MAX_TRAINING_CHARS` characters of each); prediction covers whole texts, in numpy arrays of all words of
+many texts at once. Slices of `SLICE_BYTES` and chunks of `CHUNK_LETTERS` letters bound a task's memory; a
+text longer than a slice is one of its own.
+
+Defined results: a null text or one without letters is `und` with score 0 (a combining mark is no letter, and
+part of a word only after one); equal posteriors go to the smaller language; rows that repeat are predicted
+each; labels on texts without letters teach nothing; without other labelled rows every text is `und`; more
+languages than the bound given raise ValueError; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.batches import slices
 from daybook.llm.sampling import among_lowest, order
-from daybook.llm.words import mix
+from daybook.llm.scratch import shared
+from daybook.llm.words import mix, ranges
 
 ROWS_PER_LANGUAGE = 300
 LANGUAGES = 64
@@ -38,16 +41,18 @@ TABLE_BITS = 17
 AFFIXES = 4
 LEXICON_WORDS = 2000
 UNKNOWN = "und"
+SLICE_BYTES = 1 << 19
+CHUNK_LETTERS = 1 << 17
 
 _TABLES: dict[str, np.ndarray] = {}
 
 
-def _letters() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point: its lower-case letter, and whether it is a letter or a mark on one."""
+def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each code point: its lower-case letter, whether it is a letter, and whether a combining mark."""
     if not _TABLES:
         lower = np.arange(0x110000, dtype=np.uint32)
-        letter = np.zeros(0x110000, bool)
-        for c in (*range(0xD800), *range(0xE000, 0x32000)):
+        letter, mark = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+        for c in (*range(0xD800), *range(0xE000, 0x110000)):
             x = chr(c)
             if x.isalpha():
                 letter[c] = True
@@ -55,9 +60,9 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
                 if len(small) == 1:
                     lower[c] = ord(small)
             elif unicodedata.combining(x):
-                letter[c] = True
-        _TABLES["lower"], _TABLES["letter"] = lower, letter
-    return _TABLES["lower"], _TABLES["letter"]
+                mark[c] = True
+        _TABLES["lower"], _TABLES["letter"], _TABLES["mark"] = lower, letter, mark
+    return _TABLES["lower"], _TABLES["letter"], _TABLES["mark"]
 
 
 @dataclass
@@ -72,20 +77,25 @@ class Words:
 
 
 def words_of(texts: list[str | None]) -> Words:
-    lower, letter = _letters()
+    lower, letter, mark = _letters()
     sizes = np.array([len(x) if x else 0 for x in texts], np.int64)
     ends = np.cumsum(sizes + 1)
     joined = "\n".join(x or "" for x in texts) + "\n"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = letter[points]
+    inside = letter[points] | mark[points]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     begin, end = edge[0::2], edge[1::2]
+    marked = np.flatnonzero(mark[points[begin]])
+    if len(marked):  # a word begins with its first letter
+        known = np.append(np.flatnonzero(letter[points]), len(points))
+        begin[marked] = known[np.searchsorted(known, begin[marked])]
+        begin, end = begin[begin < end], end[begin < end]
     lengths = end - begin
     starts = np.cumsum(lengths) - lengths
     firsts = np.concatenate(([0], np.searchsorted(begin, ends)))
     owner = np.repeat(np.arange(len(texts)), np.diff(firsts))
     places = begin - (ends - sizes - 1)[owner] if len(texts) else begin
-    return Words(lower[points[inside]], starts, lengths, firsts, places)
+    return Words(lower[points[ranges(begin, lengths)]], starts, lengths, firsts, places)
 
 
 def _salted(x: np.ndarray, salt: int) -> np.ndarray:
@@ -208,11 +218,20 @@ class Model:
     transition: np.ndarray
 
     def emissions(self, words: Words) -> np.ndarray:
-        by_letter, by_word = features(words, self.lexicon)
-        sums = sum(self.weights[rows] for rows in by_letter)
-        out = np.add.reduceat(sums, words.starts, axis=0) if len(words.starts) else np.zeros((0, len(self.languages)), np.float32)
-        for rows in by_word:
-            out += self.weights[rows]
+        """Sums of the weights of each word's features, in chunks of words."""
+        out = np.zeros((len(words.starts), len(self.languages)), np.float32)
+        i = 0
+        while i < len(out):
+            low = words.starts[i]
+            j = max(i + 1, int(np.searchsorted(words.starts, low + CHUNK_LETTERS)))
+            high = words.starts[j - 1] + words.lengths[j - 1]
+            part = Words(words.letters[low:high], words.starts[i:j] - low, words.lengths[i:j], words.firsts[:0], words.places[:0])
+            by_letter, by_word = features(part, self.lexicon)
+            sums = sum(self.weights[rows] for rows in by_letter)
+            np.add.reduceat(sums, part.starts, axis=0, out=out[i:j])
+            for rows in by_word:
+                out[i:j] += self.weights[rows]
+            i = j
         return out
 
     def label(self, words: Words) -> np.ndarray:
@@ -321,41 +340,40 @@ def fit(rows: list[tuple[str, str]], steps: int = 240, sequences: int = 192, see
 
 
 def sample(frame: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text",
-           label_column: str = "lang", rows: int = ROWS_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """At most `rows` labelled texts of each language, those with the smallest id hashes.
+           label_column: str = "lang", rows: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES) -> list[tuple[str, str]]:
+    """At most `rows` labelled texts of each language, those with the smallest hashes of id and text.
 
-    The LANGUAGES languages with the most labelled rows are taken, so the whole is bounded.
+    Longer texts are cut to MAX_TRAINING_CHARS. The driver gets `rows` of each of at most `languages` languages.
     """
-    label = F.col(label_column).cast("string")
-    labelled = frame.where(learn & label.isNotNull() & F.col(id_column).isNotNull()).select(
-        F.col(id_column).alias("id"), label.alias("lang"), F.col(text_column).alias("text")
-    )
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    label, text = F.col(label_column).cast("string"), F.substring(text_column, 1, MAX_TRAINING_CHARS)
+    labelled = frame.where(learn & label.isNotNull()).select(
+        label.alias("lang"), F.struct(F.col(id_column).alias("id"), text.alias("text")).alias("id"), text.alias("text")
+    ).where(F.col("text").rlike(r"\p{L}"))
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("id").alias("count")).limit(languages + 1).collect()
+    if len(counts) > languages:
+        raise ValueError(f"more than {languages} labelled languages: raise the bound `languages`")
     if not counts:
         return []
     low = reduce(
         lambda a, b: a | b,
         [(F.col("lang") == r["lang"]) & among_lowest("id", rows, r["count"]) for r in counts],
     )
-    found = labelled.where(low & F.length("text").between(1, MAX_TRAINING_CHARS)).select(
-        "lang", order("id").alias("order"), "text"
-    )
-    kept: dict[str, list[str]] = {}
-    for r in sorted(found.collect(), key=lambda r: (r.lang, r.order, r.text)):
-        kept.setdefault(r.lang, []).append(r.text)
-    return [(text, lang) for lang, texts in kept.items() for text in texts[:rows]]
+    lowest = Window.partitionBy("lang").orderBy("order", "text")
+    found = labelled.where(low).select("lang", order("id").alias("order"), "text").distinct()
+    kept = found.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= rows).collect()
+    return [(r.text, r.lang) for r in sorted(kept, key=lambda r: (r.lang, r.place))]
 
 
 def identify(frame: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text",
              also: tuple[str, ...] = ()) -> DataFrame:
     """The given columns of each row with lang_pred and score; one pass, no shuffle."""
-    held = frame.sparkSession.sparkContext.broadcast(model)
+    held = shared(frame.sparkSession, model)
     kept = list(dict.fromkeys((id_column, *also)))
     source = frame.select(*kept, F.col(text_column).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "__text"):
+            for rows in slices(batch, "__text", SLICE_BYTES):
                 names, scores = held.value.predict(rows.column("__text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -368,11 +386,11 @@ def identify(frame: DataFrame, model: Model, id_column: str = "doc_id", text_col
 
 def accepted(frame: DataFrame, model: Model, least: float, text_column: str = "text") -> DataFrame:
     """The rows whose text has a language with a score of at least `least`, all columns as they are."""
-    held = frame.sparkSession.sparkContext.broadcast(model)
+    held = shared(frame.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, text_column):
+            for rows in slices(batch, text_column, SLICE_BYTES):
                 names, scores = held.value.predict(rows.column(text_column).to_pylist())
                 kept = [name != UNKNOWN and score >= least for name, score in zip(names, scores)]
                 yield rows.filter(pa.array(kept, pa.bool_()))
@@ -382,18 +400,19 @@ def accepted(frame: DataFrame, model: Model, least: float, text_column: str = "t
 
 def label_runs(frame: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id and the runs of words in one language: start and end in code points, and the language."""
-    held = frame.sparkSession.sparkContext.broadcast(model)
+    held = shared(frame.sparkSession, model)
     source = frame.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                [{"start": a, "end": b, "lang": x} for a, b, x in held.value.runs(t)]
-                for t in batch.column("text").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, spans)], ["id", "runs"])
+            for rows in slices(batch, "text", SLICE_BYTES):
+                found = [
+                    [{"start": a, "end": b, "lang": x} for a, b, x in held.value.runs(t)]
+                    for t in rows.column("text").to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(found, spans)], ["id", "runs"])
 
     made = source.mapInArrow(run, f"id {kind}, runs array<struct<start: long, end: long, lang: string>>")
     return made.withColumnRenamed("id", id_column)

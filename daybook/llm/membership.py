@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.scratch import shared
+
 BITS = 25
 
 
@@ -31,7 +33,7 @@ def may_be_in(keys: DataFrame, name: str):
     )
     table = np.zeros(1 << (BITS - 6), np.int64)
     table[words.column("word").to_numpy()] = words.column("set").to_numpy()
-    held = spark.sparkContext.broadcast(table)
+    held = shared(spark, table)
 
     @F.pandas_udf("boolean")
     def both_set(one: pd.Series, two: pd.Series) -> pd.Series:

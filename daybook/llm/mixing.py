@@ -8,12 +8,16 @@ length of one is safe, and a few rounds suffice. In each round every task adds u
 expected tokens, and the driver sees one number for each domain.
 
 The classifier is a softmax regression on words of a bounded lexicon (binary) and on shares of characters;
-it is fitted on at most `LABELLED_ROWS` labelled rows, those with the smallest id hashes, of at most
-`MAX_TRAINING_CHARS` characters each. Everything else covers all rows and whole texts.
+it is fitted on at most `LABELLED_ROWS` labelled rows that have a text, those with the smallest id hashes, the
+first `MAX_TRAINING_CHARS` characters of each. Everything else covers all rows and whole texts.
+
+The rounds end when the totals meet the targets, or when they no longer move: posteriors that hardly tell
+domains apart may leave no rates that meet them. `Fit` tells the residual; rounds that do neither raise.
 
 Defined results: a null text is empty and has no tokens, its rate follows from its posterior; rows that repeat
-are rated each; without labelled rows every posterior is even; targets of domains that the corpus does
-not have are left out; an empty table gives no rows; further columns are passed through where rows are.
+are rated each; of rows with one id the least text is learned from; without labelled rows there is the one
+domain `EVEN`, and every rate is one; targets of domains that the corpus does not have are left out, and if none is
+left, ValueError; an empty table gives no rows; further columns are passed through where rows are.
 """
 
 from __future__ import annotations
@@ -30,14 +34,20 @@ from daybook.llm import words as W
 from daybook.llm.batches import slices
 from daybook.llm.language import word_keys, words_of
 from daybook.llm.sampling import among_lowest, order
+from daybook.llm.scratch import fresh, shared
 
 LABELLED_ROWS = 5000
 MAX_TRAINING_CHARS = 20_000
 LEXICON_WORDS = 400
 TRAINING_SLICE = 256
 SHARES = 8
-ROUNDS = 40
+ROUNDS = 200
 TOLERANCE = 1e-4
+#: Rounds in which totals must not have moved by a tenth of the tolerance to have come to rest.
+REST = 5
+SLICE_BYTES = 1 << 19
+#: The only domain where nothing is labelled.
+EVEN = "all"
 
 _CLASS = np.zeros(256, np.int64)
 _CLASS[65:91] = 1
@@ -105,7 +115,7 @@ def fit(rows: list[tuple[str, str]], steps: int = 250, penalty: float = 1e-3) ->
     """Fits the classifier on (text, domain) rows."""
     domains = sorted({d for _, d in rows})
     if not rows:
-        return Model(["all"], np.zeros(0, np.uint64), np.zeros((SHARES + 1, 1)))
+        return Model([EVEN], np.zeros(0, np.uint64), np.zeros((SHARES + 1, 1)))
     texts = pa.array([t for t, _ in rows], pa.string())
     truth = np.array([domains.index(d) for _, d in rows])
     parts = [texts.slice(i, TRAINING_SLICE) for i in range(0, len(texts), TRAINING_SLICE)]
@@ -152,37 +162,42 @@ def fit(rows: list[tuple[str, str]], steps: int = 250, penalty: float = 1e-3) ->
 def sample(frame: DataFrame, labels: DataFrame, domain: Column, id_column: str = "doc_id",
            text_column: str = "text", rows: int = LABELLED_ROWS) -> list[tuple[str, str]]:
     """(text, domain) of at most `rows` labelled rows; of an id labelled twice, the greater domain counts."""
-    known = (
-        labels.where(among_lowest(id_column, rows, labels.count()))
-        .select(F.col(id_column).alias("id"), domain.alias("domain"))
-        .where("domain IS NOT NULL").groupBy("id").agg(F.max("domain").alias("domain"))
-        .orderBy(order("id"), "id").limit(rows)
-    )
-    texts = frame.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(
-        F.length("text").between(1, MAX_TRAINING_CHARS)
+    texts = frame.select(
+        F.col(id_column).alias("id"), F.substring(text_column, 1, MAX_TRAINING_CHARS).alias("text")
+    ).where("text <> ''")
+    labelled = (
+        labels.select(F.col(id_column).alias("id"), domain.alias("domain"))
+        .where("id IS NOT NULL AND domain IS NOT NULL").groupBy("id").agg(F.max("domain").alias("domain"))
+        .join(texts.select("id"), "id", "left_semi")
     )
-    found = texts.join(F.broadcast(known), "id").select("id", "text", "domain").limit(2 * rows).collect()
-    return [(r.text, r.domain) for r in sorted(found, key=lambda r: (r.id, r.text))]
+    known = labelled.where(among_lowest("id", rows, labelled.count())).orderBy(order("id"), "id").limit(rows)
+    found = texts.join(F.broadcast(known), "id").groupBy("id", "domain").agg(F.min("text").alias("text"))
+    return [(r.text, r.domain) for r in sorted(found.collect(), key=lambda r: r.id)]
 
 
-def memberships(frame: DataFrame, model: Model, id_column: str = "doc_id",
-                text_column: str = "text") -> DataFrame:
-    """id, tokens and posteriors (in the order of the model's domains) of each row; no shuffle."""
-    held = frame.sparkSession.sparkContext.broadcast(model)
-    source = frame.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
+def memberships(frame: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text",
+                rows: bool = False) -> DataFrame:
+    """id, tokens and posteriors (in the order of the model's domains) of each row; no shuffle.
+
+    With `rows`, in place of the id the struct `row` of all the row's columns, for `drawn`.
+    """
+    held = shared(frame.sparkSession, model)
+    head = F.struct(*frame.columns).alias("row") if rows else F.col(id_column)
+    source = frame.select(head, F.col(text_column).alias(fresh(frame, "__text")))
+    name, text = source.columns
+    kind = source.schema[name].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
-                texts = rows.column("text").fill_null("")
+            for part in slices(batch, text, SLICE_BYTES):
+                texts = part.column(text).fill_null("")
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), pa.array(_tokens(texts)),
+                    [part.column(name), pa.array(_tokens(texts)),
                      pa.array(list(held.value.posteriors(texts)), pa.list_(pa.float64()))],
-                    ["id", "tokens", "posterior"],
+                    [name, "tokens", "posterior"],
                 )
 
-    return source.mapInArrow(run, f"id {kind}, tokens long, posterior array<double>").withColumnRenamed("id", id_column)
+    return source.mapInArrow(run, f"`{name}` {kind}, tokens long, posterior array<double>")
 
 
 def _tokens(texts: pa.Array) -> np.ndarray:
@@ -229,8 +244,23 @@ def _summed(table: DataFrame, n: int, add) -> np.ndarray:
     return dict(parts.groupBy("place").agg(F.sum("value")).collect())
 
 
+@dataclass
+class Fit:
+    """The projected-gradient steps, the targets, the totals they lead to, and the largest difference of
+    the two as a share of all target tokens."""
+
+    steps: list[np.ndarray]
+    targets: np.ndarray
+    reached: np.ndarray
+
+    @property
+    def residual(self) -> float:
+        total = self.targets.sum()
+        return float(np.abs(self.reached - self.targets).max() / total) if total else 0.0
+
+
 def fit_steps(table: DataFrame, domains: list[str], weights: dict[str, float], rounds: int = ROUNDS,
-              tolerance: float = TOLERANCE, whole: str | None = None) -> list[np.ndarray]:
+              tolerance: float = TOLERANCE, whole: str | None = None) -> Fit:
     """The projected-gradient steps that bring the memberships in `table` to the target weights.
 
     The targets' total is the largest for which no wanted domain must have more tokens than there are. With
@@ -241,8 +271,8 @@ def fit_steps(table: DataFrame, domains: list[str], weights: dict[str, float], r
     found = _summed(table, n, lambda t, p: (p * t[:, None]).T @ p)
     gram = np.array([found.get(i, 0.0) for i in range(n * n)]).reshape(n, n)
     have = gram.sum(1)
-    if not have.sum():
-        return []
+    if not have.sum() or domains == [EVEN]:
+        return Fit([], have, have)
     want = np.array([max(0.0, weights.get(d, 0.0)) for d in domains])
     want[have <= 0] = 0.0
     if not want.sum():
@@ -254,13 +284,18 @@ def fit_steps(table: DataFrame, domains: list[str], weights: dict[str, float], r
     else:
         targets = want * min(h / w for h, w in zip(have, want) if w > 0)
     metric = np.linalg.pinv(gram + 1e-9 * have.sum() / n * np.eye(n))
-    at_rates, at_point, steps = have, have, []
-    while len(steps) < rounds and np.abs(at_rates - targets).max() > tolerance * targets.sum():
-        steps.append(metric @ (at_point - targets))
-        so_far = list(steps)
+    at_rates, at_point, fit, still = have, have, Fit([], targets, have), 0
+    while fit.residual > tolerance and still < REST:
+        if len(fit.steps) == rounds:
+            raise RuntimeError(f"rates still move after {rounds} rounds, residual {fit.residual:.2g}")
+        fit.steps.append(metric @ (at_point - targets))
+        so_far = list(fit.steps)
         found = _summed(table, n, lambda t, p: np.array([p.T @ (t * x) for x in _walk(p, so_far)]))
         at_rates, at_point = np.array([found.get(i, 0.0) for i in range(2 * n)]).reshape(2, n)
-    return steps
+        moved = np.abs(at_rates - fit.reached).max() / targets.sum()
+        still = still + 1 if moved < tolerance / 10 else 0
+        fit = Fit(fit.steps, targets, at_rates)
+    return fit
 
 
 def rated(table: DataFrame, steps: list[np.ndarray], domains: list[str]) -> DataFrame:
@@ -276,21 +311,23 @@ def rated(table: DataFrame, steps: list[np.ndarray], domains: list[str]) -> Data
     return table.mapInArrow(run, f"{kinds}, rate double")
 
 
-def drawn(frame: DataFrame, model: Model, steps: list[np.ndarray], sure: float, id_column: str = "doc_id",
+def drawn(table: DataFrame, steps: list[np.ndarray], domains: list[str], sure: float, id_column: str = "doc_id",
           text_column: str = "text") -> DataFrame:
-    """The rows that a draw by rates keeps, all columns as they are; no shuffle.
+    """The rows in a table of memberships that a draw by rates keeps, all their columns as they were; no shuffle.
 
     A rate of at least `sure` keeps the row; a smaller one keeps it if the row's hash, as a number from
     0 to 1, is below it, so equal rows share their fate and a second run draws the same.
     """
-    held = frame.sparkSession.sparkContext.broadcast(model)
-    chance = F.shiftrightunsigned(F.xxhash64(F.col(id_column), F.col(text_column)), 11) / float(1 << 53)
+    n, row = len(domains), F.col("row")
+    chance = F.shiftrightunsigned(F.xxhash64(row[id_column], row[text_column]), 11) / float(1 << 53)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, text_column):
-                rate = rates_of(held.value.posteriors(rows.column(text_column).fill_null("")), steps)
-                kept = (rate >= sure) | (rows.column("__chance").to_numpy() < rate)
-                yield rows.drop_columns("__chance").filter(pa.array(kept))
+            rate = rates_of(_columns(batch, n)[1], steps)
+            kept = pa.array((rate >= sure) | (batch.column("chance").to_numpy() < rate), pa.bool_())
+            rows = batch.column("row").filter(kept)
+            yield pa.RecordBatch.from_arrays(rows.flatten(), names)
 
-    return frame.withColumn("__chance", chance).mapInArrow(run, frame.schema)
+    schema = table.schema["row"].dataType
+    names = schema.names
+    return table.select("row", "tokens", "posterior", chance.alias("chance")).mapInArrow(run, schema)

@@ -44,11 +44,12 @@ def op2_soft_mixing(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     model = mixing.fit(mixing.sample(documents, _table(spark, sf, "labels"), label_domain()))
     table = written(mixing.memberships(documents, model), "memberships")
-    steps = mixing.fit_steps(table, model.domains, MIXTURE)
+    fit = mixing.fit_steps(table, model.domains, MIXTURE)
     shares = [
         F.element_at("posterior", i + 1).alias(f"p_{domain}") for i, domain in enumerate(model.domains)
     ]
-    return mixing.rated(table, steps, model.domains).select("doc_id", "tokens", *shares, "rate")
+    rated = mixing.rated(table, fit.steps, model.domains)
+    return rated.select("doc_id", "tokens", *shares, "rate", F.lit(fit.residual).alias("residual"))
 
 
 def op3_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,21 +121,24 @@ QUERIES = {
 # Two lines are one edit apart if they agree without the character at one place, or if the longer one
 # without a character is the shorter.
 OP9_SQL = r"""
-WITH lines AS (
+WITH every AS (
   SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)
+), lines AS (
+  SELECT *, length(trim(line, concat(' ', chr(9), chr(11), chr(12), chr(13)))) AS trimmed FROM every
 ), fit AS (
-  SELECT * FROM lines WHERE length(trim(line, concat(' ', chr(9), chr(11), chr(12), chr(13)))) >= 20
+  SELECT * FROM lines WHERE trimmed >= 1
 ), one AS (
-  SELECT line, min((doc_id, line_no)) AS place FROM fit GROUP BY line
+  SELECT line, min((doc_id, line_no)) AS place, min(trimmed) AS trimmed FROM fit GROUP BY line
 ), shorter AS (
   SELECT line, place, i, hash(substr(line, 1, i - 1) || substr(line, i + 1)) AS rest, length(line) AS n
-  FROM (SELECT line, place, unnest(range(1, length(line) + 1)) AS i FROM one)
+  FROM (SELECT line, place, unnest(range(1, length(line) + 1)) AS i FROM one WHERE trimmed >= 20)
 ), pairs AS (
   SELECT a.place AS p, b.place AS q FROM shorter a JOIN shorter b
     ON a.n = b.n AND a.i = b.i AND a.rest = b.rest AND a.line <> b.line
   UNION
   SELECT a.place, b.place FROM shorter a JOIN one b ON a.rest = hash(b.line) AND a.n = length(b.line) + 1
+    WHERE b.trimmed >= 20
 ), sides AS (
   SELECT p, q FROM pairs UNION SELECT q, p FROM pairs
 ), near AS (

@@ -17,7 +17,7 @@ import corpus_pipeline
 from daybook.llm import jaccard, language, lines, mixing, packing, secrets, sharding, sketches
 from daybook.llm import words as W
 from daybook.llm.components import components
-from daybook.llm.queries import word_tokenizer
+from daybook.llm.queries import QUERIES, word_tokenizer
 
 
 def shingle_set(text, size, fold=False):
@@ -179,9 +179,34 @@ def test_languages_are_told_apart_word_by_word(spark, table, odd):
     assert all(0 <= r.score <= 1 for r in rows)
     kept = language.accepted(table([*odd, (50, text("aa", 30))]), model, 0.4)
     assert {1, 2, 3, 9}.isdisjoint(r.doc_id for r in kept.collect()) and kept.where("doc_id = 50").count() == 1
+    marks = ["\u0301\u0302 \u0301", "1\u03012", "\u0301" + text("aa", 9), chr(0x323AF) * 3]
+    assert [n == "und" for n in model.predict(marks)[0]] == [True, True, False, False]
+    words = language.words_of(["\u0301ab\u0301 \u0301\u0302x", "\u0301"])
+    assert (words.places.tolist(), words.lengths.tolist(), words.firsts.tolist()) == ([1, 7], [3, 1], [0, 2, 2])
     assert language.fit([]).predict(["abc", None]) == (["und", "und"], pytest.approx([0, 0]))
 
 
+def test_languages_are_learned_from_long_texts_and_bounded(spark, words):
+    long = " ".join(words * 20)
+    assert len(long) > language.MAX_TRAINING_CHARS
+    rows = [(i, long[i:], "ab"[i % 2]) for i in range(20)] + [(50 + i, "12 !", "c") for i in range(900)]
+    rows += [(7, long[7:], "b")] * 50 + [(99, None, "d"), (None, "abc", "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = language.sample(frame, F.lit(True), rows=6)
+    assert [lang for _, lang in taken] == ["a"] * 6 + ["b"] * 6 and len({t for t, _ in taken}) == 12
+    assert max(len(t) for t, _ in taken) <= language.MAX_TRAINING_CHARS
+    with pytest.raises(ValueError, match="languages"):
+        language.sample(frame, F.lit(True), languages=1)
+
+
+def test_chunks_do_not_change_a_word_s_weights(words, monkeypatch):
+    model = language.fit([(" ".join(words[:200]), "a"), (" ".join(words[300:500]), "b")], steps=10)
+    some = language.words_of([" ".join(words), "x" * 300, None, "one two"])
+    whole = model.emissions(some)
+    monkeypatch.setattr(language, "CHUNK_LETTERS", 50)
+    assert np.allclose(model.emissions(some), whole, atol=1e-4)
+
+
 # ---- Jaccard join --------------------------------------------------------------------------
 
 
@@ -266,13 +291,17 @@ def test_lines_within_one_edit_go(spark, table, words):
         docs[i] = "\n".join([*own, "short", "short"])
     docs |= {40: None, 41: ""}
     every = [(k, n, x) for k, t in sorted(docs.items()) if t is not None for n, x in enumerate(t.split("\n"))]
-    fit = [x for x in every if len(x[2].strip(" \t\r\f\v")) >= lines.LEAST]
+    size = {x: len(x.strip(" \t\r\f\v")) for _, _, x in every}
+    fit = [x for x in every if size[x[2]]]
     first = {}
     for k, n, x in fit:
         first.setdefault(x, (k, n))
     expected = set()
     for k, n, x in fit:
-        near = [p for y, p in first.items() if p < first[x] and y != x and abs(len(x) - len(y)) < 2 and edits(x, y) == 1]
+        near = [
+            p for y, p in first.items()
+            if p < first[x] and y != x and min(size[x], size[y]) >= lines.LEAST and abs(len(x) - len(y)) < 2 and edits(x, y) == 1
+        ]
         target = min(near) if near else first[x]
         if target != (k, n):
             expected.add((k, n, *target, int(bool(near))))
@@ -284,21 +313,42 @@ def test_lines_within_one_edit_go(spark, table, words):
     dropped = {(k, n) for k, n, *_ in expected}
     for k, t in docs.items():
         if t is not None:
-            t = "\n".join(x for n, x in enumerate(t.split("\n")) if (k, n) not in dropped)
-        assert left[k] == t
+            own = [x for n, x in enumerate(t.split("\n")) if (k, n) not in dropped]
+            assert own or k not in left
+            t = "\n".join(own)
+        assert left.get(k, "") == t if t is not None else left[k] is None
     assert lines.without_lines(frame, gone).columns == frame.columns
 
 
-def test_equal_short_lines_go_from_the_pipeline(spark, table):
+def test_equal_short_lines_go(spark, table):
     long = "a line of more than twenty characters"
     docs = {1: f"Read more\n{long}\n\nHome", 2: f"Read more\n {long}\n\nHomes\n \t", 3: "Home\nRead more\nx", 4: "x\nRead mare", 5: "Read more"}
     frame = table(docs.items())
     kept = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, frame, "").collect()}
     assert kept == {1: docs[1], 2: "\nHomes\n \t", 3: "x", 4: "Read mare"}
-    gone = lines.repeated_lines(frame, least_equal=1).collect()
+    gone = lines.repeated_lines(frame).collect()
     found = {(r.doc_id, r.line_no, r.first_doc_id, r.first_line_no, r.edits) for r in gone}
     assert found == {(2, 0, 1, 0, 0), (2, 1, 1, 1, 1), (3, 0, 1, 3, 0), (3, 1, 1, 0, 0), (4, 0, 3, 2, 0), (5, 0, 1, 0, 0)}
-    assert {(r.doc_id, r.line_no) for r in lines.repeated_lines(frame).collect()} == {(2, 1)}
+
+
+def test_lines_of_permuted_digits_and_long_lines(spark):
+    rng = random.Random(11)
+    text = "The counter at the gate stands at number "
+    docs = {k: "\n".join(text + "".join(rng.sample("1234567", 7)) for _ in range(200)) for k in range(4)}
+    long = "".join(rng.choices("abcdefgh ", k=30_000))
+    docs |= {10: long, 11: long[:7000] + "X" + long[7000:], 12: long[:-1], 13: "Z" + long[1:], 14: "ZY" + long[2:]}
+    frame = spark.createDataFrame([(k, t, 1, 2, 3) for k, t in docs.items()], "doc_id long, text string, __gone int, __row int, __id int")
+    every = [(k, n, x) for k, t in docs.items() if k < 10 for n, x in enumerate(t.split("\n"))]
+    first: dict = {}
+    for k, n, x in every:
+        first.setdefault(x, (k, n))
+    swaps = {x: min(first[y] for y in first if y == x or sum(a != b for a, b in zip(x, y)) == 1) for x in first}
+    expected = {(k, n, *swaps[x]) for k, n, x in every if swaps[x] != (k, n)}
+    gone = lines.repeated_lines(frame)
+    found = {(r.doc_id, r.line_no, r.first_doc_id, r.first_line_no) for r in gone.collect()}
+    assert found == expected | {(k, 0, 10, 0) for k in (11, 12, 13)} | {(14, 0, 13, 0)}
+    left = lines.without_lines(frame, gone)
+    assert left.columns == frame.columns and 10 in {r.doc_id for r in left.collect()}
 
 
 # ---- mixing --------------------------------------------------------------------------------
@@ -312,8 +362,9 @@ def test_rates_bring_expected_tokens_to_the_targets(spark, table, words, odd):
     frame = table([*enumerate(t for t, _ in rows), *((1000 + i, t) for i, (_, t) in enumerate(odd))])
     made = mixing.memberships(frame, model)
     weights = {"a": 0.5, "b": 0.3, "c": 0.2, "missing": 1.0}
-    steps = mixing.fit_steps(made, model.domains, weights)
-    found = mixing.rated(made, steps, model.domains).collect()
+    fit = mixing.fit_steps(made, model.domains, weights)
+    assert fit.residual <= mixing.TOLERANCE
+    found = mixing.rated(made, fit.steps, model.domains).collect()
     p, t, r = (np.array([x[c] for x in found], float) for c in ("posterior", "tokens", "rate"))
     share = (p * (t * r)[:, None]).sum(0)
     assert np.allclose(share / share.sum(), [0.5, 0.3, 0.2], atol=2e-3) and (r >= 0).all()
@@ -327,8 +378,15 @@ def test_rates_bring_expected_tokens_to_the_targets(spark, table, words, odd):
     for _ in range(300):
         rate = np.maximum(0, rate - p @ np.linalg.solve(gram, p.T @ (t * rate) - want))
     assert np.allclose(rate, r, atol=2e-2)
-    drawn = mixing.drawn(frame, model, steps, 0.8)
-    assert drawn.columns == frame.columns and drawn.count() <= frame.count()
+    whole = mixing.memberships(frame.withColumn("__chance", F.lit("x")).withColumn("__text", F.lit(1)), model, rows=True)
+    drawn = mixing.drawn(whole, fit.steps, model.domains, 0.8)
+    assert drawn.columns == [*frame.columns, "__chance", "__text"]
+    kept = {x.doc_id for x in drawn.collect()}
+    assert all(x.doc_id in kept for x in found if x.rate >= 0.8) and len(kept) < len(found)
+    some = [x for x in found if x.doc_id < 1000]  # the others have long texts
+    share = sum(np.array(x.posterior) * x.tokens for x in some if x.doc_id in kept)
+    expected = sum(np.array(x.posterior) * x.tokens * (1 if x.rate >= 0.8 else x.rate) for x in some)
+    assert np.allclose(share / share.sum(), expected / expected.sum(), atol=0.06)
     assert sorted(map(str, drawn.collect())) == sorted(map(str, drawn.collect()))
     assert mixing.fit([]).posteriors(pa.array(["x", ""])).tolist() == [[1.0], [1.0]]
 
@@ -354,6 +412,34 @@ def test_mixing_keeps_a_clean_corpus(spark, words, tmp_path, sizes):
     assert kept.count("toxic") <= max(sizes["toxic"], 0.03 * len(kept)) and kept.count("toxic") < 50
 
 
+def test_mixing_without_labels_or_domains(spark, words, tmp_path):
+    docs, _ = almost_clean(spark, words, tmp_path, {"clean": 30, "low": 3})
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    labels.where("false").write.parquet(f"{tmp_path}/none/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.mix_to_targets(spark, docs, f"{tmp_path}/none").count() == 33
+    found = QUERIES["op2_soft_mixing"](spark, f"{tmp_path}/none").collect()
+    assert len(found) == 33 and {(r.rate, r.residual) for r in found} == {(1.0, 0.0)}
+    model = mixing.fit(mixing.sample(docs, labels, F.lit("other")))
+    with pytest.raises(ValueError, match="no wanted domain"):
+        mixing.fit_steps(mixing.memberships(docs, model), model.domains, {"clean": 1.0})
+
+
+def test_mixing_learns_from_labelled_rows_with_texts(spark):
+    docs = spark.createDataFrame(
+        [(i, "w" * 30_000) for i in range(5)] + [(1, "a")] * 20 + [(2, None), (3, "")], "doc_id long, text string"
+    )
+    labels = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("domain"))
+    found = mixing.sample(docs, labels, F.col("domain"), rows=5)
+    assert sorted(map(len, (t for t, _ in found))) == [1] + [mixing.MAX_TRAINING_CHARS] * 4
+
+
+def test_rates_that_cannot_meet_the_targets_come_to_rest(spark):
+    made = spark.createDataFrame([(1, 100, [0.9, 0.1]), (2, 50, [0.9, 0.1])], "doc_id long, tokens long, posterior array<double>")
+    fit = mixing.fit_steps(made, ["a", "b"], {"a": 0.5, "b": 0.5})
+    assert fit.residual > 0.05 and len(fit.steps) < mixing.ROUNDS
+
+
 # ---- secrets -------------------------------------------------------------------------------
 
 
@@ -468,15 +554,15 @@ def test_odd_texts_and_empty_tables(spark, table, odd, empty):
     assert language.sample(frame, F.lit(True), label_column="line") == [] or not empty
     assert len({r.doc_id for r in packing.pack(frame, word_tokenizer()).collect()}) == (0 if empty else 11)
     made = mixing.memberships(frame, mixing.fit([]))
-    assert mixing.rated(made, mixing.fit_steps(made, ["all"], {"all": 1.0}), ["all"]).count() == expected
+    assert mixing.rated(made, mixing.fit_steps(made, ["all"], {"clean": 1.0}).steps, ["all"]).count() == expected
 
 
 def lines_repeated(rows):
-    """Of the odd texts, the long ones are equal: one line goes."""
+    """Of the odd texts, the long ones are equal: one line goes. Rows equal in all count as one."""
     seen, gone = set(), 0
-    for _, text in rows:
+    for _, text in dict.fromkeys(rows):
         for line in (text or "").split("\n"):
-            if len(line.strip()) >= lines.LEAST:
+            if line.strip():
                 gone += line in seen
                 seen.add(line)
     return gone
