@@ -4,8 +4,8 @@ Stages take (spark, docs, sf_dir) and return what they keep; all but the last re
 documents. Each one works on every row that its predecessor kept, and `run` writes and rereads every result,
 so a lost executor costs at most the stage at hand.
 
-Null and empty texts are rejected by the first stage, as they have no language; rows with a null id
-stay, but link with nothing; rows that repeat are lines and documents like any other; an empty table
+Null and empty texts are rejected by the first stage, as they have no language; without any label of a
+language it keeps all texts that have a letter; rows with a null id stay, but link with nothing; rows that repeat are lines and documents like any other; an empty table
 passes through; further columns are carried along.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import jaccard, language, lines, mixing, packing
 from daybook.llm.queries import MIXTURE, label_domain, word_tokenizer
-from daybook.llm.scratch import reach, written
+from daybook.llm.scratch import reach, released, written
 
 #: A text is rejected if no language has this share of its letters.
 LEAST_LANGUAGE_SHARE = 0.4
@@ -25,14 +25,20 @@ SURE_RATE = 0.8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that are in some language."""
+    """Keeps the documents that are in some language.
+
+    Without a labelled text no language is known, and documents that have a letter stay.
+    """
+    reach(spark)
     model = language.fit(language.sample(docs, F.lit(True)))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return language.accepted(docs, model, LEAST_LANGUAGE_SHARE)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated lines, however short, out of all documents but the earliest; n_chars follows."""
-    kept = lines.without_lines(docs, lines.repeated_lines(docs, least_equal=1))
+    """Takes repeated lines, equal ones however short, out of all documents but the earliest; n_chars follows."""
+    kept = lines.without_lines(docs, lines.repeated_lines(docs))
     if "n_chars" in kept.columns:
         kind = kept.schema["n_chars"].dataType
         kept = kept.withColumn("n_chars", F.length("text").cast(kind))
@@ -53,9 +59,9 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = mixing.fit(mixing.sample(docs, labels, label_domain()))
-    table = written(mixing.memberships(docs, model), "memberships")
-    steps = mixing.fit_steps(table, model.domains, MIXTURE, whole="clean")
-    return mixing.drawn(docs, model, steps, SURE_RATE)
+    table = written(mixing.memberships(docs, model, rows=True), "memberships")
+    fit = mixing.fit_steps(table, model.domains, MIXTURE, whole="clean")
+    return mixing.drawn(table, fit.steps, model.domains, SURE_RATE)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,5 +86,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     reach(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with released():
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
