@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
+    centroids,
     html_text,
+    infill,
     jaccard,
     language,
+    licenses,
     lines,
     mixing,
     neighbours,
@@ -105,6 +108,20 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(_table(spark, sf, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    made = infill.transform(_table(spark, sf, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(infill.restored(), 256)}
+    return made.withColumns(digests).drop("output")
+
+
+def op12_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.summary(licenses.scan(_table(spark, sf, "documents")))
+
+
+def op13_ns_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_permutation_neighbours": op1_permutation_neighbours,
     "op2_soft_mixing": op2_soft_mixing,
@@ -116,6 +133,9 @@ QUERIES = {
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_line_dedup": op9_line_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_license_scan": op12_license_scan,
+    "op13_ns_centroids": op13_ns_centroids,
 }
 
 # Two lines are one edit apart if they agree without the character at one place, or if the longer one
@@ -175,4 +195,80 @@ SELECT doc_id, len(s) AS n_shingles, component_id
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op6_ngram_jaccard_join": OP6_SQL, "op9_line_dedup": OP9_SQL}
+OP11_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+  FROM documents
+), drawn AS (
+  SELECT *, len(w) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(w) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(w) + 1) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), parts AS (
+  SELECT *, array_to_string(w[1 : least(a, b)], '') AS p,
+         array_to_string(w[least(a, b) + 1 : greatest(a, b)], '') AS m, array_to_string(w[greatest(a, b) + 1 :], '') AS s
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+def _op12_sql() -> str:
+    """The license scan by plain comparison of every block with every template."""
+    words = [licenses.words_of(text) for _, text in licenses.TEMPLATES]
+    templates = ", ".join(
+        f"('{label}', {licenses.block_step(len(w))}, {sorted(set(w))})"
+        for (label, _), w in zip(licenses.TEMPLATES, words)
+    )
+    phrases = ", ".join(f"({licenses.words_of(phrase)}, '{label}')" for phrase, label in licenses.PHRASES)
+    return rf"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), phrases AS (
+  SELECT * FROM (VALUES {phrases}) AS p(phrase, label)
+), templates AS (
+  SELECT * FROM (VALUES {templates}) AS t(label, step, words)
+), starts AS (
+  SELECT r, w, unnest(range(len(w))) AS i FROM split
+), base AS (
+  SELECT r, i, label FROM starts, phrases WHERE w[i + 1] = phrase[1] AND w[i + 1 : i + len(phrase)] = phrase
+), firsts AS (
+  SELECT r, w, step, unnest(range(greatest(1, CAST(ceil(len(w) / step) AS BIGINT) - 1))) * step AS i
+  FROM split, (SELECT DISTINCT step FROM templates)
+), blocks AS (
+  SELECT r, step, list_distinct(w[i + 1 : i + 2 * step]) AS b FROM firsts
+), shares AS (
+  SELECT r, label, len(list_intersect(b, words)) AS own, len(words) AS n FROM blocks JOIN templates USING (step)
+), held AS (
+  SELECT r, label, own / n AS share FROM shares WHERE 100 * own >= {licenses.PERCENT} * n
+), places AS (
+  SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY r
+), every AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM (SELECT r, label, share FROM held UNION ALL SELECT r, label, 1.0 FROM base) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM split LEFT JOIN places USING (r) LEFT JOIN every USING (r)
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op6_ngram_jaccard_join": OP6_SQL,
+    "op9_line_dedup": OP9_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op12_license_scan": _op12_sql(),
+}

@@ -72,9 +72,12 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(total[offsets])
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words; text i has the words of firsts[i] up to firsts[i + 1]."""
-    inside = ~_SPACE[data]
+def spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words; text i has the words of firsts[i] up to firsts[i + 1].
+
+    `outside` tells for each byte whether it is part of no word.
+    """
+    inside = ~outside[data]
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     before = np.empty_like(inside)
