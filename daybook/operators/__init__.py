@@ -7,10 +7,11 @@ from daybook.operators.snapshots import (
     mark_current,
     touched_days,
 )
-from daybook.operators.versions import as_of
+from daybook.operators.versions import as_of, as_of_each
 
 __all__ = [
     "as_of",
+    "as_of_each",
     "attach",
     "event_spine",
     "forward_fill",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.literals import date_literal
@@ -33,3 +33,31 @@ def as_of(
         .select(grain.key, "version.*")
         .select(*keep)
     )
+
+
+def as_of_each(
+    history: DataFrame,
+    requests: DataFrame,
+    cutoff: str = "cutoff",
+    columns: Sequence[str] | None = None,
+    grain: Grain = PURCHASE,
+) -> DataFrame:
+    """The version known at each (entity, cutoff) of a table of requests, in one pass.
+
+    Versions and requests are one timeline for each entity; a request sees the last version at or
+    before it. Any number of cutoffs costs one shuffle and one window, where a join on the entity would
+    pair every version with every request. A request that is made several times is answered once, so a
+    timeline has at most two rows a day; one before the entity's first version gets no row.
+    """
+    keep = [name for name in (columns or history.columns) if name != grain.key]
+    versions = history.select(
+        grain.key, F.col(grain.date).alias("at"), F.lit(False).alias("asks"), F.struct(*keep).alias("version")
+    )
+    asked = requests.select(grain.key, F.col(cutoff).alias("at")).dropna().distinct().withColumn("asks", F.lit(True))
+    known = F.last("version", ignorenulls=True).over(Window.partitionBy(grain.key).orderBy("at", "asks"))
+    return (
+        versions.unionByName(asked, allowMissingColumns=True)
+        .withColumn("version", known)
+        .where("asks AND version IS NOT NULL")
+        .select(grain.key, F.col("at").alias(cutoff), "version.*")
+    )

@@ -7,10 +7,11 @@ from daybook.plans.storage import (
     export_csv,
     publish,
     read_history,
+    save_colocated,
     write_history,
     write_items,
 )
-from daybook.plans.timetravel import audit, current, gmv_as_of, gmv_daily
+from daybook.plans.timetravel import audit, current, gmv_as_of, gmv_at, gmv_at_each, gmv_daily, gmv_deltas
 
 __all__ = [
     "DailyStore",
@@ -24,11 +25,15 @@ __all__ = [
     "fill_days",
     "gate",
     "gmv_as_of",
+    "gmv_at",
+    "gmv_at_each",
     "gmv_daily",
+    "gmv_deltas",
     "producer_products",
     "publish",
     "read_history",
     "run_checks",
+    "save_colocated",
     "top_producers",
     "top_products",
     "write_history",

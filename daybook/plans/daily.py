@@ -1,58 +1,42 @@
-"""Day-by-day loading. The store keeps daily snapshots; each load writes a folder of its own, and its
-line in the ledger is the one step that makes it count.
-
-    <root>/snapshots/load=<id>/transaction_date=D   rows of day D as load <id> computed them
-    <root>/states/<id>                              one row per entity: its newest row up to some day
-    <root>/rejected/<id>                            events that the load could not place, with reasons
-    <root>/loads                                    the ledger: one line per finished load, written last
-    <root>/staging/<id>                             what a load reads twice; removed after its line
-
-The ledger says which load owns which day, and readers list just those folders. A load that breaks off
-before its line is invisible and can be run again; no file is ever overwritten. `vacuum` removes
-what the ledger does not name any more.
-
-The books as of any day are the newest valid state before it plus the snapshots since, so a load reads
-its own events, one state and at most `state_every` days. Late events change the past from their
-day on: only days whose rows differ get new folders, equal rows keep their load time, and only states
-dated on or after the first changed day are void.
+"""Day-by-day loading into tables partitioned by day, with Spark's dynamic partition overwrite.
+
+    <root>/history    one row per entity and touched day, in folders by day
+    <root>/books      each entity's newest row as of some days, in folders by that day (`as_of`)
+    <root>/rejected   events that a load could not place, with reasons, in folders by the load's day
+    <root>/staging    what the load at hand has computed and checks
+
+A load reads the events of its own days, the newest books before them and the history since, and writes rows
+aside. Checked, they replace the folders of their days and no others, so a day can be loaded again, and what was
+loaded before stays as it is. Days that were skipped, or that the gate held back, come with the next load, in
+day order. One load runs at a time, as a scheduler sees to; one that breaks off is run again.
+
+Late events change the past from their day on: rows of the entities concerned are computed again, days are
+compared by digests (a sum of row hashes for each day), and only days that differ are written. Equal rows keep their
+load time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.literals import as_date, date_literal
 from daybook.functions.rules import gmv_eligible
-from daybook.operators.snapshots import mark_current, shared_log, touched_days
+from daybook.operators.snapshots import mark_current, touched_days
 from daybook.operators.versions import as_of
 from daybook.plans.history import fill_days
 from daybook.plans.quality import gate, run_checks
 from daybook.plans.storage import write_history
-from daybook.schemas import DATE, LONG, PURCHASE, SNAPSHOT, TEXT, Grain, table
-from daybook.sources.feeds import REJECTED, Feed, accepted, rejected_events
-
-_DAYS = T.ArrayType(DATE)
-_LOADS = table(
-    ("number", LONG),
-    ("load", TEXT),
-    ("day", DATE),
-    ("days", _DAYS),
-    ("emptied", _DAYS),
-    ("changed_from", DATE),
-    ("state_day", DATE),
-    ("state", TEXT),
-    ("events", LONG),
-    ("rejected", LONG),
-    ("late", LONG),
-)
+from daybook.schemas import DATE, PURCHASE, SNAPSHOT, Grain
+from daybook.sources.feeds import REJECTED, Feed, rejected_events
+
+_BOOKS = T.StructType([*SNAPSHOT, T.StructField("as_of", DATE)])
 
 
 def _day(day: dt.date) -> Column:
@@ -60,6 +44,23 @@ def _day(day: dt.date) -> Column:
     return F.lit(day.isoformat()).cast("date")
 
 
+def day_digests(rows: DataFrame, grain: Grain = PURCHASE) -> DataFrame:
+    """Rows and a sum of row hashes for each day, of rows with a `digest`. Order doesn't matter, and
+    sums of parts add up."""
+    one = F.xxhash64(*grain.day, "digest").cast("decimal(38, 0)")
+    return rows.groupBy(grain.date).agg(F.count(F.lit(1)).alias("rows"), F.sum(one).alias("digest"))
+
+
+def changed_days(old: DataFrame, new: DataFrame, grain: Grain = PURCHASE) -> list[dt.date]:
+    """The days on which the two differ; at most one per calendar day."""
+    states = [
+        day_digests(rows, grain).select(grain.date, F.struct("rows", "digest").alias(name))
+        for rows, name in ((old, "old"), (new, "new"))
+    ]
+    both = states[0].join(states[1], grain.date, "full").where(~F.col("old").eqNullSafe(F.col("new")))
+    return sorted(r[0] for r in both.select(grain.date).collect())
+
+
 class DailyStore:
     """Snapshots of entities under one root folder, loaded in day order."""
 
@@ -78,7 +79,7 @@ class DailyStore:
 
     def snapshots(self) -> DataFrame:
         """All rows, without is_current."""
-        return self._rows(self._loads())
+        return self._read("history", SNAPSHOT)
 
     def history(self) -> DataFrame:
         """All rows with is_current worked out. Costs a window over the whole history: for the
@@ -87,153 +88,105 @@ class DailyStore:
 
     def as_of(self, cutoff: dt.date | str, columns: Sequence[str] | None = None) -> DataFrame:
         """Every entity as known on `cutoff`."""
-        return self._books(self._loads(), as_date(cutoff), columns)
+        return as_of(self._source(as_date(cutoff)), cutoff, columns, self.grain)
 
     def current(self) -> DataFrame:
         """The newest row of every entity."""
-        loads = self._loads()
-        return self._books(loads, self._last(loads)["day"]).withColumn("is_current", F.lit(True))
+        return self.as_of(self._started()).withColumn("is_current", F.lit(True))
 
     def rejected(self) -> DataFrame:
         """The events that no load could place. One without a day may have been seen by several."""
-        paths = [f"{self.root}/rejected/{x['load']}" for x in self._loads() if x["rejected"]]
-        return self._read(REJECTED, paths).distinct()
+        return self._read("rejected", REJECTED).distinct()
 
-    def loads(self) -> DataFrame:
-        """The ledger: what each load brought, rejected, and found late."""
-        lines = [tuple(x[f.name] for f in _LOADS) for x in self._loads()]
-        return self.spark.createDataFrame(lines, _LOADS)
+    def last_day(self) -> dt.date | None:
+        """The last day that has rows: told by the folders and the files' row counts."""
+        return self.snapshots().agg(F.max(self.grain.date)).first()[0]
 
     # -- loading ---------------------------------------------------------------------------
 
     def start(
         self, feeds: Sequence[Feed], through: dt.date | str, run_ts: dt.datetime, check: bool = True
-    ) -> Row:
-        """First load: the full history up to and including `through`. Returns its ledger line."""
-        if self._loads():
+    ) -> list[dt.date]:
+        """First load: the full history up to and including `through`. Returns the days written."""
+        if self.last_day() is not None:
             raise ValueError(f"{self.root} has been started")
-        return self._load([], feeds, None, as_date(through), run_ts, check)
+        return self._load(feeds, None, as_date(through), run_ts, check)
 
     def append_day(
         self, feeds: Sequence[Feed], day: dt.date | str, run_ts: dt.datetime, check: bool = True
-    ) -> Row:
+    ) -> list[dt.date]:
         """Load all days after the last loaded one, up to and including `day`. Running the last
-        day again replaces it; a day before it is late, see `rebuild`.
-
-        Returns the ledger line. Its `late` is the number of events dated on or before the last
-        loaded day that the store has not seen: hand them to `late_purchases` and `rebuild`.
-        """
-        loads, day = self._loads(), as_date(day)
-        last = self._last(loads)["day"]
+        day again replaces it; a day before it is late, see `rebuild`. Returns the days written."""
+        last, day = self._started(), as_date(day)
         if day < last:
             raise ValueError(f"{day} is before the last loaded day {last}: use rebuild")
         after = day - dt.timedelta(days=1) if day == last else last
-        return self._load(loads, feeds, after, day, run_ts, check)
+        return self._load(feeds, after, day, run_ts, check)
 
     def late_purchases(self, batch: Sequence[Feed]) -> DataFrame:
         """The entities that have events in `batch` dated on or before the last loaded day, each
         with the first such day. Hand them to `rebuild`, or leave the past as it was reported."""
-        loaded = F.col(self.grain.date) <= _day(self._last(self._loads())["day"])
+        loaded = F.col(self.grain.date) <= _day(self._started())
         late = [feed.placed(self.grain).where(loaded).select(*self.grain.day) for feed in batch]
         days = F.min(self.grain.date).alias(self.grain.date)
         return reduce(DataFrame.union, late).groupBy(self.grain.key).agg(days)
 
     def rebuild(
         self, feeds: Sequence[Feed], purchases: DataFrame, run_ts: dt.datetime, check: bool = True
-    ) -> Row | None:
+    ) -> list[dt.date]:
         """Late or corrected events: recompute the entities in `purchases` from the full feeds,
         from the given day on (without that column: from their first), up to the last loaded day.
 
         Days whose rows are all as before stay untouched, and so does the load time of equal rows.
-        Returns the ledger line, or None if nothing has changed.
+        Returns the days that differ.
         """
-        key, date = self.grain.key, self.grain.date
-        loads, load = self._loads(), uuid.uuid4().hex
-        last = self._last(loads)
+        key, date, last = self.grain.key, self.grain.date, self._started()
         since = F.col(date) if date in purchases.columns else _day(dt.date.min)
         # Written first: read several times, and Spark can tell whether it is small enough to be
         # broadcast to the feeds and the snapshots.
         keys = self._stage(
-            load, purchases.select(key, since.alias("since")).groupBy(key).agg(F.min("since").alias("since"))
+            "keys", purchases.select(key, since.alias("since")).groupBy(key).agg(F.min("since").alias("since"))
         )
         first = keys.agg(F.min("since")).first()[0]
         if first is None:
-            return None
-        upto = (F.col(date) >= _day(first)) & (F.col(date) <= _day(last["day"]))
-        wanted = [feed.where(upto).since(keys, key, date) for feed in feeds]
-        touched = touched_days(wanted, self.grain)
+            return []
+        upto = (F.col(date) >= _day(first)) & (F.col(date) <= _day(last))
+        touched = touched_days([feed.where(upto).since(keys, key, date) for feed in feeds], self.grain)
         before = None
         if first > dt.date.min:
-            known = self._source(loads, first - dt.timedelta(days=1)).join(keys, key)
+            known = self._source(first - dt.timedelta(days=1)).join(keys, key)
             earlier = known.where(F.col(date) < F.col("since")).select(*SNAPSHOT.names)
-            before = as_of(earlier, last["day"], grain=self.grain)
-        fresh = self._snapshot(feeds, touched, before, run_ts)
-        own = self._rows(loads, first).join(keys, key).where(F.col(date) >= F.col("since"))
-        compared = [name for name in SNAPSHOT.names if name not in (*self.grain.day, "etl_loaded_at")]
-        old = own.select(
-            *self.grain.day, F.struct(*compared).alias("old"), F.col("etl_loaded_at").alias("old_stamp")
+            before = as_of(earlier, last, grain=self.grain)
+        digest = F.xxhash64(*[c for c in SNAPSHOT.names if c not in (*self.grain.day, "etl_loaded_at")])
+        own = self.snapshots().where(F.col(date) >= _day(first)).join(keys, key).where(F.col(date) >= F.col("since"))
+        old = own.select(*self.grain.day, digest.alias("digest"), F.col("etl_loaded_at").alias("old_stamp"))
+        fresh = self._snapshot(feeds, touched, before, run_ts).withColumn("digest", digest)
+        stamp = F.coalesce("old_stamp", "etl_loaded_at")
+        new = self._stage(
+            "new", fresh.join(old, [*self.grain.day, "digest"], "left").withColumn("etl_loaded_at", stamp).drop("old_stamp")
         )
-        equal = F.struct(*compared).eqNullSafe(F.col("old"))
-        stamp = F.when(equal, F.col("old_stamp")).otherwise(F.col("etl_loaded_at"))
-        # Old rows without a new one are marked by their lack of a stamp.
-        merged = self._stage(
-            load,
-            fresh.join(old, self.grain.day, "full").select(
-                *self.grain.day,
-                *compared,
-                stamp.alias("etl_loaded_at"),
-                F.coalesce(equal, F.lit(False)).alias("as_before"),
-            ),
-        )
-        # At most one row per calendar day.
-        changed = sorted(r[0] for r in merged.where("NOT as_before").select(date).distinct().collect())
+        changed = changed_days(old, new, self.grain)
         if not changed:
-            self._remove(f"staging/{load}")
-            return None
+            return []
+        if check:  # the recomputed rows, up to each entity's newest one
+            self._gate(new.select(*SNAPSHOT.names), last, run_ts)
         again = F.col(date).isin(changed)
-        others = self._rows(loads, days=changed).join(keys, key, "left")
+        others = self.snapshots().where(again).join(keys, key, "left")
         kept = others.where(F.col("since").isNull() | (F.col(date) < F.col("since")))
-        new = merged.where("etl_loaded_at IS NOT NULL")
-        names = SNAPSHOT.names
-        if check:  # the recomputed rows, up to each entity's newest one
-            self._gate(new.select(*names), last["day"], run_ts)
-        rows = self._write(load, kept.select(*names).unionByName(new.where(again).select(*names)))
-        days = self._days(rows)
-        line = dict(
-            load=load, day=last["day"], days=days, emptied=[d for d in changed if d not in days],
-            changed_from=changed[0], state_day=None, state=None,
-            events=self._counts(feeds, [last["day"]])[0], rejected=0, late=0,
-        )
-        return self._finish(loads, line)
-
-    def vacuum(self) -> list[str]:
-        """Remove load folders, states and staging that the ledger does not name any more: rows
-        of days that later loads own, what broken loads left, states that no cutoff needs."""
-        loads = self._loads()
-        owners = set(self._owners(loads).values())
-        states = {x["state"] for x in self._valid(loads)}
-        named = {x["load"] for x in loads}
-        gone = [f"staging/{name}" for name in self._names("staging")]
-        gone += [f"snapshots/{n}" for n in self._names("snapshots") if n.removeprefix("load=") not in owners]
-        gone += [f"states/{name}" for name in self._names("states") if name not in states]
-        gone += [f"rejected/{name}" for name in self._names("rejected") if name not in named]
-        for path in gone:
-            self._remove(path)
-        return gone
+        rows = kept.select(*SNAPSHOT.names).unionByName(new.where(again).select(*SNAPSHOT.names))
+        self._replace(self._stage("rows", rows), changed)
+        for day in self._book_days():
+            if day >= changed[0]:
+                self._clear("books", "as_of", day, SNAPSHOT)
+        return changed
 
     # -- parts -----------------------------------------------------------------------------
 
     def _load(
-        self,
-        loads: Sequence[Row],
-        feeds: Sequence[Feed],
-        after: dt.date | None,
-        day: dt.date,
-        run_ts: dt.datetime,
-        check: bool,
-    ) -> Row:
-        """Days after `after`, up to `day`: one write, checked, then the ledger line."""
-        date, load = self.grain.date, uuid.uuid4().hex
+        self, feeds: Sequence[Feed], after: dt.date | None, day: dt.date, run_ts: dt.datetime, check: bool
+    ) -> list[dt.date]:
+        """Days after `after`, up to `day`: computed aside, checked, then put in place."""
+        date = self.grain.date
         span = F.col(date) <= date_literal(day)
         if after is not None:
             span = span & (F.col(date) > date_literal(after))
@@ -242,35 +195,23 @@ class DailyStore:
         if after is not None:
             # Written first: the events are read once, and Spark knows how many keys it joins
             # with the books.
-            touched = self._stage(load, touched)
+            touched = self._stage("touched", touched)
             among = touched.select(self.grain.key).distinct()
-            before = self._books(loads, after, among=among)
-        rows = self._write(load, self._snapshot(feeds, touched, before, run_ts))
+            known = self._source(after).join(among, self.grain.key, "left_semi")
+            before = as_of(known, after, grain=self.grain)
+        rows = self._stage("rows", self._snapshot(feeds, touched, before, run_ts))
         if check:
             self._gate(rows, day, run_ts)
-        rejected = self._reject(load, feeds, after, day)
-        seen, events = self._counts(feeds, [after or dt.date.min, day])
-        known = next((x["events"] for x in reversed(loads) if x["day"] == after), seen)
-        state_day, state = None, None
-        valid = self._valid(loads)
-        newest = max((x["state_day"] for x in valid), default=None)
-        if newest is None or newest == day or (day - newest).days >= self.state_every:
-            state_day, state = day, uuid.uuid4().hex
-            books = rows
-            if after is not None:
-                books = self._source(loads, after).where(F.col(date) <= _day(after)).unionByName(rows)
-            newest_rows = as_of(books, day, grain=self.grain).select(*SNAPSHOT.names)
-            newest_rows.repartition(self.grain.key).sortWithinPartitions(self.grain.key).write.parquet(
-                f"{self.root}/states/{state}"
-            )
+        unplaced = rejected_events([feed.where(F.col(date).isNull() | span) for feed in feeds], self.grain)
+        unplaced.write.mode("overwrite").parquet(f"{self.root}/rejected/load_day={day}")
         days = self._days(rows)
-        owned = self._owners(loads)
-        emptied = [d for d in owned if after is not None and d > after and d not in days]
-        line = dict(
-            load=load, day=day, days=days, emptied=emptied, changed_from=None, state_day=state_day,
-            state=state, events=events, rejected=rejected, late=max(0, seen - known),
-        )
-        return self._finish(loads, line)
+        if after is None:
+            self._replace(rows, days)
+        else:
+            for one in sorted({*days, day}):  # in day order: a load that breaks off leaves no gap
+                self._replace(rows.where(F.col(date) == _day(one)), [one])
+        self._keep_books(day)
+        return days
 
     def _snapshot(
         self, feeds: Sequence[Feed], touched: DataFrame, before: DataFrame | None, run_ts: dt.datetime
@@ -278,154 +219,60 @@ class DailyStore:
         filled = fill_days(feeds, touched, run_ts, self.grain, self.rule, before)
         return filled.select(*SNAPSHOT.names)
 
-    def _counts(self, feeds: Sequence[Feed], days: Sequence[dt.date]) -> list[int]:
-        """Number of events that can be placed up to each of the days: reads three columns."""
-        log = shared_log(feeds)
-        if log is None:
-            each = [feed.placed(self.grain).select(self.grain.date, F.lit(1).alias("n")) for feed in feeds]
-        else:
-            hits = reduce(lambda a, b: a + b, [F.coalesce(f.picked, F.lit(False)).cast("int") for f in feeds])
-            each = [accepted(log, self.grain).select(self.grain.date, hits.alias("n"))]
-        upto = [
-            F.coalesce(F.sum(F.when(F.col(self.grain.date) <= _day(day), F.col("n"))), F.lit(0)) for day in days
-        ]
-        return list(reduce(DataFrame.unionByName, each).agg(*upto).first())
-
-    def _reject(self, load: str, feeds: Sequence[Feed], after: dt.date | None, day: dt.date) -> int:
-        """Store the events of these days, and those without a day, that can't be placed."""
-        date = F.col(self.grain.date)
-        span = date <= date_literal(day)
-        if after is not None:
-            span = span & (date > date_literal(after))
-        path = f"{self.root}/rejected/{load}"
-        rejected_events([feed.where(date.isNull() | span) for feed in feeds], self.grain).write.parquet(path)
-        return self._read(REJECTED, [path]).count()
-
-    def _owners(self, loads: Sequence[Row]) -> dict[dt.date, str]:
-        """Which load's rows count for each day."""
-        owner: dict[dt.date, str] = {}
-        for line in loads:
-            owner.update(dict.fromkeys(line["days"], line["load"]))
-            for day in line["emptied"]:
-                owner.pop(day, None)
-        return owner
-
-    def _rows(
-        self,
-        loads: Sequence[Row],
-        since: dt.date | None = None,
-        days: Iterable[dt.date] | None = None,
-    ) -> DataFrame:
-        """The owned rows, of all days, of those from `since` on, or of the given days."""
-        wanted = None if days is None else set(days)
-        owner = {
-            day: load
-            for day, load in self._owners(loads).items()
-            if (since is None or day >= since) and (wanted is None or day in wanted)
-        }
-        paths = []
-        for load in dict.fromkeys(owner.values()):
-            own = [day for day, name in owner.items() if name == load]
-            folder = f"{self.root}/snapshots/load={load}"
-            all_days = next(line["days"] for line in loads if line["load"] == load)
-            whole = len(own) == len(all_days)
-            paths += [folder] if whole else [f"{folder}/{self.grain.date}={day}" for day in own]
-        return self._read(SNAPSHOT, paths, f"{self.root}/snapshots").select(*SNAPSHOT.names)
-
-    def _read(self, schema: T.StructType, paths: Sequence[str], base: str | None = None) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema)
-        return (reader.option("basePath", base) if base else reader).parquet(*paths)
-
-    def _valid(self, loads: Sequence[Row]) -> list[Row]:
-        """The lines whose state no later load has made void."""
-        out = []
-        for i, line in enumerate(loads):
-            if line["state"] is None:
-                continue
-            later = [x for x in loads[i + 1 :]]
-            changed = [x["changed_from"] for x in later if x["changed_from"] is not None]
-            # A day loaded again makes a state of that very day void.
-            again = [x["day"] for x in later if x["changed_from"] is None and x["day"] == line["state_day"]]
-            if all(line["state_day"] < day for day in (*changed, *again)):
-                out.append(line)
-        return out
-
-    def _source(self, loads: Sequence[Row], cutoff: dt.date) -> DataFrame:
-        """The newest valid state up to `cutoff` and the snapshots since it."""
-        valid = [x for x in self._valid(loads) if x["state_day"] <= cutoff]
-        if not valid:
-            return self._rows(loads)
-        newest = max(valid, key=lambda x: (x["state_day"], x["number"]))
-        newer = self._rows(loads, newest["state_day"] + dt.timedelta(days=1))
-        state = self._read(SNAPSHOT, [f"{self.root}/states/{newest['state']}"])
-        return state.unionByName(newer)
-
-    def _books(
-        self,
-        loads: Sequence[Row],
-        cutoff: dt.date,
-        columns: Sequence[str] | None = None,
-        among: DataFrame | None = None,
-    ) -> DataFrame:
-        """Each entity's newest row up to `cutoff`. `among` lists the entities wanted, and is
-        applied before rows are compared."""
-        rows = self._source(loads, cutoff)
-        if among is not None:
-            rows = rows.join(among, self.grain.key, "left_semi")
-        return as_of(rows, cutoff, columns, self.grain)
-
-    def _write(self, load: str, rows: DataFrame) -> DataFrame:
-        path = f"{self.root}/snapshots/load={load}"
-        write_history(rows.select(*SNAPSHOT.names), path, self.grain)
-        return self._read(SNAPSHOT, [path], f"{self.root}/snapshots").select(*SNAPSHOT.names)
+    def _replace(self, rows: DataFrame, days: Sequence[dt.date]) -> None:
+        """Put rows in place of those of the given days, which are all that they have."""
+        write_history(rows.select(*SNAPSHOT.names), f"{self.root}/history", self.grain, overwrite_days=True)
+        for day in set(days) - set(self._days(rows)):
+            self._clear("history", self.grain.date, day, SNAPSHOT)
+
+    def _clear(self, table: str, by: str, day: dt.date, schema: T.StructType) -> None:
+        """Leave a folder without rows."""
+        rest = T.StructType([f for f in schema if f.name != by])
+        self.spark.createDataFrame([], rest).write.mode("overwrite").parquet(f"{self.root}/{table}/{by}={day}")
+
+    def _keep_books(self, day: dt.date) -> None:
+        """Write the books as of `day`, if the newest ones are `state_every` days old, or of that very day."""
+        newest = max(self._book_days(), default=None)
+        if newest is None or newest == day or (day - newest).days >= self.state_every:
+            books = as_of(self._source(day - dt.timedelta(days=1)), day, grain=self.grain).select(*SNAPSHOT.names)
+            by_key = books.repartition(self.grain.key).sortWithinPartitions(self.grain.key)
+            by_key.write.mode("overwrite").parquet(f"{self.root}/books/as_of={day}")
+
+    def _book_days(self) -> list[dt.date]:
+        return sorted(r[0] for r in self._read("books", _BOOKS).select("as_of").distinct().collect())
+
+    def _source(self, cutoff: dt.date) -> DataFrame:
+        """The newest books up to `cutoff` and the rows since them."""
+        newest = max((day for day in self._book_days() if day <= cutoff), default=None)
+        if newest is None:
+            return self.snapshots()
+        since = self.snapshots().where(F.col(self.grain.date) > _day(newest))
+        return self._read(f"books/as_of={newest}", SNAPSHOT).unionByName(since)
 
     def _days(self, rows: DataFrame) -> list[dt.date]:
-        """The days that have rows; at most one per calendar day, told by the folders' names."""
+        """The days that have rows; at most one per calendar day."""
         return sorted(r[0] for r in rows.select(self.grain.date).distinct().collect())
 
     def _gate(self, rows: DataFrame, run_date: dt.date | str, now: dt.datetime) -> None:
         """The load's own newest row of each entity is the current one."""
         gate(run_checks(mark_current(rows, self.grain), run_date, now, self.grain))
 
-    def _stage(self, load: str, rows: DataFrame) -> DataFrame:
-        path = f"{self.root}/staging/{load}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
+    def _stage(self, name: str, rows: DataFrame) -> DataFrame:
+        path = f"{self.root}/staging/{name}"
+        rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def _loads(self) -> list[Row]:
-        """All finished loads in order, one line each; none before the first."""
+    def _read(self, table: str, schema: T.StructType) -> DataFrame:
+        """A table of the store; empty before it is first written."""
         try:
-            lines = self.spark.read.schema(_LOADS).parquet(f"{self.root}/loads").collect()
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}").select(*schema.names)
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        return sorted(lines, key=lambda line: line["number"])
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
-    def _last(self, loads: Sequence[Row]) -> Row:
-        if not loads:
+    def _started(self) -> dt.date:
+        last = self.last_day()
+        if last is None:
             raise ValueError(f"{self.root} has not been started")
-        return loads[-1]
-
-    def _finish(self, loads: Sequence[Row], line: dict) -> Row:
-        """Write the ledger line: from here on the load counts."""
-        values = {"number": len(loads), **line}
-        row = self.spark.createDataFrame([tuple(values[f.name] for f in _LOADS)], _LOADS).coalesce(1)
-        row.write.mode("append").parquet(f"{self.root}/loads")
-        self._remove(f"staging/{values['load']}")
-        return Row(**values)
-
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-
-    def _files(self):
-        return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        files, path = self._files(), self._path(folder)
-        return [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
-
-    def _remove(self, name: str) -> None:
-        self._files().delete(self._path(name), True)
+        return last

@@ -125,18 +125,26 @@ def _finding(position: int, check: Check, violations: Column, total: Column) ->
     )
 
 
-def _row_findings(history: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
-    """All row-level checks in one pass; each task sends a single row of counters."""
-    counts = history.agg(
+def _by_row(run_date: dt.date | str, now: dt.datetime) -> list[tuple[int, Check]]:
+    return [(i, c) for i, c in enumerate(purchase_checks(run_date, now)) if c.violation is not None]
+
+
+def row_counts(run_date: dt.date | str, now: dt.datetime) -> list[Column]:
+    """All row-level checks as aggregates: one pass, each task sends a single row of counters. They also
+    work in `DataFrame.observe`, in the pass that writes the rows."""
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if("is_current").alias("current_rows"),
         *[
             F.count_if(
                 F.col("is_current") & check.violation if check.current_only else check.violation
             ).alias(f"check_{position}")
-            for position, check in checks
+            for position, check in _by_row(run_date, now)
         ],
-    )
+    ]
+
+
+def _row_findings(counts: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     findings = [
         _finding(
             position,
@@ -198,14 +206,20 @@ def _key_findings(history: DataFrame, checks: dict[str, tuple[int, Check]], grai
 
 
 def run_checks(
-    history: DataFrame, run_date: dt.date | str, now: dt.datetime, grain: Grain = PURCHASE
+    history: DataFrame, run_date: dt.date | str, now: dt.datetime, grain: Grain = PURCHASE,
+    counted: dict[str, int] | None = None,
 ) -> DataFrame:
     """The report: one row per check, in report order. Reads `history` twice (rows, keys), so
-    give it a stored one."""
-    numbered = list(enumerate(purchase_checks(run_date, now)))
-    by_row = [(i, check) for i, check in numbered if check.violation is not None]
-    by_key = {check.name: (i, check) for i, check in numbered if check.violation is None}
-    findings = _row_findings(history, by_row).unionByName(_key_findings(history, by_key, grain))
+    give it a stored one; only its keys, if `counted` has what `row_counts` gave when it was written."""
+    by_row = _by_row(run_date, now)
+    rest = [(i, c) for i, c in enumerate(purchase_checks(run_date, now)) if c.violation is None]
+    by_key = {check.name: (i, check) for i, check in rest}
+    if counted is None:
+        counts = history.agg(*row_counts(run_date, now))
+    else:
+        schema = ", ".join(f"{name} long" for name in counted)
+        counts = history.sparkSession.createDataFrame([tuple(counted.values())], schema)
+    findings = _row_findings(counts, by_row).unionByName(_key_findings(history, by_key, grain))
     ratio = share(F.col("violations"), F.col("total"))
     passed = ratio <= F.col("threshold")
     status = (

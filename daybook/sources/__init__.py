@@ -7,6 +7,7 @@ from daybook.sources.feeds import (
     quarantined,
     read_csv,
     rejected_events,
+    split_csv,
 )
 from daybook.sources.tables import load_table, register_views, shared_folder
 
@@ -22,4 +23,5 @@ __all__ = [
     "register_views",
     "rejected_events",
     "shared_folder",
+    "split_csv",
 ]

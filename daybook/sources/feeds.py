@@ -6,7 +6,7 @@ from collections.abc import Collection, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,13 +146,37 @@ def read_csv(
     fails, and so does a line with more or fewer fields, whichever of them a query reads. Fields
     arrive as text and are parsed by `normalize`: the reader's own typing would turn bad text into
     null without a word."""
+    return normalize(_csv(spark, schema, "FAILFAST").csv(path), schema, lenient)
+
+
+def _csv(spark: SparkSession, schema: T.StructType, mode: str, corrupt: str | None = None) -> DataFrameReader:
     fields = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    reader = (
-        spark.read.schema(fields)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        # the parser would count the fields of the columns it is asked for only
-        .option("columnPruning", False)
-    )
-    return normalize(reader.csv(path), schema, lenient)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", mode)
+    if corrupt:
+        fields = fields.add(corrupt, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    # the parser would count the fields of the columns it is asked for only
+    return reader.schema(fields).option("columnPruning", False)
+
+
+MALFORMED = T.StructType([T.StructField(name, T.StringType()) for name in ("reject_reason", "line")])
+
+
+def split_csv(
+    spark: SparkSession, path: str, schema: T.StructType, rejects: str, lenient: Collection[str] = LENIENT_DATES
+) -> tuple[DataFrame, DataFrame]:
+    """`read_csv` for files that may hold lines with more or fewer fields than the header: such a line does not
+    fail the read. It is stored below `rejects`, with the reason, and left out of the rows.
+
+    Returns the rows and the stored lines (reject_reason, line). The rows are read from the files when they
+    are used; the lines were written by one pass of its own.
+    """
+    corrupt = "_corrupt_line"
+    read = _csv(spark, schema, "PERMISSIVE", corrupt).csv(path)
+    more = F.size(F.split(corrupt, ",")) > len(schema)
+    # a line that breaks off has no last field; told by that column, as Spark reads no corrupt lines alone
+    reason = F.when(more, "more fields").when(F.col(schema.names[-1]).isNull(), "fewer fields").otherwise("malformed")
+    lines = read.where(F.col(corrupt).isNotNull()).select(reason.alias("reject_reason"), F.col(corrupt).alias("line"))
+    lines.write.parquet(rejects)
+    rows = read.where(F.col(corrupt).isNull()).select(*schema.names)
+    return normalize(rows, schema, lenient), spark.read.schema(MALFORMED).parquet(rejects)

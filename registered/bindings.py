@@ -25,6 +25,7 @@ MONTH = dt.date(2024, 1, 1)
 YEAR = 1998
 PURCHASE_ID = 55
 ITEM_PARTITION = 6
+VERSION_COLUMNS = ["transaction_date", "buyer_id", "purchase_status", "purchase_value", "subsidiary", "is_gmv_eligible"]
 
 
 def _number() -> Column:
@@ -101,6 +102,15 @@ def raw_purchase_text(spark: SparkSession, sf: str) -> DataFrame:
     return feed.select(*[F.col(name).cast("string").alias(name) for name in columns])
 
 
+def damaged_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw feed with last fields that, written without quotes, make a line with a field too many, or put
+    a line of one field behind theirs."""
+    raw = raw_purchase_text(spark, sf).select(*PURCHASE_EVENTS.names)
+    k, last = F.col("buyer_id").cast("long"), raw.columns[-1]
+    more, fewer = F.concat(last, F.lit(",x")), F.concat(last, F.lit("\nbroken off"))
+    return raw.withColumn(last, F.when(k % 11 == 3, more).when(k % 13 == 5, fewer).otherwise(F.col(last)))
+
+
 def unplaced(log: DataFrame) -> DataFrame:
     """The log with keys and times of purchase events blanked out here and there."""
     k = F.col("buyer_id")
@@ -158,7 +168,7 @@ PLANTED = {
     "order_date": "CASE WHEN day(transaction_date) = 12 THEN DATE '2024-01-13'"
     " ELSE order_date END",
     "release_date": "CASE WHEN day(transaction_date) = 13 THEN DATE '2023-12-31'"
-    " ELSE release_date END",
+    " WHEN day(transaction_date) = 15 AND purchase_id % 2 = 0 THEN NULL ELSE release_date END",
     "purchase_total_value": "CASE WHEN day(transaction_date) = 10 THEN CAST(-1 AS DECIMAL(18,2))"
     " WHEN day(transaction_date) = 18 THEN CAST(1000000.01 AS DECIMAL(18,2))"
     " ELSE purchase_total_value END",

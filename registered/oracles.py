@@ -20,6 +20,7 @@ from registered.bindings import (
     ITEM_PARTITION,
     RUN_DATE,
     RUN_TS,
+    VERSION_COLUMNS,
     YEAR,
 )
 
@@ -199,6 +200,36 @@ CURRENT = sql(BUILD, final=f"SELECT {listed(HISTORY.names)} FROM hist WHERE is_c
 GMV = "CAST(SUM(purchase_value) AS DECIMAL(38, 2)) AS gmv"
 
 
+AS_OF_EACH = sql(
+    BUILD,
+    """days AS (SELECT DISTINCT transaction_date AS cutoff FROM hist),
+requests AS (SELECT DISTINCT purchase_id, cutoff FROM hist, days)""",
+    final=f"""SELECT purchase_id, cutoff, {listed("h." + c for c in VERSION_COLUMNS)}
+    FROM requests r JOIN hist h USING (purchase_id)
+    WHERE h.transaction_date = (SELECT MAX(x.transaction_date) FROM hist x
+      WHERE x.purchase_id = r.purchase_id AND x.transaction_date <= r.cutoff)""",
+)
+GMV_EVERY_DAY = sql(
+    BUILD,
+    """days AS (SELECT DISTINCT transaction_date AS cutoff FROM hist),
+versions AS (
+  SELECT cutoff, h.* FROM days JOIN hist h ON h.transaction_date <= cutoff
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY cutoff, purchase_id ORDER BY transaction_date DESC) = 1
+)""",
+    final=f"""SELECT cutoff, subsidiary AS subsidiaria, {GMV} FROM versions
+    WHERE is_gmv_eligible GROUP BY cutoff, subsidiary""",
+)
+MALFORMED_LINES = sql(
+    EVENTS,
+    """told AS (
+  SELECT CASE WHEN buyer_id % 11 = 3 THEN 'more fields' ELSE 'none' END AS reject_reason FROM purchase_feed
+  UNION ALL
+  SELECT 'fewer fields' FROM purchase_feed WHERE buyer_id % 13 = 5 AND buyer_id % 11 <> 3
+)""",
+    final="SELECT reject_reason, COUNT(*) AS lines FROM told GROUP BY reject_reason",
+)
+
+
 def audit(extra: str = "") -> str:
     return sql(
         BUILD,
@@ -335,6 +366,7 @@ def report(rows: str, *ctes: str) -> str:
 ORACLES = {
     "top_producers_year": top_producers(f"faturamento_{YEAR}"),
     "producer_product_revenue": sql(SALES, PRODUCTS, final="SELECT * FROM products"),
+    "revenue_colocated": sql(SALES, PRODUCTS, final="SELECT * FROM products"),
     "top2_products_per_producer": sql(
         SALES,
         PRODUCTS,
@@ -364,6 +396,7 @@ ORACLES = {
     ),
     "normalized_purchase_feed": TYPED_FEED,
     "csv_feed_roundtrip": TYPED_FEED,
+    "csv_malformed_lines": MALFORMED_LINES,
     "quarantined_events": QUARANTINED,
     "last_of_day_purchase": sql(DAYS, final="SELECT * FROM purchase_day"),
     "event_spine": sql(DAYS, SPINE, final="SELECT * FROM spine"),
@@ -403,8 +436,11 @@ ORACLES = {
         GROUP BY ALL ORDER BY 1, 2, 3""",
     ),
     "as_of_snapshot": AS_OF,
+    "as_of_each_day": AS_OF_EACH,
+    "gmv_every_day": GMV_EVERY_DAY,
     "current_state": CURRENT,
     "audit_entity": audit(),
+    "audit_stored": audit(),
     "audit_entity_eligible": audit(" AND is_gmv_eligible"),
     "quality_report": report("hist"),
     "quality_report_dirty": report("dirty", DIRTY),
@@ -438,3 +474,4 @@ ORACLES = {
     "incremental_current": CURRENT,
     "rebuilt_history": HISTORY_SQL,
 }
+ORACLES["gmv_from_deltas"] = ORACLES["gmv_as_of"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import (
     as_of,
+    as_of_each,
     attach,
     event_spine,
     forward_fill,
@@ -29,11 +30,15 @@ from daybook.plans import (
     export_csv,
     gate,
     gmv_as_of,
+    gmv_at,
+    gmv_at_each,
     gmv_daily,
+    gmv_deltas,
     producer_products,
     publish,
     read_history,
     run_checks,
+    save_colocated,
     top_producers,
     top_products,
     write_history,
@@ -50,6 +55,7 @@ from daybook.sources import (
     read_csv,
     register_views,
     shared_folder,
+    split_csv,
 )
 from registered import bindings as b
 
@@ -71,6 +77,14 @@ def items_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     return top_producers(*tables, b.YEAR, 50)
 
 
+def revenue_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """Both current tables bucketed by the item key: counted and joined without a shuffle of either."""
+    tables = []
+    for name, table in (("purchases", b.purchases(spark, sf)), ("items", b.items(spark, sf))):
+        tables.append(save_colocated(table, f"{name}_{uuid.uuid4().hex}", shared_folder(spark, name), 8))
+    return producer_products(*tables)
+
+
 def producer_product_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return producer_products(b.purchases(spark, sf), b.items(spark, sf))
 
@@ -137,6 +151,16 @@ def csv_feed_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, PURCHASE_EVENTS)
 
 
+def csv_malformed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV export with damaged lines: those are stored with their reason, the others are read."""
+    path = shared_folder(spark, "csv-damaged")
+    b.damaged_feed(spark, sf).write.option("header", True).option("quote", "").csv(path)
+    rows, lines = split_csv(spark, path, PURCHASE_EVENTS, shared_folder(spark, "csv-rejects"))
+    counts = lines.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("lines"))
+    whole = rows.agg(F.lit("none").alias("reject_reason"), F.count("purchase_id").alias("lines"))
+    return counts.unionByName(whole)
+
+
 def quarantined_events(spark: SparkSession, sf: str) -> DataFrame:
     return (
         quarantined(b.unplaced_events(spark, sf))
@@ -196,8 +220,18 @@ def purchase_history_literal(spark: SparkSession, sf: str) -> DataFrame:
 # ---- questions to the history ------------------------------------------------------------
 
 
+_VERSIONS: dict[tuple[str, str], str] = {}
+
+
 def _published(spark: SparkSession, sf: str) -> str:
-    """The history, published behind the gate: the path of its version."""
+    """The history, published behind the gate once for each session and folder: the path of its version."""
+    made = (spark.sparkContext.applicationId, sf)
+    if made not in _VERSIONS:
+        _VERSIONS[made] = _publish(spark, sf)
+    return _VERSIONS[made]
+
+
+def _publish(spark: SparkSession, sf: str) -> str:
     root, view = shared_folder(spark, "published"), f"history_{uuid.uuid4().hex}"
     feeds = b.feeds(spark, sf)
     publish(build_history(feeds, b.RUN_TS), root, "v1", view, b.RUN_DATE, b.NOW, feeds=feeds)
@@ -226,6 +260,29 @@ def gmv_at_cutoff_month(spark: SparkSession, sf: str) -> DataFrame:
     return gmv_as_of(_stored_history(spark, sf), b.CUTOFF, "release_date", b.MONTH)
 
 
+def as_of_each_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Every purchase as known on every day of the history: a table of requests, answered at once."""
+    history = _stored_history(spark, sf)
+    days = history.select(F.col("transaction_date").alias("cutoff")).distinct()
+    requests = history.select("purchase_id").distinct().crossJoin(F.broadcast(days))
+    return as_of_each(history, requests, columns=b.VERSION_COLUMNS)
+
+
+def _stored_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(gmv_deltas(_stored_history(spark, sf)), "deltas")
+
+
+def gmv_from_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    keys = {"order_date": "data_compra", "purchase_id": "id_compra", "subsidiary": "subsidiaria"}
+    return gmv_at(_stored_deltas(spark, sf), b.CUTOFF, keys)
+
+
+def gmv_every_day(spark: SparkSession, sf: str) -> DataFrame:
+    """GMV by subsidiary as the books stood on every day of the history."""
+    days = _stored_history(spark, sf).select(F.col("transaction_date").alias("cutoff"))
+    return gmv_at_each(_stored_deltas(spark, sf), days, {"subsidiary": "subsidiaria"})
+
+
 def as_of_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return as_of(_stored_history(spark, sf), b.CUTOFF)
 
@@ -238,6 +295,11 @@ def audit_entity(spark: SparkSession, sf: str) -> DataFrame:
     return audit(purchase_history(spark, sf), b.PURCHASE_ID)
 
 
+def audit_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit on the stored history, whose files have Bloom filters of the purchase."""
+    return audit(_stored_history(spark, sf), b.PURCHASE_ID)
+
+
 def audit_entity_eligible(spark: SparkSession, sf: str) -> DataFrame:
     return audit(purchase_history(spark, sf), b.PURCHASE_ID, eligible_only=True)
 
@@ -372,12 +434,14 @@ def rebuilt_history(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "top_producers_year": top_producers_year,
     "producer_product_revenue": producer_product_revenue,
+    "revenue_colocated": revenue_colocated,
     "top2_products_per_producer": top2_products_per_producer,
     "top2_products_with_ties": top2_products_with_ties,
     "top_producers_sql_views": top_producers_sql_views,
     "revenue_sql_over_files": revenue_sql_over_files,
     "normalized_purchase_feed": normalized_purchase_feed,
     "csv_feed_roundtrip": csv_feed_roundtrip,
+    "csv_malformed_lines": csv_malformed_lines,
     "quarantined_events": quarantined_events,
     "last_of_day_purchase": last_of_day_purchase,
     "event_spine": spine,
@@ -391,9 +455,13 @@ QUERIES = {
     "gmv_daily_current": gmv_daily_current,
     "gmv_as_of": gmv_at_cutoff,
     "gmv_as_of_month": gmv_at_cutoff_month,
+    "as_of_each_day": as_of_each_day,
+    "gmv_from_deltas": gmv_from_deltas,
+    "gmv_every_day": gmv_every_day,
     "as_of_snapshot": as_of_snapshot,
     "current_state": current_state,
     "audit_entity": audit_entity,
+    "audit_stored": audit_stored,
     "audit_entity_eligible": audit_entity_eligible,
     "quality_report": quality_report,
     "quality_report_dirty": quality_report_dirty,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import samples as x
 from daybook import schemas as s
-from daybook.operators import as_of, mark_current
+from daybook.operators import as_of, as_of_each, mark_current
 from daybook.plans import (
     DailyStore,
     DataQualityError,
@@ -18,11 +18,18 @@ from daybook.plans import (
     create_history_table,
     current,
     export_csv,
+    gmv_as_of,
+    gmv_at,
+    gmv_at_each,
+    gmv_deltas,
     publish,
     read_history,
+    run_checks,
+    save_colocated,
     write_history,
 )
-from daybook.sources import normalize, read_csv, register_views, shared_folder
+from daybook.plans.daily import changed_days
+from daybook.sources import normalize, read_csv, register_views, shared_folder, split_csv
 
 # ---- raw files -----------------------------------------------------------------------------
 
@@ -229,14 +236,14 @@ def test_a_day_can_be_loaded_again(spark, tmp_path):
     assert x.same(store.history(), build_history(corrected, x.RUN_TS))
     assert x.same(store.current(), current(build_history(corrected, x.RUN_TS)))
     with pytest.raises(ValueError, match="rebuild"):
-        store.append_day(feeds, "2023-07-12", x.RUN_TS)
+        store.append_day(feeds, "2023-01-21", x.RUN_TS)
 
 
 def test_loaded_days_are_not_touched_again(spark, tmp_path):
     feeds = x.feeds(spark)
     store = DailyStore(spark, str(tmp_path))
     store.start(feeds, "2023-02-28", x.RUN_TS, check=False)
-    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "snapshots").rglob("*.parquet")}
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "history").rglob("*.parquet")}
     for day in ("2023-03-12", "2023-07-12", "2023-07-15"):
         store.append_day(feeds, day, x.RUN_TS + dt.timedelta(days=1), check=False)
     assert files and all(p.stat().st_mtime_ns == at for p, at in files.items())
@@ -313,76 +320,66 @@ def test_a_blocked_day_comes_whole_with_the_next_one(spark, tmp_path):
     assert x.same(store.as_of("2023-01-25"), as_of(x.history(spark).drop("is_current"), "2023-01-25"))
 
 
-def test_late_events_are_reported(spark, tmp_path):
-    early = x.feeds(spark, x.PURCHASE_ROWS[1:])
-    store = DailyStore(spark, str(tmp_path))
-    store.start(early, "2023-07-12", x.RUN_TS, check=False)
-    assert store.append_day(x.feeds(spark), "2023-07-15", x.RUN_TS)["late"] == 1
-    assert [r["late"] for r in store.loads().orderBy("number").collect()] == [0, 1]
+def test_a_load_that_breaks_off_can_be_run_again(spark, tmp_path, monkeypatch):
+    feeds = x.feeds(spark)
+    store = DailyStore(spark, str(tmp_path), state_every=1)
+    store.start(feeds, "2023-02-28", x.RUN_TS, check=False)
+    replace, done = DailyStore._replace, []
 
+    def broken(self, rows, days):
+        if done:
+            raise KeyboardInterrupt
+        done.append(days)
+        replace(self, rows, days)
 
-@pytest.mark.parametrize("kind", ["start", "append_day", "rebuild"])
-def test_a_load_that_ends_before_its_ledger_line_is_invisible(spark, tmp_path, monkeypatch, kind):
-    early = x.feeds(spark, x.PURCHASE_ROWS[1:], x.ITEM_ROWS, x.INFO_ROWS[1:])
-    store = DailyStore(spark, str(tmp_path), state_every=1)
-    steps = {
-        "start": lambda: store.start(early, "2023-07-12", x.RUN_TS, check=False),
-        "append_day": lambda: store.append_day(early, "2023-07-15", x.RUN_TS, check=False),
-        "rebuild": lambda: store.rebuild(
-            x.feeds(spark), store.late_purchases(x.feeds(spark, x.PURCHASE_ROWS[:1], [], [])), x.RUN_TS, check=False
-        ),
-    }
-    for name in steps:
-        if name == kind:
-            break
-        steps[name]()
-
-    def shown():
-        if kind == "start":
-            return []
-        frames = (store.history(), store.current(), store.as_of("2023-02-01"))
-        return [sorted(map(str, f.collect())) for f in frames]
-
-    before = shown()
-    finish = DailyStore._finish
-    monkeypatch.setattr(DailyStore, "_finish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+    monkeypatch.setattr(DailyStore, "_replace", broken)
     with pytest.raises(KeyboardInterrupt):
-        steps[kind]()
-    monkeypatch.setattr(DailyStore, "_finish", finish)
-    assert shown() == before
-    assert store.vacuum()  # what the broken load left
-    assert shown() == before
-    steps[kind]()
-    feeds = x.feeds(spark) if kind == "rebuild" else early
-    last = "2023-07-12" if kind == "start" else "2023-07-15"
-    upto = [feed.where(F.col("transaction_date") <= last) for feed in feeds]
+        store.append_day(feeds, "2023-07-15", x.RUN_TS)
+    monkeypatch.setattr(DailyStore, "_replace", replace)
+    assert done == [[store.last_day()]]  # the first day is in place, whole
+    upto = [feed.where(F.col("transaction_date") <= str(store.last_day())) for feed in feeds]
     assert x.same(store.history(), build_history(upto, x.RUN_TS))
+    store.append_day(feeds, "2023-07-15", x.RUN_TS)
+    assert x.same(store.history(), x.history(spark)) and x.same(store.current(), current(x.history(spark)))
+
+
+def test_days_are_compared_by_digests(spark):
+    rows = [(1, "2024-01-01", 5), (2, "2024-01-01", 6), (1, "2024-01-02", 5), (3, "2024-01-03", 1)]
+    frame = lambda rows: spark.createDataFrame(rows, "purchase_id long, d string, digest long").selectExpr(
+        "purchase_id", "CAST(d AS DATE) AS transaction_date", "digest"
+    )
+    old = frame(rows)
+    assert changed_days(old, frame(rows[::-1])) == []
+    assert changed_days(old, frame([*rows[:2], (1, "2024-01-02", 6), (4, "2024-01-04", 1)])) == [x.day(f"2024-01-0{k}") for k in (2, 3, 4)]
+    assert changed_days(old, frame([(1, "2024-01-01", 6), (2, "2024-01-01", 5), *rows[2:]])) == [x.day("2024-01-01")]
 
 
 def test_a_rebuild_touches_changed_days_only(spark, tmp_path):
-    early = x.feeds(spark, x.PURCHASE_ROWS[:-1])
+    early = x.feeds(spark, pi=x.ITEM_ROWS[:-1])
     later = x.RUN_TS + dt.timedelta(days=1)
     store = DailyStore(spark, str(tmp_path), state_every=1)
     store.start(early, "2023-02-28", x.RUN_TS, check=False)
     for day in ("2023-07-12", "2023-07-15"):
         store.append_day(early, day, x.RUN_TS, check=False)
-    batch = x.feeds(spark, x.PURCHASE_ROWS[-1:], [], [])
-    line = store.rebuild(x.feeds(spark), store.late_purchases(batch), later, check=False)
-    assert line["days"] == [x.day("2023-07-15")]
+    batch = x.feeds(spark, [], x.ITEM_ROWS[-1:], [])
+    changed = [x.day("2023-07-12"), x.day("2023-07-15")]
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "history").rglob("*.parquet")}
+    assert store.rebuild(x.feeds(spark), store.late_purchases(batch), later, check=False) == changed
+    left = {p for p, at in files.items() if "2023-07-1" not in str(p)}
+    assert left and all(p.exists() and p.stat().st_mtime_ns == files[p] for p in left)
     stamps = {r["transaction_date"]: r["etl_loaded_at"] for r in store.snapshots().where("purchase_id = 55").collect()}
-    assert [d for d, at in stamps.items() if at == later.replace(microsecond=0)] == [x.day("2023-07-15")]
+    assert [d for d, at in stamps.items() if at == later.replace(microsecond=0)] == changed
     assert x.same(store.history().drop("etl_loaded_at"), x.history(spark).drop("etl_loaded_at"))
-    plan = store.as_of("2023-03-01")._jdf.queryExecution().optimizedPlan().toString()
-    assert "states/" in str(store.as_of("2023-03-01").inputFiles()) and plan
+    assert "books/" in str(store.as_of("2023-03-01").inputFiles())
     # all as before: no load
-    assert store.rebuild(x.feeds(spark), store.late_purchases(batch), later, check=False) is None
+    assert store.rebuild(x.feeds(spark), store.late_purchases(batch), later, check=False) == []
 
 
 def test_rejected_events_are_stored(spark, tmp_path):
     bad = [*x.PURCHASE_ROWS, x.event("2023-02-01 10:00:00", None), (None, "2023-02-01", *x.event("2023-02-01 10:00:00", 70)[2:])]
     store = DailyStore(spark, str(tmp_path))
-    line = store.start(x.feeds(spark, bad), "2023-07-15", x.RUN_TS)
-    assert line["rejected"] == 2 and x.same(store.history(), x.history(spark))
+    store.start(x.feeds(spark, bad), "2023-07-15", x.RUN_TS)
+    assert store.rejected().count() == 2 and x.same(store.history(), x.history(spark))
     found = sorted((r["source"], r["reject_reason"]) for r in store.rejected().collect())
     assert found == [("purchase", "purchase_id"), ("purchase", "transaction_datetime")]
     publish(x.history(spark), str(tmp_path / "p"), "v1", "with_rejects", x.RUN_DATE, x.NOW, feeds=x.feeds(spark, bad))
@@ -390,14 +387,59 @@ def test_rejected_events_are_stored(spark, tmp_path):
     assert x.same(spark.table("with_rejects_current"), current(x.history(spark)))
 
 
-def test_vacuum_keeps_what_counts(spark, tmp_path):
-    feeds = x.feeds(spark)
-    store = DailyStore(spark, str(tmp_path), state_every=1)
-    store.start(feeds, "2023-07-12", x.RUN_TS)
-    for _ in range(3):
-        store.append_day(feeds, "2023-07-15", x.RUN_TS)
-    gone = store.vacuum()
-    assert sum(name.startswith("snapshots/") for name in gone) == 2
-    assert sum(name.startswith("states/") for name in gone) == 2
-    assert x.same(store.history(), x.history(spark)) and x.same(store.current(), current(x.history(spark)))
-    assert store.vacuum() == []
+def test_malformed_csv_lines_are_stored_and_the_others_read(spark, tmp_path):
+    names = ",".join(s.EXTRA_INFO_EVENTS.names)
+    good = ["2023-01-20 22:00:00,2023-01-20,55,nacional", '2023-01-21 22:00:00,2023-01-21,56,"a,b"']
+    bad = ["2023-01-20 22:00:00,2023-01-20,55,nacional,x", "2023-01-20 22:00:00,2023-01-20,57", "broken"]
+    (tmp_path / "f.csv").write_text("\n".join([names, *good, *bad]) + "\n")
+    rows, lines = split_csv(spark, str(tmp_path / "f.csv"), s.EXTRA_INFO_EVENTS, str(tmp_path / "rejects"))
+    assert sorted((r["purchase_id"], r["subsidiary"]) for r in rows.collect()) == [(55, "nacional"), (56, "a,b")]
+    found = sorted((r["reject_reason"], r["line"]) for r in lines.collect())
+    assert found == [("fewer fields", bad[1]), ("fewer fields", bad[2]), ("more fields", bad[0])]
+
+
+def test_tables_of_one_layout_join_without_a_shuffle(spark, tmp_path):
+    made = [(k % 7, k % 3, k % 5, f"p{k}") for k in range(200)]
+    sales = spark.createDataFrame(made, "prod_item_id long, prod_item_partition long, producer_id long, note string")
+    items = sales.select("prod_item_id", "prod_item_partition").distinct().withColumn("purchase_value", F.lit(2))
+    keys = ["prod_item_id", "prod_item_partition"]
+    stored = [save_colocated(t, n, str(tmp_path / n), 4) for t, n in ((sales, "sales_b"), (items, "items_b"))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        counted = stored[0].groupBy("producer_id", *keys).agg(F.count("note").alias("n")).join(stored[1], keys)
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert x.same(counted, sales.groupBy("producer_id", *keys).agg(F.count("note").alias("n")).join(items, keys).select(*counted.columns))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("sales_b", "items_b"):
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_row_checks_are_counted_while_writing(spark, tmp_path):
+    history = x.history(spark)
+    report = publish(history, str(tmp_path), "v1", "counted", x.RUN_DATE, x.NOW)
+    assert x.same(report, run_checks(history, x.RUN_DATE, x.NOW))
+    # what is read back is keys alone
+    scans = [line for line in report._jdf.queryExecution().executedPlan().toString().split("\n") if "ReadSchema" in line]
+    assert scans and all("purchase_status" not in line for line in scans)
+
+
+def test_versions_and_deltas_answer_any_cutoff(spark):
+    rows = x.random_events(21, hot_share=0.3)
+    history = build_history(x.feeds(spark, *rows), x.RUN_TS).drop("is_current").cache()
+    days = sorted(r[0] for r in history.select("transaction_date").distinct().collect())
+    days = [days[0] - dt.timedelta(days=1), *days, days[-1] + dt.timedelta(days=9)]
+    cutoffs = spark.createDataFrame([(d,) for d in days + days[:2]] + [(None,)], "cutoff date")
+    asked = as_of_each(history, history.select("purchase_id").distinct().crossJoin(cutoffs)).cache()
+    keys = {"order_date": "data_compra", "purchase_id": "id_compra", "subsidiary": "subsidiaria"}
+    deltas = gmv_deltas(history).cache()
+    each = gmv_at_each(deltas, cutoffs, keys).cache()
+    for day in days:
+        then = F.col("cutoff") == F.lit(day)
+        assert x.same(asked.where(then).select(*history.columns), as_of(history, day))
+        expected = gmv_as_of(history, day)
+        assert x.same(gmv_at(deltas, day, keys), expected)
+        assert x.same(each.where(then).drop("cutoff"), expected)
+    empty = history.where("false")
+    assert gmv_at_each(gmv_deltas(empty), cutoffs, keys).count() == as_of_each(empty, empty.withColumn("cutoff", F.lit(days[0]))).count() == 0
