@@ -12,17 +12,19 @@ Equal sets are one from the start. Candidates are found by two filters that lose
 Documents that meet in a remaining list, with sizes that allow a link, form clusters: only there can
 links be.
 
-Inside a cluster the T-occurrence search is run in blocks: of a document's inverted lists the longest are
-set aside, the short ones merged by counting; what occurs often enough is looked up in the long lists by
-binary search, and pairs that reach the required overlap link. Each block gives a spanning forest of its
-links, so links that a path already gives are not written out, and none between different sets is lost.
+Inside a cluster the T-occurrence search is run in blocks. Of a document's inverted lists the longest are set aside
+for binary probes. Of the S others a partner must be in T', so it is in one of the S - T' + 1 shortest: those are merged,
+as sorted runs, and all documents that none of them names are skipped. The candidates' further occurrences in the
+longer lists are probed, or, where there are more candidates than postings, counted; last come the lists set
+aside. Every pair that reaches the required overlap is a link. A block gives each document's number of links,
+weighed by how many rows have the same set, and a spanning forest of the links for the components.
 
 A cluster is cut into blocks by its number of shingles, and each pair of blocks is one unit of work, so a
 group of near copies that holds a third of all rows spreads over tasks. Nothing is capped.
 
 Defined results: null and empty texts, and such without words, have empty sets and link with nothing;
-a text of fewer words than a shingle has its whole sequence as one; rows with a null id have no component;
-rows that share an id share their fate; an empty table gives no rows; further columns are not read.
+a text of fewer words than a shingle has its whole sequence as one; rows with a null id have no component and no
+links; rows that share an id share their fate (with different texts, too), and count as one link each; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -247,11 +249,15 @@ def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def search(queries: list[np.ndarray], indexed: list[np.ndarray], percent: int, same: bool,
-           known=lambda q, s: False) -> Iterator[tuple[int, int]]:
-    """Pairs (query, indexed) of sets that link, by DivideSkip over inverted lists of `indexed`.
+#: A probe of a list costs as much as counting so many of its postings.
+PROBE = 16
 
-    `same`: both are one list, and each pair is looked for once. A pair for which `known` holds is left out.
+
+def search(queries: list[np.ndarray], indexed: list[np.ndarray], percent: int,
+           same: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """For each query the places of the indexed sets that link with it, by DivideSkip over inverted lists.
+
+    `same`: both are one list, and each pair is looked for once.
     """
     sizes = np.array([len(s) for s in indexed], np.int64)
     hashes = np.concatenate([*indexed, np.zeros(0, np.uint64)])
@@ -260,6 +266,14 @@ def search(queries: list[np.ndarray], indexed: list[np.ndarray], percent: int, s
     hashes, owners = hashes[order], owners[order]
     tokens, starts = np.unique(hashes, return_index=True)
     ends = np.append(starts[1:], len(hashes))
+    # list and owner as one ascending number, for binary probes of many lists at once
+    posted = np.repeat(np.arange(len(tokens)), ends - starts) * len(indexed) + owners
+
+    def probed(lists: np.ndarray, found: np.ndarray) -> np.ndarray:
+        wanted = (lists[:, None] * len(indexed) + found[None]).ravel()
+        place = np.minimum(np.searchsorted(posted, wanted), len(posted) - 1)
+        return (posted[place] == wanted).reshape(len(lists), len(found)).sum(0)
+
     for q, own in enumerate(queries):
         n = len(own)
         at = np.searchsorted(tokens, own)
@@ -267,33 +281,35 @@ def search(queries: list[np.ndarray], indexed: list[np.ndarray], percent: int, s
         least = need(n, percent)
         if not n or len(at) < least:
             continue
-        a, b = starts[at], ends[at]
-        lengths = b - a
-        by_length = np.argsort(lengths, kind="stable")
-        longest = int(lengths[by_length[-1]])
-        aside = min(least - 1, int(least / (SKIP * np.log2(longest + 1) + 1)))
-        short = by_length[: len(by_length) - aside]
-        merged = owners[W.ranges(a[short], lengths[short])]
-        counts = np.bincount(merged, minlength=len(indexed))
-        possible = (counts >= least - aside) & (100 * sizes >= percent * n) & (100 * n >= percent * sizes)
+        lengths = (ends - starts)[at]
+        at = at[np.argsort(lengths, kind="stable")]
+        lengths = (ends - starts)[at]
+        aside = min(least - 1, int(least / (SKIP * np.log2(lengths[-1] + 1) + 1)))
+        short = len(at) - aside
+        seeds = short - (least - aside) + 1
+        merged = np.sort(owners[W.ranges(starts[at[:seeds]], lengths[:seeds])], kind="stable")
+        found, counts = np.unique(merged, return_counts=True)
+        possible = (100 * sizes[found] >= percent * n) & (100 * n >= percent * sizes[found])
         if same:
-            possible[q:] = False
-        found = np.flatnonzero(possible)
-        found = found[[not known(q, s) for s in found]] if len(found) else found
-        if not len(found):
-            continue
-        shared = counts[found]
-        for k in by_length[len(by_length) - aside :]:
-            one = owners[a[k] : b[k]]
-            place = np.minimum(np.searchsorted(one, found), len(one) - 1)
-            shared = shared + (one[place] == found)
-        enough = 100 * shared >= percent * (n + sizes[found] - shared)
-        for s in found[enough].tolist():
-            yield q, s
+            possible &= found < q
+        found, counts = found[possible], counts[possible]
+        rest = at[seeds:short]
+        if len(found) * len(rest) * PROBE < lengths[seeds:short].sum():
+            counts = counts + probed(rest, found)
+        elif len(found):
+            counts = counts + np.bincount(owners[W.ranges(starts[rest], lengths[seeds:short])], minlength=len(indexed))[found]
+        enough = counts >= least - aside
+        found, counts = found[enough], counts[enough]
+        if len(found):
+            counts = counts + probed(at[short:], found)
+            found = found[100 * counts >= percent * (n + sizes[found] - counts)]
+        if len(found):
+            yield q, found
 
 
 def _cells(members: DataFrame, source: DataFrame, size: int, percent: int, fold_case: bool) -> DataFrame:
-    """Links (a, b) of ids found in each pair of blocks of each cluster."""
+    """What each pair of blocks of each cluster finds: links (a, b) of ids that hold its components together, and for
+    each id with links the row (id, id) with their number."""
     spark = members.sparkSession
     blocks = members.groupBy("cluster").agg(
         F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks")
@@ -304,9 +320,9 @@ def _cells(members: DataFrame, source: DataFrame, size: int, percent: int, fold_
     placed = (
         members.join(blocks, "cluster").withColumn("own", own)
         .join(texts, "node")
-        .select("cluster", "own", other.alias("other"), "node", "digest", "text")
+        .select("cluster", "own", other.alias("other"), "node", "digest", "copies", "text")
         .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "node", "digest", "text")
+                "own", "node", "digest", "copies", "text")
     )
     dealt = placed.repartition(partitions(spark), "cluster", "i", "j")
 
@@ -315,35 +331,48 @@ def _cells(members: DataFrame, source: DataFrame, size: int, percent: int, fold_
         for batch in batches:
             for rows in slices(batch, "text"):
                 found = _sets(rows.column("text"), size, fold_case)
-                columns = [rows.column(c).to_pylist() for c in ("cluster", "i", "j", "own", "node", "digest")]
-                for cluster, i, j, own, node, digest, own_set in zip(*columns, found):
+                columns = [rows.column(c).to_pylist() for c in ("cluster", "i", "j", "own", "node", "digest", "copies")]
+                for cluster, i, j, own, node, digest, copies, own_set in zip(*columns, found):
                     if key != (cluster, i, j):
                         if len(sets) > 1:
-                            yield _pairs(_links(key, sets, percent))
+                            yield _links(key, sets, percent)
                         key, sets = (cluster, i, j), {}
                     if digest == _digest(own_set):  # rows of one id may have different texts
-                        sets[node] = (own, own_set)
+                        sets[node] = (own, copies, own_set)
         if len(sets) > 1:
-            yield _pairs(_links(key, sets, percent))
+            yield _links(key, sets, percent)
 
-    return dealt.sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a long, b long")
+    return dealt.sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a long, b long, links long")
 
 
-def _links(key: tuple, sets: dict[int, tuple[int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links in one pair of blocks."""
+def _links(key: tuple, sets: dict[int, tuple[int, int, np.ndarray]], percent: int) -> pa.RecordBatch:
+    """A spanning forest of the links in one pair of blocks, and the number of links of each id."""
     _, i, j = key
-    left = [x for x, (own, _) in sets.items() if own == i]
-    right = left if i == j else [x for x, (own, _) in sets.items() if own == j]
-    ties = Union()
-    known = lambda q, s: ties.root(left[q]) == ties.root(right[s])
-    for q, s in search([sets[x][1] for x in left], [sets[x][1] for x in right], percent, i == j, known):
-        ties.join(left[q], right[s])
-    return ties.links()
+    left = [x for x, (own, _, _) in sets.items() if own == i]
+    right = [] if i == j else [x for x, (own, _, _) in sets.items() if own == j]
+    nodes = np.array(left + right, np.int64)
+    copies = np.array([sets[x][1] for x in nodes.tolist()], np.int64)
+    links, part = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
+    shift = 0 if i == j else len(left)
+    indexed = [sets[x][2] for x in (right or left)] if i == j or right else []
+    for q, found in search([sets[x][2] for x in left], indexed, percent, i == j):
+        found = found + shift
+        links[q] += copies[found].sum()
+        links[found] += copies[q]
+        parts = np.unique(np.append(part[found], part[q]))
+        if len(parts) > 1:
+            part[np.isin(part, parts)] = parts[0]
+    tied, linked = np.flatnonzero(part != np.arange(len(nodes))), np.flatnonzero(links)
+    a = np.concatenate((nodes[tied], nodes[linked]))
+    b = np.concatenate((nodes[part[tied]], nodes[linked]))
+    count = np.concatenate((np.zeros(len(tied), np.int64), links[linked]))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(count)], ["a", "b", "links"])
 
 
 def near_duplicates(frame: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5,
                     percent: int = 80, fold_case: bool = False) -> DataFrame:
-    """id, n_shingles and component_id (smallest id reachable by links, its own included) of each row."""
+    """id, n_shingles, component_id (smallest id reachable by links, its own included) and n_links (other rows it
+    links with, those of an equal set included) of each row."""
     source = frame.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     read = written(_read(source, size, fold_case), "sets")
     documents = read.where("n IS NOT NULL").select("id", "n", "digest")
@@ -351,18 +380,23 @@ def near_duplicates(frame: DataFrame, id_column: str = "doc_id", text_column: st
     meetings = _meetings(_postings(source, classes, size, percent, fold_case), percent)
     clusters = components(meetings)
     filled = documents.where("n > 0 AND id IS NOT NULL")
-    first = filled.groupBy("digest").agg(F.min("id").alias("node"), F.max("n").alias("n"))
+    first = filled.groupBy("digest").agg(
+        F.min("id").alias("node"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")
+    )
     members = written(
         clusters.withColumnsRenamed({"node": "digest", "root": "cluster"}).join(first, "digest"), "members"
     )
-    links = _cells(members, source.where("id IS NOT NULL"), size, percent, fold_case)
-    reached = components(links)
+    found = written(_cells(members, source.where("id IS NOT NULL"), size, percent, fold_case), "found-links")
+    reached = components(found.select("a", "b"))
+    linked = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     whole = (
-        documents.join(first.select("digest", "node"), "digest", "left")
-        .join(reached, "node", "left")
+        documents.join(first.select("digest", "node", "copies"), "digest", "left")
+        .join(reached, "node", "left").join(linked, "node", "left")
         .withColumn("component_id", F.when(F.col("n") > 0, F.coalesce("root", "node", "id")).otherwise(F.col("id")))
     )
+    n_links = F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1
     return whole.select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"),
+        F.when(F.col("id").isNotNull() & (F.col("n") > 0), n_links).otherwise(0).cast("long").alias("n_links"),
     )

@@ -191,8 +191,9 @@ WITH RECURSIVE split AS (
   SELECT doc_id, doc_id AS other FROM documents
   UNION SELECT r.doc_id, y FROM reach r JOIN links ON other = x
 )
-SELECT doc_id, len(s) AS n_shingles, component_id
+SELECT doc_id, len(s) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x) USING (doc_id)
 """
 
 OP11_SQL = r"""

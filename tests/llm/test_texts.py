@@ -213,6 +213,7 @@ def test_chunks_do_not_change_a_word_s_weights(words, monkeypatch):
 def groups(docs, size, percent, fold=False):
     sets = {k: shingle_set(t, size, fold) for k, t in docs.items()}
     root = {k: k for k in docs}
+    links = dict.fromkeys(docs, 0)
 
     def top(x):
         while root[x] != x:
@@ -224,7 +225,9 @@ def groups(docs, size, percent, fold=False):
         if sets[a] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
             x, y = top(a), top(b)
             root[max(x, y)] = min(x, y)
-    return {k: (len(sets[k]), top(k)) for k in docs}
+            links[a] += 1
+            links[b] += 1
+    return {k: (len(sets[k]), top(k), links[k]) for k in docs}
 
 
 @pytest.mark.parametrize("percent,size,block", [(85, 4, 400_000), (80, 5, 2000), (60, 3, 300)])
@@ -243,20 +246,26 @@ def test_jaccard_components_are_those_of_all_pairs(spark, table, words, monkeypa
             docs[len(docs) + 1] = " ".join(own).title() if rng.random() < 0.2 else " ".join(own)
     docs |= {900: "", 901: " ", 902: "lone", 903: "lone"}
     frame = table([*docs.items(), (904, None), (None, "lone")])
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(frame, size=size, percent=percent, fold_case=True).collect()}
-    assert found.pop(904) == (0, 904) and found.pop(None)[1] is None
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.near_duplicates(frame, size=size, percent=percent, fold_case=True).collect()}
+    assert found.pop(904) == (0, 904, 0) and found.pop(None)[1:] == (None, 0)
     assert found == groups(docs, size, percent, fold=True)
+    assert max(links for _, _, links in found.values()) > 5
 
 
-def test_divide_skip_finds_what_a_plain_search_finds():
+def test_divide_skip_finds_what_a_plain_search_finds(monkeypatch):
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 30, rng.integers(1, 90)).astype(np.uint64)) for _ in range(80)]
     expected = set()
     for q, s in itertools.combinations(range(80), 2):
         both = len(np.intersect1d(sets[q], sets[s]))
         if 100 * both >= 60 * (len(sets[q]) + len(sets[s]) - both):
-            expected.add((s, q))
-    assert set(jaccard.search(sets, sets, 60, True)) == expected and expected
+            expected.add((q, s))
+    for probe in (0, 16, 1 << 30):  # all probed, as it is, all counted
+        monkeypatch.setattr(jaccard, "PROBE", probe)
+        found = {(q, s) for q, at in jaccard.search(sets, sets, 60, True) for s in at.tolist()}
+        assert found == {(s, q) for q, s in expected} and expected
+        found = {(q, s) for q, at in jaccard.search(sets[:30], sets[30:], 60, False) for s in at.tolist()}
+        assert found == {(q, s - 30) for q, s in expected if q < 30 <= s}
 
 
 def test_components_of_long_paths(spark):
