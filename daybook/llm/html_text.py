@@ -6,12 +6,18 @@ compares with its siblings. Gradient-boosted trees give the chance that an eleme
 Decoding picks the most likely state of every element at once: `out` (around the article), `in` and `cut`;
 below `in` only `in` or `cut` may follow, below `cut` only `cut`, so no kept element lies under a cut one.
 
-The trees are fitted on at most `TRAINING_PAGES` pages that mark their article (<article>, <main>), and on
-variants of them with other markup and with menus, forms, comments and the like put in, so that the
-model does not hang on one template. Extraction covers every page as a whole.
-
-Defined results: a null page is empty; a page without an article gives an empty text; rows that repeat are
-extracted each; white space inside a block becomes one space; an empty table gives no rows; further
+The trees are fitted on at most `TRAINING_PAGES` pages that mark their article (<article>, <main>), on the first
+`MAX_TRAINING_CHARS` characters of each, and on variants of them with other markup and with menus, forms, comments
+and the like put in, or with no markup at all, so that the model does not hang on one template. Extraction covers
+every page as a whole.
+
+Markup is read as browsers do where it matters: a quote opens a value only behind an equals sign, so an odd one
+ends with its tag; only script, style, textarea, iframe and noscript hold raw text; a block element ends an open
+select or svg; text outside all elements is in an implied body.
+
+Defined results: a null page is empty; a page without an article gives an empty text; a page without tags is text
+as a whole; a table of pages none of which marks its article raises ValueError, as nothing could be learned; rows
+that repeat are extracted each; white space inside a block becomes one space; an empty table gives no rows; further
 columns are not read. Memory in a task follows the longest page.
 """
 
@@ -29,6 +35,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.batches import slices
 from daybook.llm.sampling import among_lowest, order
+from daybook.llm.scratch import fresh, shared
 
 TRAINING_PAGES = 120
 MAX_TRAINING_CHARS = 100_000
@@ -38,7 +45,9 @@ DEPTH = 4
 BINS = 24
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea select svg iframe object".split())
+RAW = frozenset("script style noscript textarea iframe".split())
+#: Elements that a block element does not lie in.
+NARROW = {"select", "svg", "math"}
 BLOCK = frozenset(
     "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 head header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead "
@@ -66,7 +75,7 @@ WORDS = {
 _GROUP = {word: i for i, words in enumerate(WORDS.values()) for word in words.split()}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<",
+    r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(?:>|\Z)|[^<]+|<",
     re.DOTALL,
 )
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
@@ -93,6 +102,9 @@ def read(source: str | None) -> Page:
         if tag is None and closing is None:
             piece = m[0]
             if not piece.startswith(("<!", "<?")):
+                if not stack and not piece.isspace():
+                    _open(page, stack, "body", "")
+                    stack.append(len(page.tags) - 1)
                 page.pieces.append((stack[-1] if stack else -1, block, html.unescape(piece)))
             continue
         if closing:
@@ -110,13 +122,12 @@ def read(source: str | None) -> Page:
         tag = tag.lower()
         if tag in BLOCK:
             block += 1
+            _end(page, stack, NARROW)
             _end(page, stack, {"p"} | ENDS.get(tag, set()))
         elif tag in ENDS:
             _end(page, stack, ENDS[tag])
         named = " ".join(x.strip("\"'") for x in _NAMED.findall(m[3]))
-        page.tags.append(tag)
-        page.parents.append(stack[-1] if stack else -1)
-        page.words.append(re.split(r"[^a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", named).lower()) if named else [])
+        _open(page, stack, tag, named)
         if tag == "br":
             page.pieces.append((stack[-1] if stack else -1, block, " "))
         if tag in RAW:
@@ -128,6 +139,12 @@ def read(source: str | None) -> Page:
     return page
 
 
+def _open(page: Page, stack: list[int], tag: str, named: str) -> None:
+    page.tags.append(tag)
+    page.parents.append(stack[-1] if stack else -1)
+    page.words.append(re.split(r"[^a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", named).lower()) if named else [])
+
+
 def _end(page: Page, stack: list[int], names: set[str]) -> None:
     """Closes the innermost open element of these names, if no other scope lies in between."""
     for k in range(len(stack) - 1, -1, -1):
@@ -270,8 +287,8 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = TREES,
 
 
 OUT, IN, CUT = 0, 1, 2
-_SWITCH = 0.7
-_NEVER = frozenset("head title script style noscript template form button select textarea".split())
+_SWITCH = 1.8
+_NEVER = frozenset("head title script style noscript template form button select option textarea svg math canvas iframe".split())
 
 
 def decode(page: Page, chance: np.ndarray) -> list[int]:
@@ -387,6 +404,13 @@ def _variant(source: str, rng: np.random.Generator, text: list[str]) -> str:
         blocks.insert(rng.integers(1, len(blocks) + 1), _chrome(rng, text))
     if rng.random() < 0.3:
         blocks = [re.sub("<(/?)p>", r"<\1li>", b) if rng.random() < 0.3 else b for b in blocks]
+    for i, b in enumerate(blocks):
+        if b.startswith("<p>") and rng.random() < 0.12:
+            words = re.sub("<[^>]*>", " ", b).split()
+            blocks[i] = f"<pre>{' '.join(words[: rng.integers(2, 60)])}</pre>"
+    if rng.random() < 0.2:
+        words = " ".join(rng.choice(text, rng.integers(3, 15)))
+        blocks.insert(rng.integers(1, len(blocks) + 1), f'<figure><img src="x.png"><figcaption>{words}</figcaption></figure>')
     if rng.random() < 0.3:
         blocks[0] = f"<header>{blocks[0]}</header>" if "<p" not in blocks[0] and "<li" not in blocks[0] else blocks[0]
     if rng.random() < 0.3:
@@ -401,6 +425,13 @@ def _variant(source: str, rng: np.random.Generator, text: list[str]) -> str:
     return source[: m.start()] + body + source[m.end() :]
 
 
+def _bare(source: str, rng: np.random.Generator) -> str:
+    """The text of the page's article without markup, or with line breaks alone."""
+    m = re.search(r"<(article|main)\b[^>]*>(.*)</\1>", source, re.DOTALL | re.IGNORECASE)
+    parts = [re.sub("<[^>]*>", " ", p) for p in re.split("</?(?:p|h1)>", m[2])] if m else []
+    return ["\n", "<br>", "<br><br>\n"][rng.integers(3)].join(p for p in parts if p.strip())
+
+
 def fit(pages: list[str], seed: int = 11, variants: int = VARIANTS) -> Trees:
     """Fits the trees on pages that mark their article."""
     rng = np.random.default_rng(seed)
@@ -414,6 +445,12 @@ def fit(pages: list[str], seed: int = 11, variants: int = VARIANTS) -> Trees:
                 xs.append(x)
                 ys.append(inside)
                 ws.append(1 + np.expm1(x[:, 4]) / 100)
+        page = read(_bare(source, rng))
+        if page.tags:
+            x = features(page)
+            xs.append(x)
+            ys.append(np.ones(len(x)))
+            ws.append(1 + np.expm1(x[:, 4]) / 100)
     if not xs:
         return Trees(-4.0, np.zeros((0, 1), np.int64), np.zeros((0, 1)), np.zeros((0, 1)))
     return boost(np.concatenate(xs), np.concatenate(ys), np.concatenate(ws))
@@ -448,30 +485,35 @@ def _labelled(source: str) -> tuple[Page, np.ndarray]:
 
 def sample(frame: DataFrame, id_column: str = "page_id", html_column: str = "html",
            pages: int = TRAINING_PAGES) -> list[str]:
-    """At most `pages` pages with a marked article: those with the smallest id hashes."""
-    source = F.col(html_column)
-    few = frame.where(among_lowest(id_column, pages, frame.count()))
-    eligible = few.where(source.rlike("(?i)<(article|main)[ >]") & (F.length(source) <= MAX_TRAINING_CHARS))
-    found = eligible.select(order(id_column).alias("order"), source.alias("html")).orderBy("order", "html")
-    return [r.html for r in found.limit(pages).collect()]
+    """At most `pages` pages with a marked article, cut to MAX_TRAINING_CHARS: those with the smallest id hashes."""
+    source = F.substring(html_column, 1, MAX_TRAINING_CHARS)
+    marked = frame.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), source.alias("html")).where(
+        F.col("html").rlike("(?i)<(article|main)[ >]")
+    )
+    few = marked.where(among_lowest("id", pages, marked.agg(F.approx_count_distinct("id")).first()[0]))
+    found = few.select(order("id").alias("order"), "html").distinct().orderBy("order", "html").limit(pages).collect()
+    if not found and not frame.isEmpty():
+        raise ValueError("no page marks its article")
+    return [r.html for r in found]
 
 
 def main_text(frame: DataFrame, model: Trees, id_column: str = "page_id", html_column: str = "html",
               also: tuple[str, ...] = ()) -> DataFrame:
     """id, the given columns, text and its code points of each page; one pass, no shuffle."""
-    held = frame.sparkSession.sparkContext.broadcast(model)
+    held = shared(frame.sparkSession, model)
     kept = list(dict.fromkeys((id_column, *also)))
-    source = frame.select(*kept, F.col(html_column).alias("__html"))
+    page = fresh(frame, "__html")
+    source = frame.select(*kept, F.col(html_column).alias(page))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "__html", 1 << 20):
-                texts = extract(rows.column("__html").to_pylist(), held.value)
+            for rows in slices(batch, page, 1 << 20):
+                texts = extract(rows.column(page).to_pylist(), held.value)
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(c) for c in kept), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())],
                     [*kept, "text", "n_chars"],
                 )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__html")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != page)
     return source.mapInArrow(run, f"{schema}, text string, n_chars long")

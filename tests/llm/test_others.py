@@ -98,7 +98,7 @@ def pages(spark):
 
 @pytest.fixture(scope="module")
 def trees(pages):
-    return H.fit(pages[:80], variants=2)
+    return H.fit(pages[:120])
 
 
 def test_pages_give_their_article(pages, trees):
@@ -135,6 +135,35 @@ def test_odd_pages(spark, trees):
     assert len(rows) == len(odd) and all(r.n_chars == len(r.text) for r in rows)
     assert H.main_text(frame.where("false"), trees).count() == 0
     assert H.extract(["<p>x</p>"], H.fit([])) == [""]
+    assert H.sample(frame.where("false")) == []
+    with pytest.raises(ValueError, match="no page marks"):
+        H.sample(frame.where("page_id = 4"))
+
+
+def test_markup_is_read_as_browsers_do():
+    words = lambda page: " ".join(x for i, _, x in page.pieces if i >= 0 and page.tags[i] not in H._NEVER).split()
+    assert words(H.read('<p title="5" wide">one two</p><p a=\'x>y\'>three</p><p b="z>four</p><p>five')) == "one two three four five".split()
+    for tag in ("select", "svg"):
+        assert words(H.read(f"<p>one</p><{tag}><option>x<p>two</p><div>three</div>")) in (["one", "two", "three"], ["one", "x", "two", "three"])
+    assert words(H.read("<object><p>one</p></object><template><p>two</p></template>")) == ["one", "two"]
+    page = H.read("one<br>two <b>three</b>")
+    assert page.tags == ["body", "br", "b"] and words(page) == ["one", "two", "three"]
+    assert H.read("<!DOCTYPE html>\n<html><body>x</body></html>\n").tags == ["html", "body"]
+
+
+def test_hand_made_pages(trees):
+    """Pages that no training code has made."""
+    one = "The harbour was quiet when the first boats came back, and nobody spoke about the weather of the night before."
+    two = "By noon the market had filled up; fish, salt and rope were sold from carts, and children ran between them."
+    code = "for x in range(3):\n    print(x)"
+    pages = {
+        f"<html><body><nav><a href='/'>Home</a> <a href='/b'>Blog</a></nav><div class='post'><h1>Harbour</h1><p>{one}</p><pre>{code}</pre><p>{two}</p></div><footer>Copyright</footer></body></html>":
+            f"Harbour\n{one}\nfor x in range(3): print(x)\n{two}",
+        f"<main><p>{one}</p><p title=\"5\" wide\">{two}</p></main><div class='sidebar'><ul><li><a href='/a'>More</a></li><li><a href='/c'>Most</a></li></ul></div>": f"{one}\n{two}",
+        f"{one}\n{two}": f"{one} {two}",
+        f"{one}<br>{two}": f"{one} {two}",
+    }
+    assert H.extract(list(pages), trees) == list(pages.values())
 
 
 # ---- pipeline and registry -----------------------------------------------------------------
