@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.scratch import written
+from daybook.llm.scratch import folder, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,8 +13,11 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs a node's greater neighbours on its smallest one, then its smaller ones; a path
     of n links becomes a star in about log n rounds. A node with very many neighbours sends one
-    partial minimum for each task, and its join is one that Spark can split.
+    partial minimum for each task, and its join is one that Spark can split. Rounds are written to two folders in turn, so
+    disk holds two of them, however many there are.
     """
+    spark = links.sparkSession
+    folders, rounds = [folder(spark, "stars"), folder(spark, "stars")], 0
     edges = written(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "links",
@@ -30,7 +33,10 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
         hung = large.join(lowest, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = written(hung.unionByName(lowest.select("a", F.col("low").alias("b"))).distinct(), "stars")
+        stars = hung.unionByName(lowest.select("a", F.col("low").alias("b"))).distinct()
+        path = folders[rounds % 2]
+        stars.write.mode("overwrite").parquet(path)
+        edges, rounds = spark.read.schema(stars.schema).parquet(path), rounds + 1
     roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
