@@ -28,7 +28,7 @@ from daybook.llm.scratch import partitions, written
 CAPACITY = 2048
 CLOSING_ID = 0
 BLOCK_PIECES = 32_768
-CACHED = 100_000
+CACHED = 60_000
 SLICE_CHARS = 1 << 20
 
 # How the tokenizer cuts lower-case text of code points below 256; the order of the branches counts.
@@ -65,6 +65,7 @@ class Coder:
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.names = _byte_names()
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Coder:
@@ -78,10 +79,16 @@ class Coder:
         return np.array(ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
+        """The ids of a word that the table lacks. A full table becomes the older one, whose words come back
+        when they are met again, so the frequent ones stay."""
+        if len(self.words) >= CACHED:
+            self.words, self.older = {}, self.words
+        known = self.older.get(word)
+        if known is not None:
+            self.words[word] = known
+            return known
         named = word if word.isascii() and word.isalpha() else "".join(map(self.names.__getitem__, word.encode()))
         ids = np.array([x.id for x in self.model.tokenize(named)], "<u4").tobytes()
-        if len(self.words) >= CACHED:
-            self.words.clear()
         self.words[word] = ids
         return ids
 
