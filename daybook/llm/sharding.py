@@ -10,7 +10,8 @@ ordered by text checksum, size and id; equal rows in any order, their places dif
 
 Defined results: null and NaN dimension values go to the lowest cell, null texts have no bytes and
 checksum 0, rows that repeat each get a place, an empty table gives no rows, with fewer rows than shards
-some shards stay empty, further columns are not read.
+some shards stay empty, further columns are not read. Dimensions are numbers, texts, dates or times; others, and more
+than 63 bits of all dimensions together, raise ValueError.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from daybook.llm.scratch import partitions, written
 
@@ -65,12 +66,16 @@ def _number(frame: DataFrame, name: str) -> Column:
         return F.conv(head, 16, 10).cast("double")
     if isinstance(kind, NumericType):
         return F.nanvl(F.col(name).cast("double"), F.lit(None))
+    if not isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        raise ValueError(f"{name} is neither a number, a text, a date nor a time")
     return F.unix_timestamp(F.col(name).cast("timestamp")).cast("double")
 
 
 def shards(frame: DataFrame, dimensions: list[str], id_column: str = "doc_id",
            text_column: str = "text", count: int = SHARDS, bits: int = BITS) -> DataFrame:
     """id, size (UTF-8 bytes plus 8), text_crc32, curve, shard and slot of each row."""
+    if bits * len(dimensions) > 63:
+        raise ValueError(f"{len(dimensions)} dimensions of {bits} bits are more than 63 bits")
     spark = frame.sparkSession
     names = [f"d{i}" for i in range(len(dimensions))]
     text = F.coalesce(F.col(text_column), F.lit(""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -514,6 +515,25 @@ def test_values_after_an_equals_sign_are_candidates(spark, table, words):
     assert sum(found[i] == [x] for i, x in planted.items()) >= 0.8 * len(planted)
 
 
+@pytest.mark.parametrize("token,name", [("3f9a01c7be", "hex"), ("ABABABABAB", "base32"), ("aZ09+/bYx1", "base64"), ("zzzzzzzz01", "base36")])
+def test_battery_is_that_of_plain_sums(token, name):
+    signs = secrets.ENCODINGS[name]
+    values = [signs.index(c) for c in token]
+    n, size = len(values), len(signs)
+    chi = sum((values.count(v) - n / size) ** 2 / (n / size) for v in range(size))
+    high = [v >= size / 2 for v in values]
+    runs = lambda x: 1 + sum(a != b for a, b in zip(x, x[1:]))
+    every = [runs(x) for x in itertools.product((False, True), repeat=n) if sum(x) == sum(high)]
+    mean = sum(every) / len(every)
+    variance = sum((r - mean) ** 2 for r in every) / len(every)
+    tail = lambda z: math.erfc(z / math.sqrt(2))
+    p_runs = tail(abs(runs(high) - mean) / math.sqrt(variance)) if 0 < sum(high) < n else 2.0 ** (1 - n)
+    middle = sum(values) / n
+    r = sum((a - middle) * (b - middle) for a, b in zip(values, values[1:])) / sum((a - middle) ** 2 for a in values)
+    p_chi = tail((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (1 - 1 / n))) / 2
+    assert secrets.battery(token, name) == pytest.approx((chi, p_chi, p_runs, tail(abs(r + 1 / n) * math.sqrt(n))))
+
+
 def test_benjamini_hochberg_on_bins():
     bins = {("e", 0, k): n for k, n in ((0, 1000), (20, 20), (60, 5), (100, 5))}
     assert secrets.thresholds(bins, 0.01) == {("e", 0): 100}
@@ -530,6 +550,35 @@ def test_hilbert_neighbours_are_neighbours():
     assert sorted(index) == list(range(512)) and (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
 
 
+def curve(order):
+    """The plane's Hilbert curve by its definition: four smaller ones, the outer two mirrored on the diagonals."""
+    if not order:
+        return [(0, 0)]
+    part, half = curve(order - 1), 1 << (order - 1)
+    first = [(y, x) for x, y in part]
+    last = [(2 * half - 1 - y, half - 1 - x) for x, y in part]
+    return first + [(x, y + half) for x, y in part] + [(x + half, y + half) for x, y in part] + last
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3, 5])
+def test_hilbert_index_is_that_of_the_recursive_curve(bits):
+    n = 1 << bits
+    grid = np.stack(np.meshgrid(np.arange(n), np.arange(n), indexing="ij"), -1).reshape(-1, 2)
+    path = [tuple(c) for c in grid[np.argsort(sharding.hilbert(grid, bits))].tolist()]
+    turned = []
+    for flip_x, flip_y, swap in itertools.product((0, 1), repeat=3):
+        one = [(n - 1 - x if flip_x else x, n - 1 - y if flip_y else y) for x, y in curve(bits)]
+        turned.append([(y, x) for x, y in one] if swap else one)
+    assert path in turned
+
+
+def test_dimensions_that_have_no_order_or_too_many_bits_are_refused(spark, table):
+    frame = table([(1, "a")])
+    for dimensions, bits in ((["query"], 5), (["n", "doc_id"], 32)):
+        with pytest.raises(ValueError):
+            sharding.shards(frame, dimensions, bits=bits)
+
+
 def test_shards_are_even_and_gapless(spark, table, odd, tmp_path):
     rng = random.Random(3)
     frame = table([*odd, *((100 + i, "t" * rng.randrange(300)) for i in range(91))])
