@@ -119,7 +119,7 @@ def op12_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op13_ns_centroids(spark: SparkSession, sf: str) -> DataFrame:
-    return centroids.cluster(_table(spark, sf, "embeddings"))
+    return centroids.cluster(_table(spark, sf, "embeddings")).drop("evaluations")
 
 
 QUERIES = {
@@ -267,9 +267,45 @@ FROM split LEFT JOIN places USING (r) LEFT JOIN every USING (r)
 """
 
 
+def _op13_sql(k: int = 8, rounds: int = 10, width: int = 64) -> str:
+    """Plain Lloyd: every round compares every vector with every centroid."""
+    square = "CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+a{t} AS MATERIALIZED (
+  SELECT r, min((d, j))[2] AS j, min(d) AS d FROM (SELECT r, j, {square} AS d FROM v, c{t}) GROUP BY r
+)""")
+        if t < rounds:
+            steps.append(f"""
+s{t} AS (
+  SELECT j, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT j, unnest(v) AS x, unnest(range({width})) AS i FROM a{t} JOIN v USING (r)) GROUP BY j, i
+), c{t + 1} AS MATERIALIZED (
+  SELECT j, coalesce(m, c) AS c FROM c{t} LEFT JOIN (
+    SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{t} GROUP BY j
+  ) USING (j)
+)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {width}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS j, v AS c
+  FROM (SELECT sha256('3:' || vec_id) AS h, v FROM v WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k})
+), {",".join(steps)}
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} USING (j)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op6_ngram_jaccard_join": OP6_SQL,
     "op9_line_dedup": OP9_SQL,
     "op11_fill_in_middle": OP11_SQL,
     "op12_license_scan": _op12_sql(),
+    "op13_ns_centroids": _op13_sql(),
 }
