@@ -182,12 +182,8 @@ class Index:
         return found / len(template) if found >= least else 0.0
 
 
-def phrase_places(texts: pa.Array, phrases: Sequence[Sequence[str]]) -> list[list[tuple[int, int]]]:
-    """For each text (phrase, first word) of all places of the phrases, in order."""
-    return _places(*hashed(texts), phrases)
-
-
 def _places(data, begins, ends, keys, firsts, phrases) -> list[list[tuple[int, int]]]:
+    """For each text (phrase, first word) of all places of the phrases, in order; of `hashed` texts."""
     found: list[list[tuple[int, int]]] = [[] for _ in range(len(firsts) - 1)]
     for k, phrase in enumerate(phrases):
         own = hashed(pa.array([" ".join(phrase)]))[3]
@@ -199,7 +195,8 @@ def _places(data, begins, ends, keys, firsts, phrases) -> list[list[tuple[int, i
             hit &= keys[i : i + n] == key
         at = np.flatnonzero(hit)
         text = np.searchsorted(firsts, at, side="right") - 1
-        for i, t in zip(at[at + len(own) <= firsts[text + 1]].tolist(), text[at + len(own) <= firsts[text + 1]].tolist()):
+        whole = at + len(own) <= firsts[text + 1]  # none runs into the next text
+        for i, t in zip(at[whole].tolist(), text[whole].tolist()):
             spelled = [data[a:b].tobytes().translate(_LOWER).decode() for a, b in zip(begins[i : i + len(own)], ends[i : i + len(own)])]
             if spelled == list(phrase):
                 found[t].append((k, int(i - firsts[t])))

@@ -8,7 +8,8 @@ and the number of distinct shingles; the standard error of a resemblance is belo
 
 Defined results: a null text counts as empty; two empty sketches resemble each other fully, an empty
 and a filled one not at all; equal texts have equal fingerprints; rows that repeat stay rows of their
-own; a table without rows gives none; further columns, whatever their names, are not read.
+own; ids are taken for keys that hardly repeat: rows of one id, and those without one, are put in order by one task
+(spilling), and cross the shuffle twice if they begin a run; a table without rows gives none; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
