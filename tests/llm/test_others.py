@@ -16,7 +16,7 @@ import corpus_pipeline
 from daybook.llm import html_text as H
 from daybook.llm import jaccard, neighbours
 from daybook.llm.queries import ORACLES, QUERIES
-from daybook.llm.scratch import folder, written
+from daybook.llm.scratch import folder, released, shared, written
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -224,6 +224,19 @@ def test_pipeline_passes_further_columns_and_empty_tables(spark):
             assert frame.columns == docs.columns
 
 
+def test_language_stage_without_labels_keeps_texts_with_letters(spark):
+    frame = spark.createDataFrame([(1, "abc", None), (2, "12 !", None), (3, None, None), (4, "", "x")], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in corpus_pipeline.identify_language(spark, frame, "").collect()] == [1]
+
+
+def test_broadcasts_end_with_their_stage(spark):
+    with released():
+        held = shared(spark, [1, 2])
+        assert held.value == [1, 2]
+    with pytest.raises(Exception):
+        spark.range(2).rdd.map(lambda x: held.value).collect()
+
+
 def test_every_query_is_registered():
     found = entry_module.queries()
     assert set(QUERIES) | {"pipeline"} <= set(found) and set(ORACLES) <= set(entry_module.oracle_sql())
