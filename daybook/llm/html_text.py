@@ -1,15 +1,19 @@
 """Main text of web pages: boosted trees over DOM nodes, decoded along the tree.
 
-A page is read into its elements. Each has features: its tag, the words of its class, id and role (and
-those of its ancestors), depth, text and link density of its subtree, sentences, place in the page, and how it
-compares with its siblings. Gradient-boosted trees give the chance that an element belongs to the article.
+A page is read into its elements. Each has features: its tag, what the words of its class, id and role, of its
+parent's and of its ancestors' tell, depth, text and link density of its subtree, sentences, place in the page, and
+how it compares with its siblings. What a word tells is learned: hashed into `BUCKETS`, its log odds to lie in an
+article, by the training pages that it is on; a page's own share is left out while the trees are fitted, so they
+learn what a word is worth that other pages have shown, and go by structure where none have shown it.
+Gradient-boosted trees give the chance that an element belongs to the article.
 Decoding picks the most likely state of every element at once: `out` (around the article), `in` and `cut`;
 below `in` only `in` or `cut` may follow, below `cut` only `cut`, so no kept element lies under a cut one.
 
 The trees are fitted on at most `TRAINING_PAGES` pages that mark their article (<article>, <main>), on the first
-`MAX_TRAINING_CHARS` characters of each, and on variants of them with other markup and with menus, forms, comments
-and the like put in, or with no markup at all, so that the model does not hang on one template. Extraction covers
-every page as a whole.
+`MAX_TRAINING_CHARS` characters of each, and on variants of them with other markup, with few blocks, with other
+pages' furniture and with menus, forms, comments and the like put in, part of them under made-up words, or with no
+markup at all, so that the model does not hang on one template or list of words. Extraction covers every page as a
+whole.
 
 Markup is read as browsers do where it matters: a quote opens a value only behind an equals sign, so an odd one
 ends with its tag; only script, style, textarea, iframe and noscript hold raw text; a block element ends an open
@@ -25,8 +29,10 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ from daybook.llm.scratch import fresh, shared
 TRAINING_PAGES = 120
 MAX_TRAINING_CHARS = 100_000
 VARIANTS = 3
+BUCKETS = 1 << 14
+FOLDS = 4
 TREES = 40
 DEPTH = 4
 BINS = 24
@@ -60,6 +68,8 @@ TAGS = (
     "html head title body main article section div p h1 h2 h3 h4 h5 h6 ul ol li a b i em strong span nav header "
     "footer aside form table tr td th blockquote pre code figure figcaption button label img".split()
 )
+#: Words of the furniture that variants get, beside that of the corpus's own pages and made-up words. Extraction
+#: itself has no list of words.
 WORDS = {
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs toc tabs pagination pager",
     "head": "header masthead topbar banner hero logo",
@@ -72,7 +82,6 @@ WORDS = {
     "share": "share sharing social follow tags meta byline author date",
     "main": "article content main post entry story text body prose page",
 }
-_GROUP = {word: i for i, words in enumerate(WORDS.values()) for word in words.split()}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(?:>|\Z)|[^<]+|<",
@@ -156,13 +165,41 @@ def _end(page: Page, stack: list[int], names: set[str]) -> None:
             return
 
 
-N_TAGS, N_WORDS = len(TAGS), len(WORDS)
+N_TAGS = len(TAGS)
 _TAG = {t: i for i, t in enumerate(TAGS)}
 _HEADINGS = [_TAG[f"h{i}"] for i in range(1, 7)]
 
 
-def features(page: Page) -> np.ndarray:
-    """One row for each element."""
+@lru_cache(maxsize=1 << 16)
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+def _buckets(words: list[str]) -> list[int]:
+    """Numbers alone tell nothing: they number elements."""
+    return list({_bucket(w) for w in words if w and not w.isdigit()})
+
+
+def shown(pages: list[tuple[Page, np.ndarray]]) -> np.ndarray:
+    """For each bucket the pages that have it on an element inside the article, and outside."""
+    seen = np.zeros((BUCKETS, 2))
+    for page, inside in pages:
+        found = {(b, int(not inside[i])) for i, words in enumerate(page.words) if words for b in _buckets(words)}
+        for b, side in found:
+            seen[b, side] += 1
+    return seen
+
+
+def leaning(seen: np.ndarray) -> np.ndarray:
+    """Log odds of each bucket to lie inside; 0 for one that no page has shown."""
+    return np.log((seen[:, 0] + 1) / (seen[:, 1] + 1))
+
+
+NO_WORDS = np.zeros(BUCKETS)
+
+
+def features(page: Page, lean: np.ndarray = NO_WORDS) -> np.ndarray:
+    """One row for each element; `lean` has what each bucket of words tells."""
     n = len(page.tags)
     parent = np.array(page.parents, np.int64)
     tag = np.array([_TAG.get(t, N_TAGS) for t in page.tags], np.int64)
@@ -175,12 +212,13 @@ def features(page: Page) -> np.ndarray:
             own[i, 3] += len(words)
     depth = np.zeros(n, np.int64)
     linked = tag == _TAG["a"]
-    told = np.zeros((n, N_WORDS))
+    told = np.zeros((n, 2))  # the least and the most that one of its words tells
     for i, words in enumerate(page.words):
-        for w in words:
-            if w in _GROUP:
-                told[i, _GROUP[w]] = 1
-    above = np.zeros((n, N_WORDS))
+        if words:
+            values = lean[_buckets(words)]
+            if len(values):
+                told[i] = min(0, values.min()), max(0, values.max())
+    above = np.zeros((n, 2))
     under = np.zeros((n, 4), bool)  # article or main, menu or foot or side, form, link
     kind = np.column_stack([
         np.isin(tag, [_TAG["article"], _TAG["main"]]),
@@ -192,7 +230,7 @@ def features(page: Page) -> np.ndarray:
         p = parent[i]
         if p >= 0:
             depth[i] = depth[p] + 1
-            above[i] = np.maximum(above[p], told[p])
+            above[i] = min(above[p, 0], told[p, 0]), max(above[p, 1], told[p, 1])
             under[i] = under[p] | kind[p]
     own[:, 1] = np.where(linked | under[:, 3], own[:, 0], 0)
     total = np.column_stack([own, np.ones(n), tag == _TAG["p"], np.isin(tag, _HEADINGS), tag == _TAG["li"]])
@@ -218,7 +256,8 @@ def features(page: Page) -> np.ndarray:
         total[:, 1] / np.maximum(1, chars), chars / total[:, 4], total[:, 2] / np.maximum(1, total[:, 3]),
         np.log1p(total[:, 5]), np.log1p(total[:, 6]), np.log1p(total[:, 7]), chars / whole,
         before / whole, (before + chars) / whole, np.log1p(siblings), place / siblings,
-        np.log1p(around), np.log1p(chars) - np.log1p(around), under, told, above,
+        np.log1p(around), np.log1p(chars) - np.log1p(around), under,
+        [bool(w) for w in page.words], told, np.where(parent[:, None] >= 0, told[parent], 0), above,
     ]).astype(np.float32)
 
 
@@ -230,6 +269,7 @@ class Trees:
     columns: np.ndarray
     cuts: np.ndarray
     leaves: np.ndarray
+    lean: np.ndarray = field(default_factory=lambda: NO_WORDS)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
@@ -344,7 +384,7 @@ def text_of(page: Page, states: list[int]) -> str:
 def extract(pages: list[str | None], model: Trees) -> list[str]:
     """The main text of each page."""
     read_pages = [read(p) for p in pages]
-    rows = [features(p) for p in read_pages if p.tags]
+    rows = [features(p, model.lean) for p in read_pages if p.tags]
     chance = 1 / (1 + np.exp(-model.score(np.concatenate(rows)))) if rows else np.zeros(0)
     out, at = [], 0
     for page in read_pages:
@@ -359,8 +399,55 @@ def extract(pages: list[str | None], model: Trees) -> list[str]:
 _MARK = "data-boiler"
 
 
-def _chrome(rng: np.random.Generator, text: list[str]) -> str:
-    """A piece of page furniture, marked as such, with words of the corpus in it."""
+def _made_up(rng: np.random.Generator) -> str:
+    return "".join(rng.choice(list("abcdefghiklmnoprstuvwxy"), rng.integers(2, 9)))
+
+
+def rendered(page: Page, root: int) -> str:
+    """Markup of a subtree: of each element its own text, then its children."""
+    text: dict[int, list[str]] = {}
+    for i, _, piece in page.pieces:
+        text.setdefault(i, []).append(html.escape(piece, quote=False))
+    made: dict[int, list[str]] = {}
+    for i in range(len(page.tags) - 1, root - 1, -1):
+        tag, above = page.tags[i], i
+        while above > root:
+            above = page.parents[above]
+        if above != root or tag in RAW:
+            continue
+        named = f' class="{" ".join(page.words[i])}"' if page.words[i] else ""
+        body = "".join(text.get(i, [])) + "".join(reversed(made.get(i, [])))
+        whole = f"<{tag}{named}>" + ("" if tag in VOID else f"{body}</{tag}>")
+        if i == root:
+            return whole
+        made.setdefault(page.parents[i], []).append(whole)
+    return ""
+
+
+def furniture(page: Page, inside: np.ndarray) -> list[str]:
+    """Markup of the outermost elements with text that neither lie in the article nor hold it."""
+    n = len(page.tags)
+    holds, has_text = inside > 0, np.zeros(n, bool)
+    for i, _, piece in page.pieces:
+        if i >= 0 and not piece.isspace():
+            has_text[i] = True
+    for i in range(n - 1, 0, -1):
+        p = page.parents[i]
+        if p >= 0:
+            holds[p] |= holds[i]
+            has_text[p] |= has_text[i]
+    out = []
+    for i in range(n):
+        p = page.parents[i]
+        if p >= 0 and holds[p] and inside[p] <= 0 and not holds[i] and has_text[i] and page.tags[i] not in _NEVER:
+            out.append(re.sub("(?=[ >])", f" {_MARK}", rendered(page, i), count=1))
+    return out
+
+
+def _chrome(rng: np.random.Generator, text: np.ndarray, own: list[str] = ()) -> str:
+    """A piece of page furniture, marked as such: one of another page, or one with words of the corpus in it."""
+    if len(own) and rng.random() < 0.3:
+        return own[rng.integers(len(own))]
     some = lambda k: " ".join(rng.choice(text, k))
     links = "".join(f'<li><a href="/x">{some(rng.integers(1, 4))}</a></li>' for _ in range(rng.integers(2, 7)))
     word = lambda group: rng.choice(WORDS[group].split())
@@ -384,12 +471,15 @@ def _chrome(rng: np.random.Generator, text: list[str]) -> str:
         f'<div {_MARK} id="{word("comment")}">{many}</div>',
         f'<div {_MARK} class="{word("share")}"><a href="/x">{some(1)}</a> <a href="/y">{some(1)}</a></div>',
     ]
-    return made[rng.integers(len(made))]
+    one = made[rng.integers(len(made))]
+    if ("<a " in one or "<form" in one) and rng.random() < 0.4:  # told by its structure alone
+        one = re.sub('(class|id)="[^"]*"', lambda m: f'{m[1]}="{_made_up(rng)}-{_made_up(rng)}"', one, count=1)
+    return one
 
 
-def _variant(source: str, rng: np.random.Generator, text: list[str]) -> str:
+def _variant(source: str, rng: np.random.Generator, text: np.ndarray, own: list[str] = ()) -> str:
     """The page with other markup around its article and furniture put in around and inside it."""
-    name = rng.choice(WORDS["main"].split())
+    name = _made_up(rng) if rng.random() < 0.3 else rng.choice(WORDS["main"].split())
     opening, closing = [
         ("<article>", "</article>"), ("<main>", "</main>"), (f'<div class="{name}">', "</div>"),
         (f'<main><div class="{name}-{rng.choice(WORDS["main"].split())}">', "</div></main>"),
@@ -400,8 +490,10 @@ def _variant(source: str, rng: np.random.Generator, text: list[str]) -> str:
         return source
     inside = m[2]
     blocks = re.split(r"(?=<p>)", inside)
+    if rng.random() < 0.3:
+        blocks = blocks[: rng.integers(1, 5)]
     for _ in range(rng.integers(0, 3)):
-        blocks.insert(rng.integers(1, len(blocks) + 1), _chrome(rng, text))
+        blocks.insert(rng.integers(1, len(blocks) + 1), _chrome(rng, text, own))
     if rng.random() < 0.3:
         blocks = [re.sub("<(/?)p>", r"<\1li>", b) if rng.random() < 0.3 else b for b in blocks]
     for i, b in enumerate(blocks):
@@ -415,7 +507,7 @@ def _variant(source: str, rng: np.random.Generator, text: list[str]) -> str:
         blocks[0] = f"<header>{blocks[0]}</header>" if "<p" not in blocks[0] and "<li" not in blocks[0] else blocks[0]
     if rng.random() < 0.3:
         blocks.insert(rng.integers(1, len(blocks) + 1), f"<blockquote><p>{' '.join(rng.choice(text, 12))}</p></blockquote>")
-    around = [_chrome(rng, text) for _ in range(rng.integers(0, 4))]
+    around = [_chrome(rng, text, own) for _ in range(rng.integers(0, 4))]
     cut = rng.integers(0, len(around) + 1)
     wrap = rng.random() < 0.4
     article = opening.replace(">", " data-main>", 1) + "".join(blocks) + closing
@@ -435,25 +527,27 @@ def _bare(source: str, rng: np.random.Generator) -> str:
 def fit(pages: list[str], seed: int = 11, variants: int = VARIANTS) -> Trees:
     """Fits the trees on pages that mark their article."""
     rng = np.random.default_rng(seed)
-    text = sorted({w for p in pages[:50] for w in re.sub("<[^>]*>", " ", p).split() if "&" not in w and "<" not in w})[:5000] or ["-"]
-    xs, ys, ws = [], [], []
-    for source in pages:
+    text = np.array(sorted({w for p in pages[:50] for w in re.sub("<[^>]*>", " ", p).split() if "&" not in w and "<" not in w})[:5000] or ["-"])
+    own = sorted({x for p in pages for x in furniture(*_labelled(p))}) if variants else []
+    made: list[list[tuple[Page, np.ndarray]]] = [[] for _ in range(FOLDS)]
+    for i, source in enumerate(pages):
         for k in range(variants + 1):
-            page, inside = _labelled(_variant(source, rng, text) if k else source)
+            page, inside = _labelled(_variant(source, rng, text, own) if k else source)
             if page.tags and inside.any():
-                x = features(page)
-                xs.append(x)
-                ys.append(inside)
-                ws.append(1 + np.expm1(x[:, 4]) / 100)
+                made[i % FOLDS].append((page, inside))
         page = read(_bare(source, rng))
         if page.tags:
-            x = features(page)
-            xs.append(x)
-            ys.append(np.ones(len(x)))
-            ws.append(1 + np.expm1(x[:, 4]) / 100)
-    if not xs:
+            made[i % FOLDS].append((page, np.ones(len(page.tags))))
+    if not any(made):
         return Trees(-4.0, np.zeros((0, 1), np.int64), np.zeros((0, 1)), np.zeros((0, 1)))
-    return boost(np.concatenate(xs), np.concatenate(ys), np.concatenate(ws))
+    seen = [shown(fold) for fold in made]
+    every = sum(seen)
+    xs = [features(page, leaning(every - seen[f])) for f, fold in enumerate(made) for page, _ in fold]
+    y = np.concatenate([inside for fold in made for _, inside in fold])
+    x = np.concatenate(xs)
+    trees = boost(x, y, 1 + np.expm1(x[:, 4]) / 100)
+    trees.lean = leaning(every)
+    return trees
 
 
 def _labelled(source: str) -> tuple[Page, np.ndarray]:

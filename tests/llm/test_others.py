@@ -178,6 +178,44 @@ def test_markup_is_read_as_browsers_do():
     assert H.read("<!DOCTYPE html>\n<html><body>x</body></html>\n").tags == ["html", "body"]
 
 
+def test_words_are_learned_from_other_pages(pages):
+    """A word in no list: pages that show it outside their article teach that it is furniture."""
+    blurb = "Some words about the house that come with every page, long enough to look like a paragraph of text."
+    shown = [p.replace("</article>", f'</article><div class="zork-{i}"><p>{blurb}</p></div>') for i, p in enumerate(pages[:60])]
+    model = H.fit(shown)
+    assert model.lean[H._bucket("zork")] < -2 and not H._buckets(["17", ""])
+    unseen = [p.replace("</article>", f'</article><div class="zork"><p>{w}. {blurb[:60]}</p></div>')
+              for p, w in zip(pages[200:300], "abcdefghij" * 10)]
+    assert H.extract(unseen, model) == [article_of(p) for p in pages[200:300]]
+    hidden = [p.replace("<article>", "<div>").replace("</article>", "</div>") for p in unseen]
+    assert sum("come with" in t or blurb[:40] in t for t in H.extract(hidden, model)) <= 3
+
+
+def test_a_fold_does_not_see_its_own_words():
+    page = H.read('<div class="only here"><p class="here 12">x</p></div>')
+    seen = H.shown([(page, np.array([0.0, 1.0]))])
+    assert seen.sum() == 3 and list(seen[H._bucket("here")]) == [1, 1] and list(seen[H._bucket("only")]) == [0, 1]
+    lean = H.leaning(seen)
+    assert lean[H._bucket("here")] == 0 and lean[H._bucket("only")] < 0 and not H.leaning(seen - seen).any()
+    told = H.features(page, lean)[:, -6:]  # own, parent's and ancestors' least and most
+    assert told[0, 0] < 0 and told[1, 2] == told[0, 0] and told[1, 4] == told[0, 0] and not told[1, :2].any()
+
+
+def test_furniture_of_a_page_is_rendered():
+    source = '<body><nav class="top"><a>x &lt; y</a></nav><article><p>in</p><div>in too</div></article><div>after<br><b>z</b></div><p> </p></body>'
+    assert H.furniture(*H._labelled(source)) == [
+        f'<nav {H._MARK} class="top"><a>x &lt; y</a></nav>', f"<div {H._MARK}>after <br><b>z</b></div>"]
+
+
+def test_link_lists_under_any_word_are_cut(trees):
+    one = "The harbour was quiet when the first boats came back, and nobody spoke about the weather of the night before."
+    two = "By noon the market had filled up; fish, salt and rope were sold from carts, and children ran between them."
+    for word in ("teaser-list", "xq-7", "story__links", "mod"):
+        links = "".join(f"<li><a href='/{x}'>{x} of the north</a></li>" for x in ("Boats", "Prices", "Weather"))
+        page = f"<html><body><article><h1>Harbour</h1><p>{one}</p><div class='{word}'><ul>{links}</ul></div><p>{two}</p></article></body></html>"
+        assert H.extract([page], trees) == [f"Harbour\n{one}\n{two}"]
+
+
 def test_hand_made_pages(trees):
     """Pages that no training code has made."""
     one = "The harbour was quiet when the first boats came back, and nobody spoke about the weather of the night before."
