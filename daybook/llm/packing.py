@@ -28,7 +28,7 @@ from daybook.llm.scratch import partitions, written
 CAPACITY = 2048
 CLOSING_ID = 0
 BLOCK_PIECES = 32_768
-CACHED = 60_000
+CACHED = 100_000
 SLICE_CHARS = 1 << 20
 
 # How the tokenizer cuts lower-case text of code points below 256; the order of the branches counts.
